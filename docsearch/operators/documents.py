@@ -66,6 +66,14 @@ def build_documents(registry: Registry, tables: Tables, entity: str | DocumentMa
     )
 
 
+def select_mapped(registry: Registry, tables: Tables, entity: str | DocumentMapping) -> DataFrame:
+    """``id`` and the mapped plain columns as they are: the scan reads nothing else."""
+    mapping = registry.require(entity)
+    table = tables[mapping.full_name]
+    fields = [f for f in registry.compile(mapping, table.schema) if f.association is None]
+    return table.select(id_column(mapping).alias("id"), *[f.name for f in fields])
+
+
 def as_json(documents: DataFrame) -> DataFrame:
     """Documents with ``source`` as JSON text; null fields stay visible as null."""
     return documents.withColumn("source", F.to_json("source", {"ignoreNullFields": "false"}))

@@ -92,46 +92,27 @@ def _points_up(registry: Registry, mapping: DocumentMapping, f: Field) -> bool:
 def terms_of(value: Column, data_type: T.DataType, how: str) -> Column:
     """Array of terms of one field value; the items of an array follow each other."""
     analyse = analyzer(how)
-    items, kind = value, data_type
-    while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-        items, kind = F.flatten(items), kind.elementType
-    if isinstance(kind, T.ArrayType):
+    if isinstance(data_type, T.ArrayType):
         if how == "keyword":
-            return F.transform(items, lambda item: item.cast("string"))
-        return F.flatten(F.transform(items, lambda item: analyse(item.cast("string"))))
-    return analyse(items.cast("string"))
-
+            return F.transform(value, lambda item: item.cast("string"))
+        return F.flatten(F.transform(value, lambda item: analyse(item.cast("string"))))
+    return analyse(value.cast("string"))
 
-def _type_at(schema: T.StructType, path: str) -> T.DataType:
-    kind: T.DataType = schema
-    layers = 0
-    for name in path.split("."):
-        while isinstance(kind, T.ArrayType):
-            kind, layers = kind.elementType, layers + 1
-        kind = kind[name].dataType
-    for _ in range(layers):
-        kind = T.ArrayType(kind)
-    return kind
 
-
-def _at(source: str, schema: T.StructType, path: str) -> Column:
-    """Value at a dotted path. Through an array the values of all items are taken."""
+def path_value(source: str, schema: T.StructType, path: str) -> tuple[Column, T.DataType]:
+    """The value at a dotted path and its type. Through collections the values of all items are
+    taken, as one flat array."""
     value, kind = F.col(source), schema
     for name in path.split("."):
-        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-            value, kind = F.flatten(value), kind.elementType
-        value = value.getField(name)
-        inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
-        child = inner[name].dataType
-        kind = T.ArrayType(child) if isinstance(kind, T.ArrayType) else child
-    return value
-
-
-def _flat_type(schema: T.StructType, path: str) -> T.DataType:
-    kind = _type_at(schema, path)
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, T.ArrayType):
+                value, kind = F.flatten(value), kind.elementType
+            value, kind = value.getField(name), T.ArrayType(kind.elementType[name].dataType)
+        else:
+            value, kind = value.getField(name), kind[name].dataType
     while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-        kind = kind.elementType
-    return kind
+        value, kind = F.flatten(value), kind.elementType
+    return value, kind
 
 
 def tokens(
@@ -163,7 +144,7 @@ def tokens(
         *ROW,
         *[
             F.coalesce(
-                terms_of(_at("source", schema, f.path), _flat_type(schema, f.path), f.analyzer),
+                terms_of(*path_value("source", schema, f.path), f.analyzer),
                 F.array().cast("array<string>"),
             ).alias(name)
             for name, f in arrays.items()
@@ -208,9 +189,9 @@ def _can_hold(
     one. A term is a piece of the text, in lower case for the analyzers that lower it."""
     tests = []
     for f in fields:
-        if _flat_type(schema, f.path) != T.StringType():
+        value, kind = path_value("source", schema, f.path)
+        if kind != T.StringType():
             return None
-        value = _at("source", schema, f.path)
         text = F.lower(value) if f.analyzer in ("standard", "simple", "stop") else value
         tests += [F.contains(text, F.lit(term)) for term in exact]
     return reduce(Column.__or__, tests) if tests else F.lit(False)
@@ -268,11 +249,21 @@ def whole_lengths(rows: DataFrame) -> DataFrame:
     return rows.drop("len").join(lengths, [*DOC, "field"])
 
 
-def term_stats(rows: DataFrame, by: Sequence[str] = ("field", "term")) -> DataFrame:
-    """``(…, df)``: in how many documents a term occurs. A document in several parts counts
-    once. The first grouping holds the document id, so on fresh postings it does not shuffle."""
+def term_stats(rows: DataFrame) -> DataFrame:
+    """``(field, term, df)`` of fresh postings: in how many documents a term occurs. A document
+    in several parts counts once. The first grouping holds the document id, so it does not
+    shuffle again."""
     documents = rows.groupBy(*DOC, "field", "term").agg(F.lit(1).alias("one"))
-    return documents.groupBy(*by).agg(F.count("one").alias("df"))
+    return documents.groupBy("field", "term").agg(F.count("one").alias("df"))
+
+
+def stored_term_stats(rows: DataFrame) -> DataFrame:
+    """``(index, type, field, term, df)`` of postings read from storage. Only documents in several
+    parts need their parts brought together; all others are counted where they are read."""
+    by = ["index", "type", "field", "term"]
+    whole = rows.where(F.col("part") == 0).select(*by)
+    split = rows.where(F.col("part") != 0).select(*by, "id").distinct().select(*by)
+    return whole.unionByName(split).groupBy(*by).agg(F.count(F.lit(1)).alias("df"))
 
 
 def field_lengths(rows: DataFrame) -> DataFrame:

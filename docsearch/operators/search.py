@@ -17,10 +17,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsearch.functions import highlights
 from docsearch.functions.analyzers import ANALYZERS, analyzer
-from docsearch.operators.postings import DOC, ROW
+from docsearch.operators.postings import DOC, ROW, path_value
 from docsearch.operators.space import Space, TableSpace, union
 from docsearch.plans import clauses as q
 from docsearch.plans.mapping import DocumentMapping
@@ -372,13 +373,65 @@ class Search:
         """One row ``(total)``: all hits, not only a page. No score is computed."""
         return self.matching().agg(F.count(F.lit(1)).alias("total"))
 
-    def page(self, start: int = 0, size: int | None = None, sort: Column | None = None) -> DataFrame:
+    def page(self, start: int = 0, size: int | None = None) -> DataFrame:
         """Hits in order: score descending, then type and id. Spark keeps only the top
         ``start + size`` rows of each task, so a page far down costs as much as a sort."""
         limit = DEFAULT_PAGE_SIZE if size is None else size
         ordered = self.hits.orderBy(F.desc("score"), "type", "id")
         return (ordered.offset(start) if start else ordered).limit(limit)
 
+    def sorted_page(
+        self,
+        entity: str | DocumentMapping,
+        column: str,
+        descending: bool = False,
+        start: int = 0,
+        size: int | None = None,
+    ) -> DataFrame:
+        """A page of one entity's hits in the order of one of its columns, then of the id."""
+        limit = DEFAULT_PAGE_SIZE if size is None else size
+        mapping = self.space.registry.require(entity)
+        rows = self.space.entity(mapping).select(*DOC, F.col(f"row.{column}").alias(column))
+        key = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
+        ordered = self.matching().select(*DOC).join(rows, list(DOC)).orderBy(key, "id")
+        return (ordered.offset(start) if start else ordered).limit(limit)
+
+    def matched_terms(self) -> DataFrame:
+        """``(index, type, id, n_terms)``: how many distinct terms of a document the prefix,
+        wildcard and fuzzy clauses found."""
+        leaves = [x for x in self.leaves if isinstance(x, PatternLeaf)]
+        rows = self._rows_of(leaves, positions=False)
+        return rows.groupBy(*DOC).agg(F.count_distinct("field", "term").alias("n_terms"))
+
+    def phrase_counts(self) -> DataFrame:
+        """``(index, type, id, freq)``: how often the phrase clauses occur."""
+        places = [F.col(_f(i)) for i, x in enumerate(self.leaves) if isinstance(x, PhraseLeaf)]
+        freq = reduce(Column.__add__, places).cast("long")
+        return self.matching().select(*DOC, freq.alias("freq"))
+
+    def highlighted(
+        self,
+        documents: DataFrame,
+        fields: dict[str, tuple[int, int]],
+        pre: str = highlights.PRE_TAG,
+        post: str = highlights.POST_TAG,
+    ) -> DataFrame:
+        """``documents`` (typed, already cut to the hits wanted) with one array of fragments per
+        field. ``fields`` maps a path to ``(fragment size, number of fragments)``; a path into a
+        collection highlights each item on its own."""
+        hit = self.word_test()
+        schema = documents.schema["source"].dataType
+        marked = []
+        for path, (size, count) in fields.items():
+            value, kind = path_value("source", schema, path)
+            if isinstance(kind, T.ArrayType):
+                each = F.transform(value, lambda v: highlights.fragments(v, hit, size, count, pre, post))
+                found = F.flatten(each)
+            else:
+                found = highlights.fragments(value, hit, size, count, pre, post)
+            marked.append(found.alias(path))
+        return documents.select(*DOC, *marked)
+
     def scores(self, hits: DataFrame | None = None) -> DataFrame:
         """``(index_type, id, score)``."""
         chosen = self.hits if hits is None else hits
@@ -450,13 +503,15 @@ def in_range(value: Column, clause: q.Range) -> Column:
     return reduce(Column.__and__, tests) if tests else value.isNotNull()
 
 
+def _shift(positions: Column, by: int) -> Column:
+    return F.transform(positions, lambda position: position - by) if by else positions
+
+
 def phrase_frequency(places: list[Column], slop: int) -> Column:
     """How many occurrences of the first term take part in a match. ``places`` holds the
     positions of each term; a match brings every term, shifted by its place in the phrase,
     within ``slop`` of the others."""
-    shifted = [places[0]] + [
-        F.transform(p, lambda x, k=k: x - k) for k, p in enumerate(places[1:], start=1)
-    ]
+    shifted = [_shift(place, k) for k, place in enumerate(places)]
     if slop == 0:
         return F.size(reduce(F.array_intersect, shifted))
 

@@ -18,6 +18,7 @@ from docsearch.operators.postings import (
     tokens,
     whole_lengths,
 )
+from docsearch.operators.sizes import broadcast_if_small
 from docsearch.plans.clauses import ALL
 from docsearch.plans.mapping import DocumentMapping, Many, Registry
 from docsearch.sources.index_tables import bucket_count, bucket_of, read_index_table
@@ -170,6 +171,11 @@ class IndexSpace:
     def term_rows(self, terms, fields, exact, positions) -> DataFrame:
         rows = self._bucket(self._table("postings"), exact)
         rows = rows.where(F.col("field").isin(sorted(fields)) & terms)
+        if exact is None:
+            # which terms fit is looked up in the far smaller dictionary; its buckets prune the scan
+            place = ["bucket", "field", "term"]
+            fitting = self._table("term_stats").where(terms).select(*place).distinct()
+            rows = rows.join(broadcast_if_small(fitting), place, "left_semi")
         return rows.select(*_term_columns(positions))
 
     def term_stats(self, terms, exact) -> DataFrame:
