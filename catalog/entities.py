@@ -38,7 +38,6 @@ KEYS = {
     "log.Event": "event_id",
     "vector.Embedding": "vec_id",
 }
-TEXT_TABLES = ("corpus.Document", "web.Page", "chat.Turn")
 
 
 def mapping(name: str, **options) -> DocumentMapping:
@@ -46,12 +45,13 @@ def mapping(name: str, **options) -> DocumentMapping:
 
 
 def tables(spark: SparkSession, folder: str, *names: str):
-    """Entity tables by full name; text tables spread over the cores when kept in few files."""
-    loaded = {}
-    for name in names:
-        table = read_table(spark, folder, TABLES[name])
-        loaded[name] = spread(table) if name in TEXT_TABLES else table
-    return loaded
+    """Entity tables by full name."""
+    return {name: read_table(spark, folder, TABLES[name]) for name in names}
+
+
+def text_tables(spark: SparkSession, folder: str, *names: str):
+    """The same, spread over the cores: for jobs that analyse every row."""
+    return {name: spread(table) for name, table in tables(spark, folder, *names).items()}
 
 
 DOCUMENT = mapping(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.entities import DOC_TOKENS, DOCUMENT, mapping, tables, tok
+from catalog.entities import DOC_TOKENS, DOCUMENT, mapping, text_tables, tok
 from catalog.registry import query
 from docsearch import DocumentMapping, Many, Registry
 from docsearch.functions.analyzers import ANALYZERS, STOP_WORDS
@@ -19,7 +19,7 @@ from docsearch.operators.postings import (
 
 
 def document_rows(spark, folder, declared: DocumentMapping = DOCUMENT, with_all=False, positions=True):
-    registry, loaded = Registry([declared]), tables(spark, folder, "corpus.Document")
+    registry, loaded = Registry([declared]), text_tables(spark, folder, "corpus.Document")
     documents = build_documents(registry, loaded, declared)
     return postings(documents, search_fields(registry, loaded, declared), with_all, positions)
 
@@ -66,7 +66,7 @@ def analyze_none(spark, folder):
         only=["lang", "source"],
         fields={"lang": {"index": "no"}, "source": {"index": "not_analyzed"}},
     )
-    registry, loaded = Registry([hidden]), tables(spark, folder, "corpus.Document")
+    registry, loaded = Registry([hidden]), text_tables(spark, folder, "corpus.Document")
     documents = build_documents(registry, loaded, hidden)
     rows = postings(documents, search_fields(registry, loaded, hidden), positions=False)
     found = rows.agg(
@@ -94,7 +94,7 @@ STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
        FROM v GROUP BY analyzer""",
 )
 def analyze_variants(spark, folder):
-    documents = tables(spark, folder, "corpus.Document")["corpus.Document"]
+    documents = text_tables(spark, folder, "corpus.Document")["corpus.Document"]
     variants = F.array(
         *[
             F.struct(F.lit(name).alias("analyzer"), analyse(F.col("text")).alias("terms"))
@@ -169,7 +169,7 @@ def conversations(spark, folder):
             mapping("chat.Turn", root=False, fields={"role": {"index": "not_analyzed"}}),
         ]
     )
-    loaded = tables(spark, folder, "chat.Turn")
+    loaded = text_tables(spark, folder, "chat.Turn")
     loaded["chat.Conversation"] = loaded["chat.Turn"].select("conv_id").distinct()
     return registry, loaded
 

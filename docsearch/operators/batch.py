@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from docsearch.functions.analyzers import analyzer
 from docsearch.operators.postings import DOC, postings, search_fields, whole_lengths
 from docsearch.operators.search import SCORE_DIGITS, idf
-from docsearch.operators.sizes import broadcast_if_small
+from docsearch.operators.sizes import is_small
 from docsearch.operators.space import IndexSpace, Space, spans, union
 from docsearch.plans.clauses import ALL
 
@@ -64,7 +64,9 @@ def batch_search(
 ) -> DataFrame:
     """``(query_id, rank, index, type, id, score)``: the best ``top`` hits of each question."""
     asked = query_vocabulary(queries, analyzer_name)
-    vocabulary = broadcast_if_small(asked.select("term").distinct())
+    # everything sent to all tasks below has at most one row per row of ``asked``
+    send = F.broadcast if is_small(asked) else (lambda side: side)
+    vocabulary = send(asked.select("term").distinct())
     rows = _rows(space, field).join(vocabulary, "term", "left_semi")
     if isinstance(space, IndexSpace):
         counts = space.term_stats(F.col("field") == field, ()).select("term", "df")
@@ -72,8 +74,7 @@ def batch_search(
     else:
         counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = counts.select("term", idf(space.count().scalar(), F.col("df")).alias("idf"))
-    weighted_terms = asked.join(weights, "term")
-    pairs = rows.join(broadcast_if_small(weighted_terms), "term")
+    pairs = rows.join(send(asked.join(weights, "term")), "term")
     scored = pairs.groupBy("query_id", *DOC).agg(
         F.sum(F.sqrt("tf") * F.pow("idf", F.lit(2)) * F.col("norm")).alias("sum"),
         F.count(F.lit(1)).alias("matched"),

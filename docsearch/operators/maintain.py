@@ -32,6 +32,7 @@ from docsearch.sources.index_tables import (
     write_layout,
     write_table,
 )
+from docsearch.sources.tables import spread
 
 DELETE = "delete"
 
@@ -169,7 +170,8 @@ def bulk_index(
         return []
     spark = tables[mappings[0].full_name].sparkSession
     for m in mappings:
-        build_documents(registry, tables, m).write.parquet(f"{path}/typed/{m.type_name}")
+        documents = spread(build_documents(registry, tables, m))
+        documents.write.parquet(f"{path}/typed/{m.type_name}")
     typed = [(m, spark.read.parquet(f"{path}/typed/{m.type_name}")) for m in mappings]
     docs = union([as_json(d) for _, d in typed]).withColumn("version", F.lit(version).cast("long"))
     write_table(docs, path, "docs")

@@ -5,10 +5,9 @@ where a term stands in a field, together with the length and boost of that field
 scoring needs no join with a length table. The pseudo-field ``_all`` holds the terms of every included field,
 its ``tf`` weighted by the boost of the field they come from.
 
-To index, the document text is shuffled once, by id, before it is broken into terms; every
-later grouping contains the id, so none of them shuffles the (much larger) exploded terms again.
-To answer a question over tables, terms are filtered where the text is read, and only the few
-that remain are shuffled.
+A document is one row, so its postings are made inside that row and nothing is shuffled to
+index it. To answer a question over tables, terms are filtered where the text is read, and only
+the few that remain are shuffled.
 """
 
 from __future__ import annotations
@@ -129,27 +128,19 @@ def tokens(
     the caller will keep: rows whose text contains none of them are then not analysed at all.
     """
     schema = documents.schema["source"].dataType
-    wanted = [f for f in fields if _has_path(schema, f.path)]
-    if not wanted:
-        raise ValueError("no searchable field")
-    arrays = {f"__t{i}": f for i, f in enumerate(wanted)}
+    wanted = _present(documents, fields)
     if exact is not None:
         possible = _can_hold(schema, wanted, exact)
         documents = documents if possible is None else documents.where(possible)
     if by_document:
-        # rows of one large document may go apart; otherwise the id alone decides the place
+        # Rows of one large document may go apart; otherwise the id alone decides the place. The
+        # number is given, or adaptive execution would judge by the size of the text and leave
+        # too few tasks for the many terms it breaks into.
         nested = any("." in f.path for f in wanted)
-        documents = documents.repartition(*(["id", "part"] if nested else ["id"]))
-    analysed = documents.select(
-        *ROW,
-        *[
-            F.coalesce(
-                terms_of(*path_value("source", schema, f.path), f.analyzer),
-                F.array().cast("array<string>"),
-            ).alias(name)
-            for name, f in arrays.items()
-        ],
-    )
+        documents = documents.repartition(
+            _partitions(documents), *(["id", "part"] if nested else ["id"])
+        )
+    analysed, arrays = _analysed(documents, wanted)
     runs = [
         _run(f.path, name, F.lit(1.0), F.lit(0), F.size(name), f.boost)
         for name, f in arrays.items()
@@ -182,6 +173,12 @@ def tokens(
     )
 
 
+def _partitions(rows: DataFrame) -> int:
+    session = rows.sparkSession
+    configured = int(session.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, session.sparkContext.defaultParallelism)
+
+
 def _can_hold(
     schema: T.StructType, fields: Sequence[SearchField], exact: Sequence[str]
 ) -> Column | None:
@@ -227,15 +224,116 @@ def postings(
     with_all: bool = False,
     positions: bool = True,
 ) -> DataFrame:
-    """Postings of ``documents``."""
-    rows = tokens(documents, fields, with_all)
-    where = [F.sort_array(F.collect_list("pos")).alias("positions")] if positions else []
-    return rows.groupBy(*ROW, "field", "term").agg(
-        F.sum("weight").alias("tf"),
-        F.max("len").alias("len"),
-        F.max("boost").alias("boost"),
-        *where,
+    """Postings of ``documents``.
+
+    With positions they are made inside each row, from its sorted tokens, and nothing is
+    shuffled. Without, the text is brought together by id and counted by a hash aggregate: the
+    result stays grouped by document, which :mod:`docsearch.operators.batch` builds on.
+    """
+    if positions:
+        return _positional(documents, fields, with_all)
+    return (
+        tokens(documents, fields, with_all)
+        .groupBy(*ROW, "field", "term")
+        .agg(F.sum("weight").alias("tf"), F.max("len").alias("len"), F.max("boost").alias("boost"))
+    )
+
+
+def _positional(
+    documents: DataFrame, fields: Sequence[SearchField], with_all: bool
+) -> DataFrame:
+    analysed, arrays = _analysed(documents, _present(documents, fields))
+    runs = [
+        _sorted_run(f.path, _placed(name, F.lit(0), 1.0), F.size(name), f.boost)
+        for name, f in arrays.items()
+    ]
+    included = [(name, f) for name, f in arrays.items() if f.in_all]
+    if with_all and included:
+        base, placed = F.lit(0), []
+        for name, f in included:
+            placed.append(_placed(name, base, f.boost))
+            base = base + F.size(name)
+        runs.append(_sorted_run(ALL, F.concat(*placed), base, 1.0))
+    run = F.explode(F.array(*runs)).alias("run")
+    rows = analysed.select(*ROW, run).select(
+        *ROW, "run.field", "run.len", "run.boost", F.sort_array("run.items").alias("items")
+    )
+    rows = rows.where(F.col("len") > 0)
+
+    def item(i: Column) -> Column:
+        return F.get(F.col("items"), i)
+
+    # where each term's run of equal items begins
+    places = F.sequence(F.lit(0), F.size("items") - 1)
+    begins = F.filter(
+        places, lambda i: (i == 0) | (item(i).getField("term") != item(i - 1).getField("term"))
+    )
+
+    def entry(begin: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(F.col("begins"), k + 1), F.size("items"))
+        return F.struct(
+            item(begin).getField("term").alias("term"),
+            F.slice(F.col("items"), begin + 1, end - begin).alias("items"),
+        )
+
+    entries = rows.withColumn("begins", begins).select(
+        *ROW, "field", "len", "boost", F.explode(F.transform("begins", entry)).alias("entry")
     )
+    weighted = F.aggregate("entry.items", F.lit(0.0), lambda total, x: total + x.weight)
+    return entries.select(
+        *ROW,
+        "field",
+        F.col("entry.term").alias("term"),
+        F.when(F.col("field") == ALL, weighted)
+        .otherwise(F.size("entry.items").cast("double"))
+        .alias("tf"),
+        "len",
+        "boost",
+        F.col("entry.items.pos").alias("positions"),
+    )
+
+
+def _placed(array: str, base: Column, weight: float) -> Column:
+    """Tokens with their position and weight."""
+    return F.transform(
+        F.col(array),
+        lambda term, i: F.struct(
+            term.alias("term"), (i + base).alias("pos"), F.lit(weight).alias("weight")
+        ),
+    )
+
+
+def _sorted_run(path: str, items: Column, length: Column, boost: float) -> Column:
+    return F.struct(
+        F.lit(path).alias("field"),
+        items.alias("items"),
+        length.alias("len"),
+        F.lit(boost).alias("boost"),
+    )
+
+
+def _present(documents: DataFrame, fields: Sequence[SearchField]) -> list[SearchField]:
+    schema = documents.schema["source"].dataType
+    wanted = [f for f in fields if _has_path(schema, f.path)]
+    if not wanted:
+        raise ValueError("no searchable field")
+    return wanted
+
+
+def _analysed(
+    documents: DataFrame, fields: Sequence[SearchField]
+) -> tuple[DataFrame, dict[str, SearchField]]:
+    """Documents with one array of terms per field, and which field each array is of."""
+    schema = documents.schema["source"].dataType
+    arrays = {f"__t{i}": f for i, f in enumerate(fields)}
+    terms = [
+        F.coalesce(
+            terms_of(*path_value("source", schema, f.path), f.analyzer),
+            F.array().cast("array<string>"),
+        ).alias(name)
+        for name, f in arrays.items()
+    ]
+    return documents.select(*ROW, *terms), arrays
 
 
 def whole_lengths(rows: DataFrame) -> DataFrame:

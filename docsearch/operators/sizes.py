@@ -10,14 +10,17 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_small(
-    side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``side`` marked for broadcast when counted and weighed to be small; else as it is, so
-    that Spark shuffles both sides and splits skewed partitions."""
+def is_small(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``side`` has at most ``rows`` rows of at most ``size`` bytes together. Reads no
+    more than ``rows`` + 1 rows of it."""
     measured = side.limit(rows + 1).select(
         F.octet_length(F.to_json(F.struct("*"))).cast("long").alias("size")
     )
     found = measured.agg(F.count("size").alias("n"), F.sum("size").alias("size")).first()
-    small = found["n"] <= rows and (found["size"] or 0) <= size
-    return F.broadcast(side) if small else side
+    return found["n"] <= rows and (found["size"] or 0) <= size
+
+
+def broadcast_if_small(side: DataFrame) -> DataFrame:
+    """``side`` marked for broadcast when counted and weighed to be small; else as it is, so
+    that Spark shuffles both sides and splits skewed partitions."""
+    return F.broadcast(side) if is_small(side) else side

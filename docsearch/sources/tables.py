@@ -11,10 +11,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has fewer splits than cores.
+    """Rows over all cores when the table is kept in fewer files than there are cores.
 
-    Text analysis is CPU-bound; a table kept in a few small files would otherwise use a few
-    cores. A table with at least one split per core is returned as it is.
+    Breaking text into terms is CPU-bound; a table in a few small files would use a few cores.
+    Only a job that does that work on every row gains from it: a search filters first.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
