@@ -97,7 +97,7 @@ def customers(**orders_options) -> Registry:
 
 
 def document_space(spark: SparkSession, folder: str, document: DocumentMapping = DOCUMENT):
-    return TableSpace.over(Registry([document]), tables(spark, folder, "corpus.Document"))
+    return TableSpace.over(Registry([document]), text_tables(spark, folder, "corpus.Document"))
 
 
 CROSS = (DOCUMENT, PAGE, TURN, PART)
@@ -108,7 +108,8 @@ def cross_registry(settings: Settings | None = None) -> Registry:
 
 
 def cross_tables(spark: SparkSession, folder: str):
-    return tables(spark, folder, "corpus.Document", "web.Page", "chat.Turn", "shop.Part")
+    texts = text_tables(spark, folder, "corpus.Document", "web.Page", "chat.Turn")
+    return {**texts, **tables(spark, folder, "shop.Part")}
 
 
 def event_changes(spark: SparkSession, folder: str):

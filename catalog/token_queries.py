@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.entities import DOC_TOKENS, DOCUMENT, mapping, text_tables, tok
 from catalog.registry import query
 from docsearch import DocumentMapping, Many, Registry
-from docsearch.functions.analyzers import ANALYZERS, STOP_WORDS
+from docsearch.functions.analyzers import ANALYZERS, STOP_WORDS, exploding
 from docsearch.operators.documents import build_documents
 from docsearch.operators.postings import (
     field_lengths,
@@ -102,7 +102,7 @@ def analyze_variants(spark, folder):
         ]
     )
     terms = documents.select(F.explode(variants).alias("v")).select(
-        "v.analyzer", F.explode("v.terms").alias("term")
+        "v.analyzer", F.explode(exploding(F.col("v.terms"))).alias("term")
     )
     per_term = terms.groupBy("analyzer", "term").agg(F.count("*").alias("n"))
     return per_term.groupBy("analyzer").agg(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsearch.functions.analyzers import analyzer
+from docsearch.functions.analyzers import analyzer, exploding
 from docsearch.operators.postings import DOC, postings, search_fields, whole_lengths
 from docsearch.operators.search import SCORE_DIGITS, idf
 from docsearch.operators.sizes import is_small
@@ -25,7 +25,8 @@ def query_vocabulary(queries: DataFrame, how: str = "standard") -> DataFrame:
     """``(query_id, k, term)``: the distinct terms of each question and how many it has."""
     terms = F.array_distinct(analyzer(how)(F.col("text")))
     asked = queries.select("query_id", terms.alias("terms"))
-    return asked.select("query_id", F.size("terms").alias("k"), F.explode("terms").alias("term"))
+    each = F.explode(exploding(F.col("terms"))).alias("term")
+    return asked.select("query_id", F.size("terms").alias("k"), each)
 
 
 def _rows(space: Space, field: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsearch.functions.analyzers import analyzer
+from docsearch.functions.analyzers import analyzer, exploding
 from docsearch.operators.documents import Tables
 from docsearch.plans.clauses import ALL
 from docsearch.plans.mapping import DocumentMapping, Field, Many, Registry
@@ -153,15 +153,10 @@ def tokens(
             runs.append(_run(ALL, name, F.lit(f.boost), base, total, 1.0))
             base = base + F.size(name)
     run = runs[0] if len(runs) == 1 else F.explode(F.array(*runs))
-    pieces = analysed.select(*ROW, run.alias("run")).select(
-        *ROW,
-        F.col("run.field").alias("field"),
-        F.col("run.weight").alias("weight"),
-        F.col("run.base").alias("base"),
-        F.col("run.len").alias("len"),
-        F.col("run.boost").alias("boost"),
-        F.posexplode("run.terms").alias("pos", "term"),
-    )
+    # the terms leave the struct before they are exploded, so that no row carries all of them
+    flat = analysed.select(*ROW, run.alias("run")).select(*ROW, "run.*")
+    kept = [c for c in flat.columns if c != "terms"]
+    pieces = flat.select(*kept, F.posexplode(exploding(F.col("terms"))).alias("pos", "term"))
     return pieces.select(
         *ROW,
         "field",

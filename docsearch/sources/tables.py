@@ -14,7 +14,7 @@ def spread(table: DataFrame) -> DataFrame:
     """Rows over all cores when the table is kept in fewer files than there are cores.
 
     Breaking text into terms is CPU-bound; a table in a few small files would use a few cores.
-    Only a job that does that work on every row gains from it: a search filters first.
+    A table with a file per core, as any large one has, is returned as it is.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(cores) if len(table.inputFiles()) < cores else table
