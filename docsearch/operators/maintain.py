@@ -22,6 +22,7 @@ from docsearch.operators.postings import (
     stored_term_stats,
     whole_lengths,
 )
+from docsearch.operators.sizes import broadcast_if_small
 from docsearch.operators.space import spans, union
 from docsearch.plans.mapping import DocumentMapping, Registry
 from docsearch.sources.index_tables import (
@@ -82,12 +83,13 @@ def reindex_owners(
     the column that holds the owner key; both sides are reduced before anything is nested."""
     mapping = registry.require(entity)
     key = mapping.keys[0]
+    owners = broadcast_if_small(owners)
     reduced = dict(tables)
     reduced[mapping.full_name] = tables[mapping.full_name].join(
-        owners.select(F.col("owner").alias(key)), key, "left_semi"
+        owners.withColumnRenamed("owner", key), key, "left_semi"
     )
     for child, fk in children.items():
-        reduced[child] = tables[child].join(owners.select(F.col("owner").alias(fk)), fk, "left_semi")
+        reduced[child] = tables[child].join(owners.withColumnRenamed("owner", fk), fk, "left_semi")
     return build_documents(registry, reduced, mapping)
 
 
@@ -96,13 +98,13 @@ def reindex_owners(
 
 def upsert(stored: DataFrame, fresh: DataFrame, key: Sequence[str] = DOC) -> DataFrame:
     """``stored`` with the documents of ``fresh`` put in: same key replaces, new key adds."""
-    kept = stored.join(fresh.select(*key).distinct(), list(key), "left_anti")
-    return kept.unionByName(fresh)
+    return unindex(stored, fresh, key).unionByName(fresh)
 
 
 def unindex(stored: DataFrame, keys: DataFrame, key: Sequence[str] = DOC) -> DataFrame:
-    """``stored`` without the documents named in ``keys``."""
-    return stored.join(keys.select(*key).distinct(), list(key), "left_anti")
+    """``stored`` without the documents named in ``keys``. Few keys are sent to the stored rows,
+    which then stay where they are; many are shuffled with them."""
+    return stored.join(broadcast_if_small(keys.select(*key)), list(key), "left_anti")
 
 
 def unindex_types(
@@ -204,7 +206,7 @@ def update_index(
     ``(index, type, id)``, and with the fresh ones put in. Statistics are counted anew."""
     buckets = bucket_count(spark, path)
     keys = [removed.select(*DOC)] + ([fresh_docs.select(*DOC)] if fresh_docs is not None else [])
-    gone = reduce(DataFrame.unionByName, keys).distinct()
+    gone = broadcast_if_small(reduce(DataFrame.unionByName, keys))
     docs = read_index_table(spark, path, "docs").join(gone, list(DOC), "left_anti")
     rows = read_index_table(spark, path, "postings").drop("bucket").join(gone, list(DOC), "left_anti")
     if fresh_docs is not None:

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 16
+#: rows of one file at most, so that no reader gets a file it cannot share
+ROWS_PER_FILE = 20_000_000
 
-_DOC = "index string, type string, id string"
 SCHEMAS = {
     "docs": "id string, part long, version long, source string, index string, type string",
     "postings": (
@@ -56,7 +57,7 @@ def write_table(rows: DataFrame, path: str, name: str) -> None:
     if parts:
         order = [*parts, "term"] if "term" in columns else parts
         rows = rows.hint("rebalance", *parts).sortWithinPartitions(*order)
-    writer = rows.write.mode("errorifexists")
+    writer = rows.write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE)
     (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{name}")
 
 

@@ -31,10 +31,3 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
-
-def settle(spark: SparkSession, rows, label: str):
-    """``rows`` written once to shared storage and read back: a cut in the lineage that
-    survives the loss of any executor, for a result that several later jobs read."""
-    path = fresh_path(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
