@@ -2,8 +2,8 @@
 
 A posting is ``(index, type, id, part, field, term, tf, len, boost, positions)``: how often and
 where a term stands in a field, together with the length and boost of that field, so that
-scoring needs no join with a length table. The pseudo-field ``_all`` holds the terms of every included field,
-its ``tf`` weighted by the boost of the field they come from.
+scoring needs no join with a length table. The pseudo-field ``_all`` holds the terms of every
+included field, its ``tf`` weighted by the boost of the field they come from.
 
 A document is one row, so its postings are made inside that row and nothing is shuffled to
 index it. To answer a question over tables, terms are filtered where the text is read, and only
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,20 +117,14 @@ def tokens(
     documents: DataFrame,
     fields: Sequence[SearchField],
     with_all: bool = False,
-    exact: Sequence[str] | None = None,
     by_document: bool = True,
 ) -> DataFrame:
     """``(index, type, id, part, field, term, pos, weight, len, boost)``: one row per token.
 
     ``by_document`` first brings the text together by id, for groupings of every token. A caller
-    that keeps few tokens leaves it off and shuffles those alone. ``exact`` names the only terms
-    the caller will keep: rows whose text contains none of them are then not analysed at all.
+    that keeps few tokens leaves it off and shuffles those alone.
     """
-    schema = documents.schema["source"].dataType
     wanted = _present(documents, fields)
-    if exact is not None:
-        possible = _can_hold(schema, wanted, exact)
-        documents = documents if possible is None else documents.where(possible)
     if by_document:
         # Rows of one large document may go apart; otherwise the id alone decides the place. The
         # number is given, or adaptive execution would judge by the size of the text and leave
@@ -174,21 +167,6 @@ def _partitions(rows: DataFrame) -> int:
     return max(configured, session.sparkContext.defaultParallelism)
 
 
-def _can_hold(
-    schema: T.StructType, fields: Sequence[SearchField], exact: Sequence[str]
-) -> Column | None:
-    """A condition every document with one of the terms satisfies; None when there is no cheap
-    one. A term is a piece of the text, in lower case for the analyzers that lower it."""
-    tests = []
-    for f in fields:
-        value, kind = path_value("source", schema, f.path)
-        if kind != T.StringType():
-            return None
-        text = F.lower(value) if f.analyzer in ("standard", "simple", "stop") else value
-        tests += [F.contains(text, F.lit(term)) for term in exact]
-    return reduce(Column.__or__, tests) if tests else F.lit(False)
-
-
 def _run(
     path: str, array: str, weight: Column, base: Column, length: Column, boost: float
 ) -> Column:

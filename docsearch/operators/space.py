@@ -91,7 +91,8 @@ class TableSpace:
         self, terms: Column, fields: set[str], exact: Sequence[str] | None, positions: bool
     ) -> DataFrame:
         """Rows whose ``tf`` adds up to how often a term stands in a field, for the terms of the
-        named fields that satisfy ``terms``. ``exact`` lists the only terms that can, if known."""
+        named fields that satisfy ``terms``. ``exact`` lists the only terms that can, if known;
+        tables have no use for it."""
         found = []
         for mapping in self.mappings:
             known = search_fields(self.registry, self.tables, mapping)
@@ -103,7 +104,7 @@ class TableSpace:
             if spans(self.registry, mapping):
                 rows = whole_lengths(postings(documents, wanted, with_all, positions)).where(terms)
             else:
-                rows = tokens(documents, wanted, with_all, exact, by_document=False).where(terms)
+                rows = tokens(documents, wanted, with_all, by_document=False).where(terms)
                 rows = rows.withColumnRenamed("weight", "tf")
                 rows = rows.withColumn("positions", F.array("pos")) if positions else rows
             found.append(rows.select(*_term_columns(positions)))

@@ -205,6 +205,11 @@ def test_page_of_size_zero_and_default(spark):
     assert result.total().first().total == 70
 
 
+def test_a_question_without_words_finds_nothing(spark):
+    s = space(spark, (1, "red", 1.0))
+    assert found(search(s, "?!")) == [] and search(s, "?!").total().first().total == 0
+
+
 def test_entity_search_cannot_be_redirected(spark):
     other = DocumentMapping("other.Thing", "id")
     registry = Registry([PRODUCT, other])
