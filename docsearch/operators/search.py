@@ -198,8 +198,10 @@ class Search:
                 parts = [self.space.keys().limit(0)]
             sums = [F.sum(_f(i)).alias(_f(i)) for i in range(len(self.leaves))]
             norms = [F.max(f"n{j}").alias(f"n{j}") for j in range(len(self.fields))]
-            filled = [self._filled(p) for p in parts]
-            self._rows = union(filled).groupBy(*DOC).agg(*sums, *norms)
+            filled = union([self._filled(p) for p in parts])
+            columns = [*sums, *norms]
+            # a question without words has no leaf, and no document
+            self._rows = filled.groupBy(*DOC).agg(*columns) if columns else filled
         return self._rows
 
     def _filled(self, part: DataFrame) -> DataFrame:
@@ -338,7 +340,7 @@ class Search:
             F.when(hit, self._score(c)).otherwise(0.0)
             for hit, c in zip(hits, scoring, strict=True)
         ]
-        total = reduce(Column.__add__, parts)
+        total = reduce(Column.__add__, parts, F.lit(0.0))
         if len(scoring) > 1:
             matched = reduce(Column.__add__, [hit.cast("int") for hit in hits])
             total = total * matched / len(scoring)
