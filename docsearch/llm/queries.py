@@ -2,20 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.llm.registry import query
 from docsearch.llm.bit_sliced import top_k
 from docsearch.llm.hilbert import hilbert_shards
 from docsearch.llm.metric_join import near_vectors
+from docsearch.llm.pair_bpe import bpe_decode, bpe_encode
 from docsearch.llm.pivot_simhash import simhash_components
+from docsearch.llm.rank_profiles import collected, held_out, identify, learn
+from docsearch.llm.registry import query
+from docsearch.llm.retrieval_packing import pack
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_retrieval_packing")
+def op1_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(table(spark, folder, "documents"), WORD_BPE)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @query("op2_hilbert_shards")
 def op2_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -97,3 +118,28 @@ def op7_pivot_simhash(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op8_metric_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op9_rank_profiles")
+def op9_rank_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = identify(docs.select("doc_id", "text"), collected(learn(docs)))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_pair_bpe")
+def op10_pair_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), BYTE_BPE)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    decoded = bpe_decode(
+        encoded.select(
+            "doc_id",
+            F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(listed, 256).alias("ids_sha256"),
+            "ids",
+        ),
+        BYTE_BPE,
+    )
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+    )
