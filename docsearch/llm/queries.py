@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from docsearch.llm.bit_sliced import top_k
 from docsearch.llm.hilbert import hilbert_shards
+from docsearch.llm.line_join import line_classes
+from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
 from docsearch.llm.metric_join import near_vectors
 from docsearch.llm.pair_bpe import bpe_decode, bpe_encode
 from docsearch.llm.pivot_simhash import simhash_components
@@ -18,6 +20,14 @@ from docsearch.llm.retrieval_packing import pack
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
+URL_RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -143,3 +153,64 @@ def op10_pair_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
     )
+
+
+@query("op4_line_join")
+def op4_line_join(spark: SparkSession, folder: str) -> DataFrame:
+    return line_classes(table(spark, folder, "documents"))
+
+
+def _verdict_sql() -> str:
+    """The same judgement in SQL, with every step of the spreading written out."""
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    host = f"coalesce(translate(regexp_extract({{}}, '(?s)^.*?://([^/?#]*)', 1), {lower}), '')"
+    rules = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
+    steps = "ranks0 AS (SELECT host, t, d, t * (1 - {0}) AS trust, d * (1 - {0}) AS distrust FROM seeds)".format(
+        DAMPING
+    )
+    for i in range(1, STEPS * ROUNDS + 1):
+        steps += f""", ranks{i} AS (
+      SELECT host, t, d,
+        t * (1 - {DAMPING}) + {DAMPING} * coalesce((SELECT sum(r.trust * e.ahead) FROM edges e
+          JOIN ranks{i - 1} r ON r.host = e.source WHERE e.target = s.host), 0) AS trust,
+        d * (1 - {DAMPING}) + {DAMPING} * coalesce((SELECT sum(r.distrust * e.back) FROM edges e
+          JOIN ranks{i - 1} r ON r.host = e.target WHERE e.source = s.host), 0) AS distrust
+      FROM seeds s)"""
+    return rf"""
+    WITH rules(of, start, said) AS (VALUES {rules}), p AS (
+      SELECT page_id, {host.format("url")} AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html
+      FROM pages
+    ), ruled AS (
+      SELECT page_id, host, path, best.rule, best.said FROM p LEFT JOIN LATERAL (
+        SELECT of || start AS rule, said FROM rules
+        WHERE (host = of OR ends_with(host, '.' || of)) AND starts_with(path, start)
+        ORDER BY length(of || start) DESC, length(of) DESC LIMIT 1) best ON true
+    ), found AS (
+      SELECT host AS source, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?([^"''\s>]+)', 1)) AS link FROM p
+    ), pairs AS (
+      SELECT source, {host.format("CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END")} AS target
+      FROM found WHERE contains(link, '//')
+    ), links AS (
+      SELECT source, target, count(*) AS links FROM pairs
+      WHERE source <> '' AND target <> '' AND source <> target GROUP BY ALL
+    ), edges AS (
+      SELECT source, target, links / sum(links) OVER (PARTITION BY source) AS ahead,
+        links / sum(links) OVER (PARTITION BY target) AS back FROM links
+    ), named AS (
+      SELECT host FROM p WHERE host <> '' UNION SELECT source FROM links UNION SELECT target FROM links
+    ), seeds AS (
+      SELECT n.host,
+        coalesce(count(*) FILTER (r.said = 'allow') / nullif((SELECT count(*) FROM ruled WHERE said = 'allow'), 0), 0) AS t,
+        coalesce(count(*) FILTER (r.said = 'block') / nullif((SELECT count(*) FROM ruled WHERE said = 'block'), 0), 0) AS d
+      FROM named n LEFT JOIN ruled r ON r.host = n.host GROUP BY n.host
+    ), {steps}
+    SELECT r.page_id, r.host, r.path, r.rule,
+      coalesce(r.said, CASE WHEN k.distrust > {RATIO} * k.trust THEN 'block' ELSE 'allow' END) AS verdict
+    FROM ruled r LEFT JOIN ranks{STEPS * ROUNDS} k ON k.host = r.host
+    """
+
+
+@query("op6_link_graph", _verdict_sql())
+def op6_link_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return page_verdicts(table(spark, folder, "pages"), URL_RULES)
