@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docsearch.llm.bit_sliced import top_k
 from docsearch.llm.hilbert import hilbert_shards
+from docsearch.llm.license_scan import license_scan
 from docsearch.llm.line_join import line_classes
 from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
 from docsearch.llm.metric_join import near_vectors
@@ -160,6 +161,11 @@ def op4_line_join(spark: SparkSession, folder: str) -> DataFrame:
     return line_classes(table(spark, folder, "documents"))
 
 
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))
+
+
 def _verdict_sql() -> str:
     """The same judgement in SQL, with every step of the spreading written out."""
     lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
