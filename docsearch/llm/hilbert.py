@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsearch.llm.tables import written
+from docsearch.llm.tables import free_name, written
 
 SHARDS = 16
 BITS = 5
@@ -135,17 +135,20 @@ def hilbert_shards(
 def write_shards(table: DataFrame, placed: DataFrame, key: str, path: str, rows: int = 1_000_000) -> None:
     """Write ``table`` by shard, in curve order inside files of about ``rows`` rows.
 
-    ``placed`` is what :func:`hilbert_shards` gave for it; ``key`` must be unique. Each file covers
+    ``placed`` is what :func:`hilbert_shards` gave for it; ``key`` must be unique. Columns
+    ``shard`` and ``slot`` of ``table`` are replaced. Each file covers
     a short run of the curve, so its Parquet statistics bound every dimension at once.
     """
-    place = placed.select(F.col(key).alias("_key"), "shard", "slot")
+    rest = table.drop("shard", "slot")
+    owner, run = free_name(rest, "owner"), free_name(rest, "run")
+    place = placed.select(F.col(key).alias(owner), "shard", "slot")
     (
-        table.join(place, F.col(key).eqNullSafe(F.col("_key")))
-        .drop("_key")
-        .withColumn("run", F.expr(f"slot DIV {rows}"))
-        .repartition("shard", "run")
+        rest.join(place, F.col(key).eqNullSafe(F.col(owner)))
+        .drop(owner)
+        .withColumn(run, F.expr(f"slot DIV {rows}"))
+        .repartition("shard", run)
         .sortWithinPartitions("shard", "slot")
-        .drop("run")
+        .drop(run)
         .write.partitionBy("shard")
         .parquet(path)
     )

@@ -296,4 +296,4 @@ def license_scan(
                     )
                 at = end
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_whole_text")).mapInArrow(each, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("whole text")).mapInArrow(each, schema)

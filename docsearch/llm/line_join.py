@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsearch.llm.components import components
-from docsearch.llm.tables import written
+from docsearch.llm.tables import free_name, written
 
 #: lines at this edit distance or less are near copies
 DISTANCE = 2
@@ -221,19 +221,21 @@ def without_repeated_lines(
 ) -> DataFrame:
     """``docs`` whose texts hold each class of near-duplicate lines once, at its first place.
 
-    A document that loses all its lines goes; one without an id or text, or with an empty text, stays
-    as it is.
+    A document that loses lines and has none of MIN_CHARS characters left goes, since what remains is
+    no passage; one that loses none, or has no id or text, stays as it is.
     """
+    owner, gone = free_name(docs, "owner"), free_name(docs, "gone")
     repeated = (
         line_classes(docs, id_col, text_col, distance)
         .where("not kept")
-        .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.collect_set("line_no").alias("_lines"))
+        .groupBy(F.col(id_col).alias(owner))
+        .agg(F.collect_set("line_no").alias(gone))
     )
     lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    rest = F.filter(lines, lambda _, i: ~F.array_contains("_lines", i))
-    joined = docs.join(repeated, F.col(id_col) == F.col("_id"), "left")
-    text = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
-    return joined.where(F.col("_lines").isNull() | (F.size(rest) > 0)).select(
+    rest = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
+    joined = docs.join(repeated, F.col(id_col) == F.col(owner), "left")
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
+    passage = F.exists(rest, lambda line: F.char_length(line) >= MIN_CHARS)
+    return joined.where(F.col(gone).isNull() | passage).select(
         *(text.alias(c) if c == text_col else F.col(c) for c in docs.columns)
     )

@@ -228,10 +228,10 @@ def bpe_encode(table: DataFrame, path: str, text_col: str = "text", ids_col: str
 
     ``path`` names a byte-level BPE file of the tokenizers library that all executors can open;
     ids are that library's, special tokens written in a text included. Whole texts of any length;
-    a null text is an empty one, and an empty one has no ids. Other columns are carried along,
-    repeated rows stay, and an empty table gives an empty result.
+    a null text is an empty one, and an empty one has no ids. Other columns are carried along (one
+    named ``ids_col`` is replaced), repeated rows stay, and an empty table gives an empty result.
     """
-    others = [c for c in table.columns if c != text_col]
+    others = [c for c in table.columns if c not in (text_col, ids_col)]
     schema = T.StructType(
         [table.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     )
@@ -260,9 +260,9 @@ def bpe_decode(table: DataFrame, path: str, ids_col: str = "ids", text_col: str
 
     Bytes that are no UTF-8 become U+FFFD, special tokens their own text. Null ids give null, a
     null inside the ids counts as no token, no ids an empty text; an id outside the vocabulary is
-    an error. Other columns are carried along.
+    an error. Other columns are carried along (one named ``text_col`` is replaced).
     """
-    others = [c for c in table.columns if c != ids_col]
+    others = [c for c in table.columns if c not in (ids_col, text_col)]
     schema = T.StructType([table.schema[c] for c in others] + [T.StructField(text_col, T.StringType())])
 
     def text_of(ids: np.ndarray, vocab: Vocabulary) -> str:

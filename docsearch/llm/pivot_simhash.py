@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsearch.llm.components import components
-from docsearch.llm.tables import field_of, written
+from docsearch.llm.tables import field_of, free_name, written
 
 SEED = 42
 SHINGLE = 3
@@ -206,5 +206,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of repeated rows with the id that stays, all stay; rows without an id are left as they are.
     """
     groups = simhash_components(docs, id_col, text_col)
-    dropped = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("_drop"))
-    return docs.join(dropped.distinct(), F.col(id_col) == F.col("_drop"), "left_anti")
+    drop = free_name(docs, "dropped")
+    dropped = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias(drop))
+    return docs.join(dropped.distinct(), F.col(id_col) == F.col(drop), "left_anti")

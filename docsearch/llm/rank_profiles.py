@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from docsearch.llm.tables import free_name
+
 #: n-grams in a profile
 PROFILE = 300
 #: about so many labelled rows of a language are learned from, those of least hash
@@ -181,5 +183,5 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
                 [*kept, "lang_pred", "score"],
             )
 
-    text = F.col(text_col).cast("string").alias("_whole_text")
+    text = F.col(text_col).cast("string").alias(free_name(docs, "whole"))
     return docs.select(*kept, text).mapInArrow(each, schema)

@@ -19,6 +19,16 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """``wanted``, or the first variation of it that is no column of ``frame``."""
+    taken = {c.lower() for c in frame.columns}
+    name, n = wanted, 0
+    while name in taken:
+        n += 1
+        name = f"{wanted}{n}"
+    return name
+
+
 def field_of(frame: DataFrame, column: str, name: str) -> T.StructField:
     """The type of ``column`` under a new name, for the schema of an Arrow function."""
     return T.StructField(name, frame.schema[column].dataType, True)
