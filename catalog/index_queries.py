@@ -98,6 +98,8 @@ def bulk_index_all(spark, folder):
 
 
 PLAIN_ORDER = mapping("shop.Order")
+#: events can share a time; their number, which is also that of their transaction, tells them apart
+CHANGE_ORDER = ("seq", "tx_id")
 
 
 @query(
@@ -198,39 +200,39 @@ def delete_index_query(spark, folder):
 
 @query(
     "fold_last",
-    """SELECT user_id, arg_max(value, ts) AS value, max(epoch_us(ts)) AS seq
+    """SELECT user_id, arg_max(value, (ts, event_id)) AS value, max(epoch_us(ts)) AS seq
        FROM events WHERE event_type <> 'error' GROUP BY user_id""",
 )
 def fold_last_query(spark, folder):
-    requests = event_changes(spark, folder).where("op <> 'delete'").select("type", "id", "seq", "value")
-    folded = fold_last(requests, ("type", "id"), ("seq",))
+    requests = event_changes(spark, folder).where("op <> 'delete'").select("type", "id", "seq", "tx_id", "value")
+    folded = fold_last(requests, ("type", "id"), CHANGE_ORDER)
     return folded.select(F.col("id").cast("long").alias("user_id"), "value", "seq")
 
 
 @query(
     "fold_last_wins",
-    f"""SELECT user_id, arg_max({OP}, ts) AS op, arg_max(value, ts) AS value
+    f"""SELECT user_id, arg_max({OP}, (ts, event_id)) AS op, arg_max(value, (ts, event_id)) AS value
        FROM events GROUP BY user_id""",
 )
 def fold_last_wins(spark, folder):
-    folded = fold_last(event_changes(spark, folder), ("type", "id"), ("seq",))
+    folded = fold_last(event_changes(spark, folder), ("type", "id"), CHANGE_ORDER)
     return folded.select(F.col("id").cast("long").alias("user_id"), "op", "value")
 
 
 @query(
     "fold_delete_wins",
     f"""SELECT CAST(ts AS DATE) AS day, user_id,
-              CASE WHEN bool_or(event_type = 'error') THEN 'delete' ELSE arg_max({OP}, ts) END AS op
+              CASE WHEN bool_or(event_type = 'error') THEN 'delete' ELSE arg_max({OP}, (ts, event_id)) END AS op
        FROM events GROUP BY 1, 2""",
 )
 def fold_delete_wins_query(spark, folder):
-    folded = fold_delete_wins(event_changes(spark, folder), ("day", "type", "id"), ("seq",))
+    folded = fold_delete_wins(event_changes(spark, folder), ("day", "type", "id"), CHANGE_ORDER)
     return folded.select("day", F.col("id").cast("long").alias("user_id"), "op")
 
 
 @query(
     "fold_committed",
-    f"""SELECT user_id, arg_max({OP}, ts) AS op, max(epoch_us(ts)) AS seq
+    f"""SELECT user_id, arg_max({OP}, (ts, event_id)) AS op, max(epoch_us(ts)) AS seq
        FROM events JOIN orders ON o_orderkey = event_id
        WHERE o_orderstatus = 'F' GROUP BY user_id""",
 )
@@ -244,7 +246,7 @@ def fold_committed(spark, folder):
         F.col("o_orderkey").alias("tx_id"), F.coalesce(status, F.lit("unknown")).alias("status")
     )
     changes = committed(event_changes(spark, folder), transactions)
-    folded = fold_last(changes, ("type", "id"), ("seq",))
+    folded = fold_last(changes, ("type", "id"), CHANGE_ORDER)
     return folded.select(F.col("id").cast("long").alias("user_id"), "op", "seq")
 
 
@@ -323,16 +325,16 @@ def event_feed(spark, folder, files_per_batch: int = 8):
 
 @query(
     "stream_mirror",
-    f"""SELECT user_id, arg_max({OP}, ts) AS op, arg_max(value, ts) AS value, max(epoch_us(ts)) AS version
+    f"""SELECT user_id, arg_max({OP}, (ts, event_id)) AS op, arg_max(value, (ts, event_id)) AS value, max(epoch_us(ts)) AS version
        FROM events GROUP BY user_id""",
 )
 def stream_mirror(spark, folder):
     feed = event_feed(spark, folder).drop("day")
     schema = T.StructType(feed.schema.fields)
     log, checkpoint = fresh_path(spark, "mirror-log"), fresh_path(spark, "mirror-checkpoint")
-    run = mirror(feed, log, checkpoint)
+    run = mirror(feed, log, checkpoint, order=CHANGE_ORDER)
     run.awaitTermination()
-    state = current_changes(read_log(spark, log, schema))
+    state = current_changes(read_log(spark, log, schema), CHANGE_ORDER)
     return state.select(F.col("id").cast("long").alias("user_id"), "op", "value", "version")
 
 

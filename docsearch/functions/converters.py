@@ -23,8 +23,11 @@ class Converter:
 lower_case = Converter(out=F.lower, into=F.upper)
 
 
-def date_out(value: Column) -> Column:
-    """Any date or timestamp as one ISO text with milliseconds."""
+def date_out(value: Column, zoned: bool = False) -> Column:
+    """Any date or timestamp as one ISO text with milliseconds, in UTC. Only a ``zoned`` one, which
+    Spark would show in the session's time zone, has to be moved there."""
+    if zoned:
+        value = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
     return F.date_format(value, DATE_OUT_FORMAT)
 
 

@@ -41,9 +41,16 @@ class Hop:
 
 
 def id_column(mapping: DocumentMapping) -> Column:
-    """The document id: the key as text, the parts of a composite key joined by ``_``."""
+    """The document id: the key as text, the parts of a composite key joined by ``_``.
+
+    Inside a part ``_`` and ``\\`` are escaped, so different keys never share an id. A key with a
+    null part is null, which no index takes.
+    """
     keys = [F.col(k).cast("string") for k in mapping.keys]
-    return keys[0] if len(keys) == 1 else F.concat_ws("_", *keys)
+    if len(keys) == 1:
+        return keys[0]
+    parts = [F.regexp_replace(k, r"([\\_])", r"\\$1") for k in keys]
+    return F.concat(*[piece for part in parts for piece in (F.lit("_"), part)][1:])
 
 
 def key_column(mapping: DocumentMapping) -> Column:
@@ -86,8 +93,9 @@ def scalar_column(field: Field) -> Column:
         return field.converter.out(value)
     if field.is_date:
         if isinstance(field.data_type, T.ArrayType):
-            return F.transform(value, date_out)
-        return date_out(value)
+            zoned = isinstance(field.data_type.elementType, T.TimestampType)
+            return F.transform(value, lambda item: date_out(item, zoned))
+        return date_out(value, isinstance(field.data_type, T.TimestampType))
     return value
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from docsearch.functions.converters import Converter, date_in
 from docsearch.operators.documents import Tables, id_column
 from docsearch.plans.mapping import DocumentMapping, Registry
+from docsearch.settings import Settings
 
 
 def known_hits(registry: Registry, hits: DataFrame) -> DataFrame:
@@ -36,10 +37,15 @@ def hydrate(
 
 
 def parse_documents(
-    documents: DataFrame, schema: T.StructType, components: bool = True
+    documents: DataFrame,
+    schema: T.StructType,
+    components: bool | None = None,
+    settings: Settings | None = None,
 ) -> DataFrame:
-    """JSON ``source`` back to columns. With ``components`` off, nested objects stay raw maps of
+    """JSON ``source`` back to columns. With ``components`` off (by default as ``settings`` say), nested objects stay raw maps of
     texts and collections of them arrays of such maps."""
+    if components is None:
+        components = (settings or Settings()).unmarshall_components
     wanted = schema if components else T.StructType([_raw(f) for f in schema.fields])
     parsed = documents.withColumn("__doc", F.from_json("source", wanted))
     return parsed.select("id", *[F.col(f"__doc.`{f.name}`").alias(f.name) for f in wanted])
@@ -88,9 +94,15 @@ def convert_in(documents: DataFrame, column: str, converter: Converter) -> DataF
     return documents.withColumn(column, converter.into(F.col(column)))
 
 
-def parse_dates(documents: DataFrame, column: str, formats: Sequence[str] | None = None) -> DataFrame:
-    text = F.col(column)
-    return documents.withColumn(column, date_in(text, formats) if formats else date_in(text))
+def parse_dates(
+    documents: DataFrame,
+    column: str,
+    formats: Sequence[str] | None = None,
+    settings: Settings | None = None,
+) -> DataFrame:
+    """A text column as timestamps, by ``formats`` or those of ``settings``."""
+    chosen = formats or (settings or Settings()).date_formats
+    return documents.withColumn(column, date_in(F.col(column), chosen))
 
 
 def structural_errors(registry: Registry, entity: str | DocumentMapping, schema: T.StructType) -> dict[str, Column]:

@@ -96,9 +96,23 @@ def reindex_owners(
 # -- document sets -----------------------------------------------------------------------
 
 
-def upsert(stored: DataFrame, fresh: DataFrame, key: Sequence[str] = DOC) -> DataFrame:
-    """``stored`` with the documents of ``fresh`` put in: same key replaces, new key adds."""
-    return unindex(stored, fresh, key).unionByName(fresh)
+def newest(documents: DataFrame, key: Sequence[str] = DOC, order: Sequence[str] = ()) -> DataFrame:
+    """One document per key: the last by ``order`` (``version`` where there is one), and of equal
+    ones always the same. All parts of a document that is kept in several rows stay."""
+    by = [*key, *(["part"] if "part" in documents.columns and "part" not in key else [])]
+    ranks = list(order) or [c for c in ("version",) if c in documents.columns]
+    rest = [c for c in documents.columns if c not in by]
+    tie = F.xxhash64(F.to_json(F.struct(*rest)))
+    last = F.max_by(F.struct(*rest), F.struct(*ranks, tie)).alias("__last")
+    return documents.groupBy(*by).agg(last).select(*by, "__last.*").select(*documents.columns)
+
+
+def upsert(
+    stored: DataFrame, fresh: DataFrame, key: Sequence[str] = DOC, order: Sequence[str] = ()
+) -> DataFrame:
+    """``stored`` with the documents of ``fresh`` put in: same key replaces, new key adds. Of several
+    fresh documents with one key the last by ``order`` counts."""
+    return unindex(stored, fresh, key).unionByName(newest(fresh, key, order))
 
 
 def unindex(stored: DataFrame, keys: DataFrame, key: Sequence[str] = DOC) -> DataFrame:

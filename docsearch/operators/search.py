@@ -12,6 +12,7 @@ the sum by the share of its scoring clauses that matched.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -264,7 +265,7 @@ class Search:
             norm = F.max(F.col("boost") / F.sqrt(F.col("len"))).alias(f"n{j}")
             together = rows.groupBy(*ROW).agg(*places, norm)
             every = reduce(Column.__and__, [F.size(f"p{k}") > 0 for k in range(len(leaf.terms))])
-            freq = phrase_frequency([F.col(f"p{k}") for k in range(len(leaf.terms))], leaf.slop)
+            freq = phrase_frequency([F.col(f"p{k}") for k in range(len(leaf.terms))], leaf.slop, leaf.terms)
             found.append(
                 together.where(every)
                 .select(*DOC, freq.cast("double").alias(_f(i)), f"n{j}")
@@ -510,20 +511,40 @@ def _shift(positions: Column, by: int) -> Column:
     return F.transform(positions, lambda position: position - by) if by else positions
 
 
-def phrase_frequency(places: list[Column], slop: int) -> Column:
+def _first_between(positions: Column, low: Column, high: Column) -> Column:
+    return F.array_min(F.filter(positions, lambda x: (x >= low) & (x <= high)))
+
+
+def phrase_frequency(places: list[Column], slop: int, terms: Sequence[str] = ()) -> Column:
     """How many occurrences of the first term take part in a match. ``places`` holds the
     positions of each term; a match brings every term, shifted by its place in the phrase,
-    within ``slop`` of the others."""
+    within ``slop`` of the others. A term that ``terms`` names twice needs two positions."""
     shifted = [_shift(place, k) for k, place in enumerate(places)]
     if slop == 0:
         return F.size(reduce(F.array_intersect, shifted))
+    names = terms or tuple(range(len(places)))
 
     def near(start: Column) -> Column:
         def window(low: Column) -> Column:
-            others = [
-                F.exists(p, lambda x: (x >= low) & (x <= low + slop)) for p in shifted[1:]
-            ]
-            return reduce(Column.__and__, others, F.lit(True))
+            return reduce(Column.__and__, [placed(name, low) for name in dict.fromkeys(names)], F.lit(True))
+
+        def placed(name, low: Column) -> Column:
+            """Whether all occurrences of one term in the phrase find positions of their own: each
+            takes the first that is free and in its window, in order; ``start`` holds the first."""
+            offsets = [k for k, other in enumerate(names) if other == name and k]
+            if not offsets:
+                return F.lit(True)
+            if len(offsets) == 1 and names[0] != name:
+                return F.exists(shifted[offsets[0]], lambda x: (x >= low) & (x <= low + slop))
+            positions = places[offsets[0]]
+            if names[0] == name:
+                positions = F.filter(positions, lambda x: x != start)
+            taken = F.lit(-1)
+            for k in offsets:
+                free = _first_between(positions, F.greatest(low + k, taken + 1), low + k + slop)
+                # past every window once an occurrence finds none
+                taken = F.coalesce(free, F.lit(2**30))
+            return taken < 2**30
 
         return F.exists(F.sequence(start - slop, start), window)
 

@@ -48,6 +48,8 @@ class TableSpace:
             and (chosen_indices is None or registry.index_of(m) in chosen_indices)
             and (chosen_types is None or m.type_name in chosen_types)
         ]
+        if not mappings:
+            raise ValueError(f"no entity with a table is in indices {indices} and types {types}")
         return cls(registry, tables, mappings)
 
     def documents(self) -> DataFrame:

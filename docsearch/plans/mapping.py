@@ -240,7 +240,7 @@ class Registry:
         for name, given in options.items():
             association = given.get("component") or given.get("reference")
             if name not in schema.fieldNames() and not association:
-                raise ValueError(f"{mapping.full_name}: unable to find property {name!r}")
+                raise ValueError(f"{mapping.full_name} has options for {name!r}, which is no column")
         return [
             self._field(mapping, name, options.get(name, {}), schema)
             for name in [*columns, *associations]
@@ -253,7 +253,7 @@ class Registry:
         component = given.get("component") or None
         reference = given.get("reference") or None
         if component and reference:
-            raise ValueError(f"{where}: cannot be component and reference at once")
+            raise ValueError(f"{where} is declared both nested and referenced; choose one")
         association = component or reference
         if association is not None and not isinstance(association, One | Many):
             raise ValueError(f"{where}: association must be One(...) or Many(...)")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: a session whose executors are threads of the driver
+ONE_PROCESS = re.compile(r"local(\[.*\])?")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not ONE_PROCESS.fullmatch(spark.sparkContext.master):
             raise ValueError(f"set {SETTING} to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="docsearch-")
         spark.conf.set(SETTING, named)

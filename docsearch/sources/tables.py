@@ -11,10 +11,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores when the table is kept in fewer files than there are cores.
+    """Rows over all cores when the scan has fewer tasks than there are cores.
 
-    Breaking text into terms is CPU-bound; a table in a few small files would use a few cores.
-    A table with a file per core, as any large one has, is returned as it is.
+    Breaking text into terms is CPU-bound; a small table would use a few cores. A large table is
+    read by as many tasks as its files can be split into, and is returned as it is.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

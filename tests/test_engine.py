@@ -44,6 +44,7 @@ from docsearch.streaming.mirror import (
     fold_batch,
     mirror,
     read_log,
+    settle,
 )
 
 PRODUCT = DocumentMapping("test.Product", "id")
@@ -302,7 +303,7 @@ def test_mirror_applies_batches_and_ignores_replays_and_late_changes(spark):
     once = {r.id: (r.version, r.op) for r in current_changes(read_log(spark, log, schema)).collect()}
     assert once == expected
     # the same changes arrive again as another batch
-    fold_batch(spark.createDataFrame(rows[:20], SCHEMA)).write.parquet(f"{log}/batch=99")
+    fold_batch(spark.createDataFrame(rows[:20], SCHEMA)).write.parquet(f"{log}/run=again/batch=99")
     again = read_log(spark, log, schema)
     assert {r.id: (r.version, r.op) for r in current_changes(again).collect()} == expected
     alive = {k for k, v in expected.items() if v[1] != "delete"}
@@ -328,3 +329,78 @@ def test_mirror_can_be_switched_off(spark):
 
 def test_entity_tables_exist(spark, folder):
     assert all(tables(spark, folder, name)[name].columns for name in TABLES)
+
+
+def test_a_fresh_checkpoint_never_overwrites_the_log(spark):
+    source, log = fresh_path(spark, "feed"), fresh_path(spark, "log")
+    for n in (1, 2):
+        one = [("test_product", str(n), n, "insert", float(n))]
+        spark.createDataFrame(one, SCHEMA).coalesce(1).write.parquet(f"{source}/{n}")
+        feed = spark.readStream.schema(SCHEMA).parquet(f"{source}/{n}")
+        mirror(feed, log, fresh_path(spark, "state"), REGISTRY).awaitTermination()
+    assert sorted(r.id for r in current_documents(read_log(spark, log, feed.schema)).collect()) == ["1", "2"]
+
+
+def test_a_late_commit_status_loses_no_change(spark):
+    source, log, left = (fresh_path(spark, x) for x in ("feed", "log", "left"))
+    schema = "type string, id string, seq bigint, op string, tx_id int"
+    rows = [("test_product", str(i), i, "insert", i) for i in (1, 2, 3, 4)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    early = spark.createDataFrame([(1, "committed"), (2, "rolled_back"), (3, "open")], "tx_id int, status string")
+    feed = spark.readStream.schema(schema).parquet(source)
+    mirror(feed, log, fresh_path(spark, "state"), REGISTRY, early).awaitTermination()
+
+    def known():
+        return sorted(r.id for r in current_documents(read_log(spark, log, feed.schema)).collect())
+
+    assert known() == ["1"]
+    late = spark.createDataFrame([(1, "committed"), (2, "rolled_back"), (3, "committed")], "tx_id int, status string")
+    settle(spark, log, feed.schema, late, left, REGISTRY)
+    assert known() == ["1", "3"]
+    assert [r.id for r in spark.read.parquet(f"{left}-waiting").collect()] == ["4"]
+
+
+def test_changes_of_equal_seq_are_told_apart_by_the_full_order(spark):
+    rows = [("test_product", "1", 5, "insert", float(i)) for i in range(20)]
+    changes = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert [r.value for r in fold_batch(changes, order=("seq", "value")).collect()] == [19.0]
+
+
+def test_upsert_keeps_one_document_per_key(spark):
+    def documents(*rows):
+        return build_documents(REGISTRY, {"test.Product": products(spark, *rows)}, PRODUCT)
+
+    twice = documents((1, "a", 1.0), (1, "a", 1.0), (2, "b", 1.0)).withColumn("version", F.lit(1))
+    newer = documents((2, "c", 1.0)).withColumn("version", F.lit(2))
+    put = upsert(documents((3, "d", 1.0)).withColumn("version", F.lit(0)), twice.unionByName(newer))
+    assert sorted((r.id, r.source.name) for r in put.collect()) == [("1", "a"), ("2", "c"), ("3", "d")]
+
+
+def test_composite_ids_are_unambiguous(spark):
+    mapped = DocumentMapping("x.Pair", ("a", "b"))
+    table = spark.createDataFrame([("1_2", "3"), ("1", "2_3"), ("x", None), ("p", "q")], "a string, b string")
+    ids = [r.id for r in build_documents(Registry([mapped]), {"x.Pair": table}, mapped).collect()]
+    assert len(set(ids)) == 4 and None in ids and "p_q" in ids
+
+
+def test_zoned_dates_are_written_in_utc(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    table = spark.sql("SELECT 1 AS id, TIMESTAMP '2011-02-03T04:05:06Z' AS at, TIMESTAMP_NTZ '2011-02-03 04:05:06' AS plain")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = build_documents(Registry([DocumentMapping("x.At", "id")]), {"x.At": table}, "x.At").first()
+        assert row.source.at == row.source.plain == "2011-02-03T04:05:06.000Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_repeated_word_needs_two_places(spark):
+    s = space(spark, (1, "the end of it", 1.0), (2, "the the", 1.0), (3, "the old the", 1.0), (4, "a the of the", 1.0))
+    assert found(search(s, Phrase("the the", "name", 1))) == ["2", "3", "4"]
+    assert found(search(s, Phrase("the the", "name", 0))) == ["2"]
+    assert found(search(s, Phrase("the of the", "name", 1))) == ["4"]
+
+
+def test_an_unknown_selection_says_so(spark):
+    with pytest.raises(ValueError, match="no entity with a table"):
+        TableSpace.over(REGISTRY, {"test.Product": products(spark)}, indices="nowhere")
