@@ -277,7 +277,7 @@ c AS (SELECT 'corpus' AS index, 'corpus_document' AS type, doc_id::VARCHAR AS id
       UNION ALL SELECT 'chat', 'chat_turn', conv_id || '_' || turn,
                        list_append({tok("text")}, role) FROM conversations
       UNION ALL SELECT 'shop', 'shop_part', p_partkey::VARCHAR,
-                       list_append({tok("p_name")}, p_brand) FROM part)"""
+                       list_concat({tok("p_name")}, {tok("p_brand")}) FROM part)"""
 
 
 def cross_sql(where: str = "true") -> str:
@@ -350,6 +350,178 @@ def indexed_prefix(spark, folder):
     return found.select(F.col("id").alias("doc_id"), "n_terms")
 
 
+# -- questions analysed like the fields -----------------------------------------------------
+
+
+PAIRS = mapping(
+    "corpus.Document",
+    only=["text", "lang", "source"],
+    fields={
+        "text": {"analyzer": "whitespace"},
+        "lang": {"index": "not_analyzed"},
+        "source": {"analyzer": "stop"},
+    },
+)
+
+
+def both_spaces(spark, folder, *mapped, name):
+    """The same entities as tables and as a written index."""
+    registry = Registry(list(mapped))
+    loaded = tables(spark, folder, *[m.full_name for m in mapped])
+    path = fresh_path(spark, name)
+    bulk_index(registry, loaded, path, list(mapped))
+    over_tables = TableSpace.over(registry, loaded)
+    return {"tables": over_tables, "index": IndexSpace.over(spark, path, registry)}
+
+
+def each_space(spaces, ask):
+    found = [ask(space).withColumn("over", F.lit(name)) for name, space in spaces.items()]
+    return found[0].unionByName(found[1])
+
+
+def over_both(sql: str) -> str:
+    return f"""WITH x AS ({sql}) SELECT *, 'tables' AS over FROM x UNION ALL SELECT *, 'index' FROM x"""
+
+
+@query(
+    "match_analyzer",
+    over_both(
+        r"""SELECT 'text' AS field, CAST(doc_id AS VARCHAR) AS id FROM documents
+           WHERE list_contains(regexp_extract_all(text, '\S+'), 'The')
+           UNION ALL SELECT 'lang', CAST(doc_id AS VARCHAR) FROM documents WHERE lang = 'en'
+           UNION ALL SELECT 'source', CAST(doc_id AS VARCHAR) FROM documents
+           WHERE regexp_full_match(source, 'src[0-9]*')"""
+    ),
+)
+def match_analyzer(spark, folder):
+    """A capital letter counts in a field cut at blanks, an exact field takes the whole text, and
+    one without stop words and digits finds every source."""
+    spaces = both_spaces(spark, folder, PAIRS, name="analyzer-index")
+
+    def ask(space):
+        asked = {"text": "The", "lang": "en", "source": "the SRC7"}
+        found = [
+            search(space, Match(text, field)).matching().select(F.lit(field).alias("field"), "id")
+            for field, text in asked.items()
+        ]
+        return found[0].unionByName(found[1]).unionByName(found[2])
+
+    return each_space(spaces, ask)
+
+
+@query(
+    "all_exact_value",
+    over_both(
+        "SELECT CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_brand = 'Brand#12' "
+        r"OR list_has_any(regexp_extract_all(lower(p_name), '[\p{L}\p{N}]+'), ['brand', '12'])"
+        r" OR list_has_any(regexp_extract_all(lower(p_brand), '[\p{L}\p{N}]+'), ['brand', '12'])"
+    ),
+)
+def all_exact_value(spark, folder):
+    """Free text finds the words of an exact field."""
+    spaces = both_spaces(spark, folder, PART, name="brand-index")
+    return each_space(spaces, lambda space: search(space, "Brand#12").matching().select("id"))
+
+
+TYPED_PART = mapping("shop.Part", only=["p_size", "p_retailprice"])
+TYPED_ORDER = mapping("shop.Order", only=["o_orderdate", "o_totalprice"])
+
+
+@query(
+    "term_typed",
+    over_both(
+        """SELECT 'size' AS asked, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_size = 7
+           UNION ALL SELECT 'price', CAST(p_partkey AS VARCHAR) FROM part
+             WHERE p_retailprice = (SELECT floor(min(p_retailprice)) FROM part)
+           UNION ALL SELECT 'date', CAST(o_orderkey AS VARCHAR) FROM orders
+             WHERE o_orderdate = TIMESTAMP '1998-01-02'"""
+    ),
+)
+def term_typed(spark, folder):
+    """An integer asked of an integer and of a double, and a date in plain writing."""
+    spaces = both_spaces(spark, folder, TYPED_PART, TYPED_ORDER, name="typed-index")
+    price = int(read_table(spark, folder, "part").agg(F.floor(F.min("p_retailprice"))).first()[0])
+    asked = {
+        "size": Term("p_size", "7"),
+        "price": Term("p_retailprice", price),
+        "date": Term("o_orderdate", "1998-01-02"),
+    }
+
+    def ask(space):
+        found = [
+            search(space, clause).matching().select(F.lit(name).alias("asked"), "id")
+            for name, clause in asked.items()
+        ]
+        return found[0].unionByName(found[1]).unionByName(found[2])
+
+    return each_space(spaces, ask)
+
+
+@query(
+    "highlight_exact",
+    over_both(
+        """SELECT CAST(p_partkey AS VARCHAR) AS id, '<em>' || p_brand || '</em>' AS fragment
+           FROM part WHERE p_brand = 'Brand#12'"""
+    ),
+)
+def highlight_exact(spark, folder):
+    spaces = both_spaces(spark, folder, PART, name="mark-index")
+
+    def ask(space):
+        found = search(space, Term("p_brand", "Brand#12"))
+        hits = space.typed(PART).join(found.matching().select("type", "id"), ["type", "id"])
+        marked = found.highlighted(hits, {"p_brand": (10, 2)})
+        return marked.select("id", F.explode("p_brand").alias("fragment"))
+
+    return each_space(spaces, ask)
+
+
+@query(
+    "indexed_range",
+    """SELECT 'shop_part' AS type, CAST(p_partkey AS VARCHAR) AS id FROM part
+       WHERE p_retailprice >= 920 AND p_retailprice < 950
+       UNION ALL SELECT 'shop_order', CAST(o_orderkey AS VARCHAR) FROM orders
+       WHERE o_orderdate > TIMESTAMP '1997-03-01' AND o_orderdate <= TIMESTAMP '1998-06-30'""",
+)
+def indexed_range(spark, folder):
+    """Integer bounds on a double and dates, asked of a written index; a field that is stored
+    but not searchable gives nothing."""
+    hidden = mapping("shop.Supplier", fields={"s_acctbal": {"index": "no"}})
+    space = both_spaces(spark, folder, TYPED_PART, TYPED_ORDER, hidden, name="range-index")["index"]
+    dates = [F.lit(d).cast("timestamp_ntz") for d in ("1997-03-01", "1998-06-30")]
+    clauses = (
+        Range("p_retailprice", 920, 950, include_high=False),
+        Range("o_orderdate", *dates, include_low=False),
+        Range("s_acctbal", -1_000_000),
+    )
+    found = [search(space, clause).matching().select("type", "id") for clause in clauses]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+SORTABLE = mapping("corpus.Document", only=["text", "n_chars"])
+
+
+@query(
+    "indexed_sort",
+    f"""WITH {DOC_TOKENS},
+       h AS (SELECT DISTINCT doc_id FROM t WHERE term IN ('thing', 'esat')),
+       r AS (SELECT doc_id::VARCHAR AS doc_id, n_chars,
+                    row_number() OVER (ORDER BY n_chars DESC, doc_id::VARCHAR) AS rk
+             FROM h JOIN documents USING (doc_id)) SELECT rk, doc_id, n_chars FROM r WHERE rk <= 60""",
+)
+def indexed_sort(spark, folder):
+    space = both_spaces(spark, folder, SORTABLE, name="sort-index")["index"]
+    page = search(space, Match(WORDS, "text")).sorted_page(SORTABLE, "n_chars", descending=True)
+    placed = ranked(page, F.desc("n_chars"), F.asc("id"))
+    return placed.select("rk", F.col("id").alias("doc_id"), "n_chars")
+
+
+@query("indexed_domain_search", cross_sql("type = 'web_page'"))
+def indexed_domain_search(spark, folder):
+    everything = IndexSpace.over(spark, written_index(spark, folder), cross_registry(), indices="corpus")
+    return entity_search(everything, PAGE, WORDS).hits
+
+
 # -- many questions ----------------------------------------------------------------------
 
 BATCH_SQL = f"""WITH {DOC_TOKENS},
@@ -434,8 +606,8 @@ SORTED_SQL = f"""WITH {DOC_TOKENS},
 
 @query("sort_field", SORTED_SQL + "SELECT rk, doc_id, n_chars FROM r WHERE rk <= 60")
 def sort_field(spark, folder):
-    hits = search(document_space(spark, folder), Match(WORDS, "text"))
-    page = hits.sorted_page(DOCUMENT, "n_chars", descending=True)
+    hits = search(document_space(spark, folder, SORTABLE), Match(WORDS, "text"))
+    page = hits.sorted_page(SORTABLE, "n_chars", descending=True)
     placed = ranked(page, F.desc("n_chars"), F.asc("id"))
     return placed.select("rk", F.col("id").alias("doc_id"), "n_chars")
 
@@ -444,8 +616,8 @@ def sort_field(spark, folder):
     "page", SORTED_SQL + "SELECT rk - 10 AS rk, doc_id, n_chars FROM r WHERE rk > 10 AND rk <= 30"
 )
 def page(spark, folder):
-    hits = search(document_space(spark, folder), Match(WORDS, "text"))
-    chosen = hits.sorted_page(DOCUMENT, "n_chars", descending=True, start=10, size=20)
+    hits = search(document_space(spark, folder, SORTABLE), Match(WORDS, "text"))
+    chosen = hits.sorted_page(SORTABLE, "n_chars", descending=True, start=10, size=20)
     placed = ranked(chosen, F.desc("n_chars"), F.asc("id"))
     return placed.select("rk", F.col("id").alias("doc_id"), "n_chars")
 

@@ -27,6 +27,7 @@ from docsearch.operators.space import spans, union
 from docsearch.plans.mapping import DocumentMapping, Registry
 from docsearch.sources.index_tables import (
     BUCKETS,
+    SCHEMAS,
     bucket_count,
     bucket_of,
     read_index_table,
@@ -180,14 +181,25 @@ def bulk_index(
     version: int = 1,
 ) -> list[DocumentMapping]:
     """Index every row of the given root entities (all that have a table when None) into a new
-    directory. Each stage is written before the next reads it, so none is computed twice."""
+    directory. Each stage is written before the next reads it, so none is computed twice. Rows
+    without a whole key go to ``rejects`` instead."""
     mappings = [m for m in registry.roots(entities) if m.full_name in tables]
     if not mappings:
         return []
     spark = tables[mappings[0].full_name].sparkSession
+    rejected = []
     for m in mappings:
         documents = spread(build_documents(registry, tables, m))
+        documents, bad = split_rejects(documents, {"no id": F.col("id").isNull()})
         documents.write.parquet(f"{path}/typed/{m.type_name}")
+        rejected.append(as_json(bad))
+    write_table(union(rejected), path, "rejects")
+    known = [
+        (registry.index_of(m), m.type_name, f.path, f.analyzer, f.boost, f.in_all, f.kind)
+        for m in mappings
+        for f in search_fields(registry, tables, m)
+    ]
+    write_table(spark.createDataFrame(known, SCHEMAS["fields"]).coalesce(1), path, "fields")
     typed = [(m, spark.read.parquet(f"{path}/typed/{m.type_name}")) for m in mappings]
     docs = union([as_json(d) for _, d in typed]).withColumn("version", F.lit(version).cast("long"))
     write_table(docs, path, "docs")
@@ -215,17 +227,38 @@ def update_index(
     removed: DataFrame,
     fresh_docs: DataFrame | None = None,
     fresh_postings: DataFrame | None = None,
-) -> None:
+    fresh_typed: Mapping[str, DataFrame] | None = None,
+) -> str:
     """Write to ``target`` the index at ``path`` without the documents ``removed`` names
-    ``(index, type, id)``, and with the fresh ones put in. Statistics are counted anew."""
-    buckets = bucket_count(spark, path)
+    ``(index, type, id)``, and with the fresh ones put in; gives the path that holds the result.
+
+    Fresh documents come one per key (:func:`newest`), with their postings and, by type, their
+    typed form. Statistics are counted anew. With nothing to remove or add nothing is written,
+    and the result is ``path`` itself.
+    """
     keys = [removed.select(*DOC)] + ([fresh_docs.select(*DOC)] if fresh_docs is not None else [])
-    gone = broadcast_if_small(reduce(DataFrame.unionByName, keys))
+    named = reduce(DataFrame.unionByName, keys)
+    if named.isEmpty():
+        return path
+    buckets = bucket_count(spark, path)
+    gone = broadcast_if_small(named.distinct())
+    for name in ("fields", "rejects"):
+        write_table(read_index_table(spark, path, name), target, name)
+    fresh_typed = fresh_typed or {}
+    kinds = {r["type"] for r in read_index_table(spark, path, "fields").select("type").distinct().collect()}
+    for kind in sorted(kinds):
+        stored = spark.read.parquet(f"{path}/typed/{kind}").join(gone, list(DOC), "left_anti")
+        if kind in fresh_typed:
+            stored = stored.unionByName(newest(fresh_typed[kind]), allowMissingColumns=True)
+        stored.write.parquet(f"{target}/typed/{kind}")
     docs = read_index_table(spark, path, "docs").join(gone, list(DOC), "left_anti")
     rows = read_index_table(spark, path, "postings").drop("bucket").join(gone, list(DOC), "left_anti")
     if fresh_docs is not None:
-        docs = docs.unionByName(fresh_docs)
+        docs = docs.unionByName(newest(fresh_docs))
     if fresh_postings is not None:
-        rows = rows.unionByName(fresh_postings.withColumn("len", F.col("len").cast("int")))
+        # the same document given twice has the same postings twice
+        once = fresh_postings.dropDuplicates([*DOC, "part", "field", "term"])
+        rows = rows.unionByName(once.withColumn("len", F.col("len").cast("int")))
     write_table(docs, target, "docs")
     _write_tokens(spark, target, rows, buckets)
+    return target

@@ -27,6 +27,8 @@ from docsearch.settings import DEFAULT_MAX_DEPTH
 
 DOC = ("index", "type", "id")
 ROW = (*DOC, "part")
+ALL_ANALYZER = "standard"
+DATE_KINDS = ("date", "timestamp", "timestamp_ntz")
 
 
 @dataclass(frozen=True)
@@ -37,6 +39,8 @@ class SearchField:
     analyzer: str = "standard"
     boost: float = 1.0
     in_all: bool = True
+    #: type of the values, by which a question's literal becomes the text of a term
+    kind: str = "string"
 
 
 def search_fields(
@@ -61,7 +65,12 @@ def search_fields(
 
 def _plain_field(f: Field, path: str) -> SearchField:
     analysed = f.index == "analyzed" and f.index_type == "string"
-    return SearchField(path, f.analyzer if analysed else "keyword", f.boost, f.in_all)
+    kind = f.data_type
+    while isinstance(kind, T.ArrayType):
+        kind = kind.elementType
+    text = kind is None or f.converter is not None
+    how = f.analyzer if analysed else "keyword"
+    return SearchField(path, how, f.boost, f.in_all, "string" if text else kind.simpleString())
 
 
 def _association_fields(registry, tables, mapping, f, path, depth) -> list[SearchField]:
@@ -133,13 +142,12 @@ def tokens(
         documents = documents.repartition(
             _partitions(documents), *(["id", "part"] if nested else ["id"])
         )
-    analysed, arrays = _analysed(documents, wanted)
+    analysed, arrays, included = _analysed(documents, wanted, with_all)
     runs = [
         _run(f.path, name, F.lit(1.0), F.lit(0), F.size(name), f.boost)
         for name, f in arrays.items()
     ]
-    included = [(name, f) for name, f in arrays.items() if f.in_all]
-    if with_all and included:
+    if included:
         total = sum((F.size(name) for name, _ in included), F.lit(0))
         base = F.lit(0)
         for name, f in included:
@@ -215,13 +223,12 @@ def postings(
 def _positional(
     documents: DataFrame, fields: Sequence[SearchField], with_all: bool
 ) -> DataFrame:
-    analysed, arrays = _analysed(documents, _present(documents, fields))
+    analysed, arrays, included = _analysed(documents, _present(documents, fields), with_all)
     runs = [
         _sorted_run(f.path, _placed(name, F.lit(0), 1.0), F.size(name), f.boost)
         for name, f in arrays.items()
     ]
-    included = [(name, f) for name, f in arrays.items() if f.in_all]
-    if with_all and included:
+    if included:
         base, placed = F.lit(0), []
         for name, f in included:
             placed.append(_placed(name, base, f.boost))
@@ -294,19 +301,25 @@ def _present(documents: DataFrame, fields: Sequence[SearchField]) -> list[Search
 
 
 def _analysed(
-    documents: DataFrame, fields: Sequence[SearchField]
-) -> tuple[DataFrame, dict[str, SearchField]]:
-    """Documents with one array of terms per field, and which field each array is of."""
+    documents: DataFrame, fields: Sequence[SearchField], with_all: bool
+) -> tuple[DataFrame, dict[str, SearchField], list[tuple[str, SearchField]]]:
+    """Documents with one array of terms per field, which field each array is of, and the arrays
+    that make up ``_all``: that is one analysed field, whatever the fields it takes in are."""
     schema = documents.schema["source"].dataType
     arrays = {f"__t{i}": f for i, f in enumerate(fields)}
-    terms = [
-        F.coalesce(
-            terms_of(*path_value("source", schema, f.path), f.analyzer),
-            F.array().cast("array<string>"),
-        ).alias(name)
-        for name, f in arrays.items()
-    ]
-    return documents.select(*ROW, *terms), arrays
+
+    def terms(name: str, f: SearchField, how: str) -> Column:
+        found = terms_of(*path_value("source", schema, f.path), how)
+        return F.coalesce(found, F.array().cast("array<string>")).alias(name)
+
+    columns = [terms(name, f, f.analyzer) for name, f in arrays.items()]
+    included = []
+    for name, f in arrays.items():
+        if with_all and f.in_all:
+            if f.analyzer != ALL_ANALYZER:
+                columns.append(terms(f"{name}a", f, ALL_ANALYZER))
+            included.append((name if f.analyzer == ALL_ANALYZER else f"{name}a", f))
+    return documents.select(*ROW, *columns), arrays, included
 
 
 def whole_lengths(rows: DataFrame) -> DataFrame:

@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from docsearch.functions import highlights
 from docsearch.functions.analyzers import ANALYZERS, analyzer
-from docsearch.operators.postings import DOC, ROW, path_value
-from docsearch.operators.space import Space, TableSpace, union
+from docsearch.functions.converters import date_out
+from docsearch.operators.postings import ALL_ANALYZER, DATE_KINDS, DOC, ROW, path_value
+from docsearch.operators.space import Space, union
 from docsearch.plans import clauses as q
 from docsearch.plans.mapping import DocumentMapping
 from docsearch.settings import DEFAULT_PAGE_SIZE
@@ -37,11 +38,14 @@ STATS = "__stats"
 
 @dataclass(frozen=True)
 class TermLeaf:
+    """A term of a field; with ``types``, only in documents of those."""
+
     field: str
     term: str
+    types: tuple[str, ...] | None = None
 
     def condition(self) -> Column:
-        return (F.col("field") == self.field) & (F.col("term") == self.term)
+        return (F.col("field") == self.field) & (F.col("term") == self.term) & _of(self.types)
 
 
 @dataclass(frozen=True)
@@ -67,9 +71,11 @@ class PhraseLeaf:
     field: str
     terms: tuple[str, ...]
     slop: int
+    types: tuple[str, ...] | None = None
 
     def condition(self) -> Column:
-        return (F.col("field") == self.field) & F.col("term").isin(sorted(set(self.terms)))
+        wanted = F.col("term").isin(sorted(set(self.terms)))
+        return (F.col("field") == self.field) & wanted & _of(self.types)
 
 
 @dataclass(frozen=True)
@@ -84,6 +90,10 @@ class EveryLeaf:
 
 Leaf = TermLeaf | PatternLeaf | PhraseLeaf | RangeLeaf | EveryLeaf
 
+def _of(types: tuple[str, ...] | None) -> Column:
+    return F.lit(True) if types is None else F.col("type").isin(list(types))
+
+
 SPECIAL = set(r"\.[]{}()<>+-=!?^$|*#&~")
 
 
@@ -93,10 +103,14 @@ def wildcard_pattern(pattern: str) -> str:
     return f"^{body}$"
 
 
-def query_terms(space: Space, text: str, how: str = "standard") -> list[str]:
-    """Terms of a query text, in order, by the analyzer the fields use."""
-    asked = space.spark.createDataFrame([(text,)], "text string")
-    return list(asked.select(analyzer(how)(F.col("text"))).first()[0] or [])
+def literal_text(value, kind: str) -> Column:
+    """The term an index holds for a value of a field of type ``kind``; null if it is no such value."""
+    if kind == "string":
+        return F.lit(value).cast("string")
+    typed = F.lit(value).try_cast(kind)
+    if kind in DATE_KINDS:
+        return date_out(typed, kind == "timestamp")
+    return typed.cast("string")
 
 
 @dataclass(frozen=True)
@@ -113,9 +127,55 @@ class _Node:
 
 
 class _Resolver:
-    def __init__(self, space: Space, analyzer_name: str):
+    """Words of a question become terms as the words of the field did, type by type.
+
+    Everything a question's texts and values turn into is asked of Spark at once.
+    """
+
+    def __init__(self, space: Space, analyzer_name: str | None, clause):
         self.space, self.how = space, analyzer_name
         self.leaves: list[Leaf] = []
+        self.known = space.known_fields()
+        asked: dict[tuple, Column] = {}
+        for leaf in _leaf_clauses(clause):
+            asked |= self._asked(leaf)
+        self.answers: dict[tuple, object] = {}
+        if asked:
+            row = space.spark.sql("SELECT 1").select(*[c.alias(f"a{i}") for i, c in enumerate(asked.values())])
+            self.answers = dict(zip(asked, row.first(), strict=True))
+
+    def _groups(self, field: str, what) -> dict:
+        """The types that have the field, by ``what`` tells them apart; None where all agree."""
+        found: dict = {}
+        for type_name, known in self.known:
+            if known.path == field:
+                found.setdefault(what(known), []).append(type_name)
+        return {k: None if len(found) == 1 else tuple(sorted(set(v))) for k, v in found.items()}
+
+    def _analyzers(self, field: str) -> dict:
+        if self.how is not None or field == q.ALL:
+            return {self.how or ALL_ANALYZER: None}
+        return self._groups(field, lambda f: f.analyzer) or {ALL_ANALYZER: None}
+
+    def _kinds(self, field: str) -> dict:
+        return self._groups(field, lambda f: f.kind) or {"string": None}
+
+    def _asked(self, clause) -> dict[tuple, Column]:
+        if isinstance(clause, q.Match | q.Phrase):
+            return {
+                ("terms", how, clause.text): analyzer(how)(F.lit(clause.text)) for how in self._analyzers(clause.field)
+            }
+        if isinstance(clause, q.Term):
+            return {
+                ("value", kind, str(clause.value)): F.coalesce(
+                    literal_text(clause.value, kind), F.lit(clause.value).cast("string")
+                )
+                for kind in self._kinds(clause.field)
+            }
+        return {}
+
+    def _either(self, boost: float, nodes: list[_Node]) -> _Node:
+        return replace(nodes[0], boost=boost) if len(nodes) == 1 else _Node("either", boost, children=tuple(nodes))
 
     def leaf(self, leaf: Leaf) -> int:
         if leaf not in self.leaves:
@@ -125,21 +185,31 @@ class _Resolver:
     def node(self, clause) -> _Node:
         match clause:
             case q.Match():
-                terms = dict.fromkeys(query_terms(self.space, clause.text, self.how))
-                children = tuple(
-                    _Node("term", 1.0, self.leaf(TermLeaf(clause.field, t))) for t in terms
-                )
                 if clause.operator not in ("any", "all"):
                     raise ValueError("operator is 'any' or 'all'")
-                return _Node(clause.operator, clause.boost, children=children)
+                nodes = []
+                for how, types in self._analyzers(clause.field).items():
+                    terms = dict.fromkeys(self.answers["terms", how, clause.text] or ())
+                    children = tuple(
+                        _Node("term", 1.0, self.leaf(TermLeaf(clause.field, t, types))) for t in terms
+                    )
+                    nodes.append(_Node(clause.operator, 1.0, children=children))
+                return self._either(clause.boost, nodes)
             case q.Term():
-                return _Node("term", clause.boost, self.leaf(TermLeaf(clause.field, str(clause.value))))
+                nodes = [
+                    _Node("term", 1.0, self.leaf(TermLeaf(clause.field, self.answers["value", kind, str(clause.value)], types)))
+                    for kind, types in self._kinds(clause.field).items()
+                ]
+                return self._either(clause.boost, nodes)
             case q.Phrase():
-                terms = query_terms(self.space, clause.text, self.how)
-                leaf = PhraseLeaf(clause.field, tuple(terms), clause.slop)
-                for term in terms:  # their document frequencies weigh the phrase
-                    self.leaf(TermLeaf(clause.field, term))
-                return _Node("phrase", clause.boost, self.leaf(leaf))
+                nodes = []
+                for how, types in self._analyzers(clause.field).items():
+                    terms = tuple(self.answers["terms", how, clause.text] or ())
+                    for term in terms:  # their document frequencies weigh the phrase
+                        self.leaf(TermLeaf(clause.field, term, types))
+                    leaf = PhraseLeaf(clause.field, terms, clause.slop, types)
+                    nodes.append(_Node("phrase", 1.0, self.leaf(leaf)))
+                return self._either(clause.boost, nodes)
             case q.Prefix() | q.Wildcard() | q.Fuzzy():
                 return _Node("constant", clause.boost, self.leaf(PatternLeaf(replace(clause, boost=1.0))))
             case q.Range():
@@ -158,6 +228,13 @@ class _Resolver:
         raise TypeError(f"not a clause: {clause!r}")
 
 
+def _leaf_clauses(clause) -> list:
+    if isinstance(clause, q.Bool):
+        inner = (*clause.must, *clause.should, *clause.must_not)
+        return [leaf for c in inner for leaf in _leaf_clauses(c)]
+    return [clause]
+
+
 # -- the per-document row ----------------------------------------------------------------
 
 
@@ -175,16 +252,18 @@ class Search:
     """A question bound to a space. Every result is a lazy DataFrame.
 
     ``hits`` has ``index, type, id, score``; ``total``, ``page``, ``scores``, ``explain`` and
-    ``highlight`` derive from the same per-document row.
+    ``highlight`` derive from the same per-document row. Texts are analysed as the field they are
+    matched against is, unless ``analyzer_name`` names another way.
     """
 
-    def __init__(self, space: Space, clause, analyzer_name: str = "standard"):
-        if analyzer_name not in ANALYZERS:
+    def __init__(self, space: Space, clause, analyzer_name: str | None = None):
+        if analyzer_name is not None and analyzer_name not in ANALYZERS:
             raise ValueError(f"unknown analyzer {analyzer_name!r}")
-        resolver = _Resolver(space, analyzer_name)
+        resolver = _Resolver(space, analyzer_name, clause)
         self.space = space
         self.root = resolver.node(clause)
         self.leaves = resolver.leaves
+        self.known = resolver.known
         self.fields = sorted({f for f in map(_field_of, self.leaves) if f is not None})
         self._rows: DataFrame | None = None
 
@@ -296,7 +375,7 @@ class Search:
         if known is not None:
             counts = known.agg(
                 *[
-                    F.coalesce(F.max(F.when(self.leaves[i].condition(), F.col("df"))), F.lit(0)).alias(f"df{i}")
+                    F.coalesce(F.sum(F.when(self.leaves[i].condition(), F.col("df"))), F.lit(0)).alias(f"df{i}")
                     for i in scored
                 ]
                 or [F.lit(0).alias("none")]
@@ -316,8 +395,8 @@ class Search:
     def _matched(self, node: _Node) -> Column:
         if node.kind in ("term", "constant", "phrase"):
             return F.col(_f(node.leaf)) > 0
-        if node.kind in ("any", "all"):
-            join = Column.__or__ if node.kind == "any" else Column.__and__
+        if node.kind in ("any", "all", "either"):
+            join = Column.__and__ if node.kind == "all" else Column.__or__
             parts = [self._matched(c) for c in node.children]
             return reduce(join, parts) if parts else F.lit(False)
         needed = [self._matched(c) for c in node.must]
@@ -333,16 +412,19 @@ class Search:
             return self._term_score(self.leaves[node.leaf], node.leaf, self._idf(node.leaf)) * node.boost
         if node.kind == "phrase":
             leaf = self.leaves[node.leaf]
-            idfs = [self._idf(self.leaves.index(TermLeaf(leaf.field, t))) for t in leaf.terms]
+            idfs = [self._idf(self.leaves.index(TermLeaf(leaf.field, t, leaf.types))) for t in leaf.terms]
+            if not idfs:
+                return F.lit(0.0)
             return self._term_score(leaf, node.leaf, reduce(Column.__add__, idfs)) * node.boost
-        scoring = node.children if node.kind in ("any", "all") else (*node.must, *node.should)
+        scoring = node.children or (*node.must, *node.should)
         hits = [self._matched(c) for c in scoring]
         parts = [
             F.when(hit, self._score(c)).otherwise(0.0)
             for hit, c in zip(hits, scoring, strict=True)
         ]
         total = reduce(Column.__add__, parts, F.lit(0.0))
-        if len(scoring) > 1:
+        # a document is of one type, so of the ways one text is asked for only one can match
+        if len(scoring) > 1 and node.kind != "either":
             matched = reduce(Column.__add__, [hit.cast("int") for hit in hits])
             total = total * matched / len(scoring)
         return total * node.boost
@@ -422,20 +504,24 @@ class Search:
     ) -> DataFrame:
         """``documents`` (typed, already cut to the hits wanted) with one array of fragments per
         field. ``fields`` maps a path to ``(fragment size, number of fragments)``; a path into a
-        collection highlights each item on its own."""
-        hit = self.word_test()
+        collection highlights each item on its own. A text is cut into words as its field's
+        analyzer cuts it; an exact field is one word."""
         schema = documents.schema["source"].dataType
         marked = []
         for path, (size, count) in fields.items():
             value, kind = path_value("source", schema, path)
-            if isinstance(kind, T.ArrayType):
-                each = F.transform(value, lambda v: highlights.fragments(v, hit, size, count, pre, post))
-                found = F.flatten(each)
-            else:
-                found = highlights.fragments(value, hit, size, count, pre, post)
-            marked.append(found.alias(path))
+            marked.append(self._marked(value, kind, path, size, count, pre, post).alias(path))
         return documents.select(*DOC, *marked)
 
+    def _marked(self, value, kind, path, size, count, pre, post) -> Column:
+        how = next((f.analyzer for _, f in self.known if f.path == path), ALL_ANALYZER)
+        hit = self.word_test(how, path)
+
+        def mark(text: Column) -> Column:
+            return highlights.fragments(text.cast("string"), hit, size, count, pre, post, how)
+
+        return F.flatten(F.transform(value, mark)) if isinstance(kind, T.ArrayType) else mark(value)
+
     def scores(self, hits: DataFrame | None = None) -> DataFrame:
         """``(index_type, id, score)``."""
         chosen = self.hits if hits is None else hits
@@ -465,19 +551,26 @@ class Search:
         rows = self._with_statistics().select(*DOC, F.explode(F.array(*parts)).alias("x"))
         return rows.select(*DOC, "x.*").where(F.col("tf") > 0)
 
-    def word_test(self):
-        """Whether a word of a text is one the question asks for; prohibited clauses do not count."""
+    def word_test(self, how: str = ALL_ANALYZER, path: str | None = None):
+        """Whether a word of a text is one the question asks for; prohibited clauses do not count.
+        Whole values of an exact field count only if asked for in that field."""
         wanted, tests = set(), []
         for i in _positive(self.root):
             leaf = self.leaves[i]
+            if how == "keyword" and _field_of(leaf) != path:
+                continue
             if isinstance(leaf, TermLeaf):
                 wanted.add(leaf.term)
             elif isinstance(leaf, PhraseLeaf):
                 wanted.update(leaf.terms)
             elif isinstance(leaf, PatternLeaf):
                 tests.append(leaf.test)
-        exact = highlights.any_of(sorted(wanted)) if wanted else (lambda word: F.lit(False))
-        return lambda word: reduce(Column.__or__, [t(F.lower(word)) for t in tests], exact(word))
+        as_term = highlights.normal(how)
+        return lambda word: reduce(
+            Column.__or__,
+            [t(as_term(word)) for t in tests],
+            as_term(word).isin(sorted(wanted)) if wanted else F.lit(False),
+        )
 
 
 def _positive(node: _Node) -> list[int]:
@@ -564,10 +657,6 @@ def count_hits(space: Space, clause) -> DataFrame:
     return search(space, clause).total().withColumnRenamed("total", "n")
 
 
-def entity_search(space: TableSpace, entity: str | DocumentMapping, clause) -> Search:
+def entity_search(space: Space, entity: str | DocumentMapping, clause) -> Search:
     """Search one entity: its index and type replace whatever the space had selected."""
-    mapping = space.registry.require(entity)
-    scoped = TableSpace.over(
-        space.registry, space.tables, indices=space.registry.index_of(mapping), types=mapping
-    )
-    return search(scoped, clause)
+    return search(space.only(space.registry.require(entity)), clause)

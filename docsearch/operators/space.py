@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsearch.operators.documents import Tables, as_json, build_documents, id_column
+from docsearch.functions.converters import date_in
 from docsearch.operators.postings import (
+    DATE_KINDS,
     DOC,
     ROW,
+    SearchField,
     postings,
     search_fields,
     tokens,
@@ -68,6 +71,16 @@ class TableSpace:
             F.struct("*").alias("row"),
         )
 
+    def known_fields(self) -> list[tuple[str, SearchField]]:
+        """Every searchable field with the type it belongs to."""
+        return [
+            (m.type_name, f) for m in self.mappings for f in search_fields(self.registry, self.tables, m)
+        ]
+
+    def only(self, mapping: DocumentMapping) -> TableSpace:
+        """The same tables, narrowed to one entity."""
+        return TableSpace.over(self.registry, self.tables, self.registry.index_of(mapping), mapping)
+
     def keys(self) -> DataFrame:
         """``(index, type, id)`` of every document; reads key columns only."""
         return union([self.entity(m).select(*DOC) for m in self.mappings])
@@ -81,11 +94,13 @@ class TableSpace:
         return self.keys().agg(F.count(F.lit(1)).alias("num_docs"))
 
     def where(self, column: str, condition) -> DataFrame | None:
-        """Keys of documents whose typed column satisfies ``condition``, a column function."""
+        """Keys of documents whose typed column satisfies ``condition``, a column function. Only
+        fields that are mapped and searchable count."""
+        having = {type_name for type_name, f in self.known_fields() if f.path == column}
         found = [
             self.entity(m).where(condition(F.col(f"row.{column}"))).select(*DOC)
             for m in self.mappings
-            if column in self.tables[m.full_name].columns
+            if m.type_name in having and column in self.tables[m.full_name].columns
         ]
         return union(found) if found else None
 
@@ -143,12 +158,36 @@ class IndexSpace:
 
     spark: SparkSession
     path: str
+    registry: Registry
     indices: list[str] | None = None
     types: list[str] | None = None
 
     @classmethod
     def over(cls, spark, path, registry: Registry, indices=None, types=None) -> IndexSpace:
-        return cls(spark, path, registry.resolve_indices(indices), registry.resolve_types(types))
+        chosen = registry.resolve_indices(indices), registry.resolve_types(types)
+        return cls(spark, path, registry, *chosen)
+
+    def only(self, mapping: DocumentMapping) -> IndexSpace:
+        """The same index, narrowed to one entity."""
+        return IndexSpace.over(self.spark, self.path, self.registry, self.registry.index_of(mapping), mapping)
+
+    def known_fields(self) -> list[tuple[str, SearchField]]:
+        """The fields the index was written with: as many rows as the mappings have fields."""
+        rows = read_index_table(self.spark, self.path, "fields").collect()
+        return [
+            (r["type"], SearchField(r["path"], r["analyzer"], r["boost"], r["in_all"], r["kind"]))
+            for r in rows
+            if (self.types is None or r["type"] in self.types)
+            and (self.indices is None or r["index"] in self.indices)
+        ]
+
+    def typed(self, mapping: DocumentMapping) -> DataFrame:
+        """Documents of one entity with their fields as columns of ``source``."""
+        return self.spark.read.parquet(f"{self.path}/typed/{mapping.type_name}")
+
+    def entity(self, mapping: DocumentMapping) -> DataFrame:
+        """The entity's mapped fields plus ``index, type, id``."""
+        return self.typed(mapping).select(*DOC, F.col("source").alias("row"))
 
     def _table(self, name: str) -> DataFrame:
         table = read_index_table(self.spark, self.path, name)
@@ -168,8 +207,18 @@ class IndexSpace:
         return self._table("index_stats").agg(F.sum("num_docs").alias("num_docs"))
 
     def where(self, column: str, condition) -> DataFrame | None:
-        value = F.get_json_object("source", f"$.{column}")
-        return self._table("docs").where(condition(value)).select(*DOC).distinct()
+        """Keys of documents whose typed field satisfies ``condition``; a scan of that column."""
+        kinds = {type_name: f.kind for type_name, f in self.known_fields() if f.path == column}
+        found = []
+        for mapping in self.registry.roots():
+            if mapping.type_name in kinds:
+                value = F.col(f"source.{column}")
+                if kinds[mapping.type_name] in DATE_KINDS:
+                    value = date_in(value)
+                    if kinds[mapping.type_name] == "timestamp":
+                        value = F.convert_timezone(F.lit("UTC"), F.current_timezone(), value).cast("timestamp")
+                found.append(self.typed(mapping).where(condition(value)).select(*DOC))
+        return union(found).distinct() if found else None
 
     def term_rows(self, terms, fields, exact, positions) -> DataFrame:
         rows = self._bucket(self._table("postings"), exact)
@@ -183,7 +232,7 @@ class IndexSpace:
 
     def term_stats(self, terms, exact) -> DataFrame:
         rows = self._bucket(self._table("term_stats"), exact).where(terms)
-        return rows.groupBy("field", "term").agg(F.sum("df").alias("df"))
+        return rows.groupBy("type", "field", "term").agg(F.sum("df").alias("df"))
 
     def _bucket(self, table: DataFrame, exact: Sequence[str] | None) -> DataFrame:
         """Only the partitions that can hold the terms, and within them the row groups."""

@@ -8,6 +8,8 @@ table                     columns
 ``postings``              id, part, field, term, tf, len, boost, positions       index, type, bucket
 ``term_stats``            field, term, df                                        index, type, bucket
 ``index_stats``           num_docs                                               index, type
+``fields``                how each searchable field became terms                 --
+``rejects``               documents without an id, and why they are left out     --
 ========================  =====================================================  =============
 
 ``bucket`` is a hash of the term, so a question reads only the buckets of its terms; rows are
@@ -34,6 +36,10 @@ SCHEMAS = {
     "term_stats": "field string, term string, df long, index string, type string, bucket int",
     "index_stats": "num_docs long, index string, type string",
     "layout": "buckets int",
+    "fields": (
+        "index string, type string, path string, analyzer string, boost double, in_all boolean, kind string"
+    ),
+    "rejects": "index string, type string, reason string, source string",
 }
 PARTITIONS = {
     "docs": ["index", "type"],
@@ -41,6 +47,8 @@ PARTITIONS = {
     "term_stats": ["index", "type", "bucket"],
     "index_stats": ["index", "type"],
     "layout": [],
+    "fields": [],
+    "rejects": [],
 }
 
 

@@ -82,10 +82,10 @@ def test_not_searchable_is_not_mapped():
     ("fields", "message"),
     [
         ({"name": {"colour": 1}}, "invalid option"),
-        ({"nothing": {"boost": 1}}, "unable to find property"),
+        ({"nothing": {"boost": 1}}, "which is no column"),
         ({"name": {"index": "sometimes"}}, "index must be"),
         ({"name": {"analyzer": "snowball"}}, "unknown analyzer"),
-        ({"tag": {"component": One("t.Tag", "id"), "reference": One("t.Tag", "id")}}, "at once"),
+        ({"tag": {"component": One("t.Tag", "id"), "reference": One("t.Tag", "id")}}, "choose one"),
         ({"tag": {"reference": One("t.Tag", "id")}}, "non-searchable"),
         ({"tag": {"reference": One("t.Hidden", "id")}}, "non-root"),
         ({"tags": {"component": Many("t.Tag", "id")}}, "needs a mapping"),
