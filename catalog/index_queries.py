@@ -48,27 +48,30 @@ from docsearch.sources.tables import read_table
 from docsearch.streaming.mirror import current_changes, mirror, read_log
 
 
-def index_summary(spark, path):
-    """``(index, type, n, n_postings)`` of a written index."""
-    docs = read_index_table(spark, path, "docs").groupBy("index", "type").agg(F.count("*").alias("n"))
+def index_rows(spark, path):
+    """``(index, type, id, field, term, tf)`` of a written index, and its documents with no field."""
+    docs = read_index_table(spark, path, "docs").select("index", "type", "id")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("field", "string"), ("term", "string"), ("tf", "double"))]
     rows = read_index_table(spark, path, "postings").where(F.col("field") != "_all")
-    counts = rows.groupBy("index", "type").agg(F.count("*").alias("n_postings"))
-    return docs.join(counts, ["index", "type"])
+    return rows.select("index", "type", "id", "field", "term", "tf").union(docs.select("*", *nothing))
 
 
 @query(
     "bulk_index",
     f"""WITH {DOC_TOKENS}
-       SELECT 'corpus' AS index, 'corpus_document' AS type,
-              (SELECT count(*) FROM documents) AS n,
-              count(DISTINCT (doc_id, term)) + 2 * (SELECT count(*) FROM documents) AS n_postings
-       FROM t""",
+, p AS (
+         SELECT doc_id, 'text' AS field, term, CAST(count(*) AS DOUBLE) AS tf FROM t GROUP BY doc_id, term
+         UNION ALL SELECT doc_id, 'lang', lang, 1 FROM documents WHERE lang IS NOT NULL
+         UNION ALL SELECT doc_id, 'source', source, 1 FROM documents WHERE source IS NOT NULL
+         UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents)
+       SELECT 'corpus' AS index, 'corpus_document' AS type, CAST(doc_id AS VARCHAR) AS id, field, term, tf
+       FROM p""",
 )
 def bulk_index_query(spark, folder):
     path = fresh_path(spark, "bulk-index")
     loaded = tables(spark, folder, "corpus.Document")
     bulk_index(Registry([DOCUMENT]), loaded, path, [DOCUMENT])
-    return index_summary(spark, path)
+    return index_rows(spark, path)
 
 
 @query(
@@ -84,17 +87,18 @@ def bulk_index_query(spark, folder):
          UNION ALL SELECT 'chat', 'chat_turn', conv_id || '_' || turn, 'role', role FROM conversations
          UNION ALL SELECT 'shop', 'shop_part', p_partkey::VARCHAR, 'p_name', unnest({tok("p_name")}) FROM part
          UNION ALL SELECT 'shop', 'shop_part', p_partkey::VARCHAR, 'p_brand', p_brand FROM part),
-       n AS (SELECT 'corpus_document' AS type, count(*) AS n FROM documents
-             UNION ALL SELECT 'web_page', count(*) FROM pages
-             UNION ALL SELECT 'chat_turn', count(*) FROM conversations
-             UNION ALL SELECT 'shop_part', count(*) FROM part)
-       SELECT a.index, a.type, any_value(n.n) AS n, count(DISTINCT (id, field, term)) AS n_postings
-       FROM a JOIN n USING (type) GROUP BY a.index, a.type""",
+       n AS (SELECT 'corpus' AS index, 'corpus_document' AS type, doc_id::VARCHAR AS id FROM documents
+             UNION ALL SELECT 'web', 'web_page', page_id::VARCHAR FROM pages
+             UNION ALL SELECT 'chat', 'chat_turn', conv_id || '_' || turn FROM conversations
+             UNION ALL SELECT 'shop', 'shop_part', p_partkey::VARCHAR FROM part)
+       SELECT index, type, id, field, term, CAST(count(*) AS DOUBLE) AS tf FROM a
+       WHERE term IS NOT NULL GROUP BY ALL
+       UNION ALL SELECT index, type, id, NULL, NULL, NULL FROM n""",
 )
 def bulk_index_all(spark, folder):
     path = fresh_path(spark, "bulk-index-all")
     bulk_index(cross_registry(), cross_tables(spark, folder), path)
-    return index_summary(spark, path)
+    return index_rows(spark, path)
 
 
 PLAIN_ORDER = mapping("shop.Order")
@@ -170,11 +174,11 @@ def cross_documents(spark, folder):
 
 @query(
     "unindex_type",
-    CROSS_KEYS + "SELECT type, count(*) AS n FROM c WHERE type <> 'web_page' GROUP BY type",
+    CROSS_KEYS + "SELECT type, id FROM c WHERE type <> 'web_page'",
 )
 def unindex_type(spark, folder):
     left = unindex_types(cross_documents(spark, folder), cross_registry(), [PAGE])
-    return left.groupBy("type").agg(F.count("*").alias("n"))
+    return left.select("type", "id")
 
 
 @query(
@@ -191,11 +195,11 @@ def unindex_keys(spark, folder):
 
 @query(
     "delete_index",
-    CROSS_KEYS + "SELECT index, count(*) AS n FROM c WHERE index <> 'chat' GROUP BY index",
+    CROSS_KEYS + "SELECT index, id FROM c WHERE index <> 'chat'",
 )
 def delete_index_query(spark, folder):
     left = delete_index(cross_documents(spark, folder), cross_registry(), [TURN])
-    return left.groupBy("index").agg(F.count("*").alias("n"))
+    return left.select("index", "id")
 
 
 @query(

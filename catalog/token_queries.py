@@ -10,7 +10,7 @@ from docsearch import DocumentMapping, Many, Registry
 from docsearch.functions.analyzers import ANALYZERS, STOP_WORDS, exploding
 from docsearch.operators.documents import build_documents
 from docsearch.operators.postings import (
-    field_lengths,
+    field_sizes,
     postings,
     search_fields,
     term_stats,
@@ -24,13 +24,6 @@ def document_rows(spark, folder, declared: DocumentMapping = DOCUMENT, with_all=
     return postings(documents, search_fields(registry, loaded, declared), with_all, positions)
 
 
-def field_summary(rows):
-    per_term = rows.groupBy("field", "term").agg(F.count("*").alias("n"))
-    return per_term.groupBy("field").agg(
-        F.count("*").alias("n_terms"), F.sum("n").alias("n_postings")
-    )
-
-
 def only(name: str, **options) -> DocumentMapping:
     return mapping("corpus.Document", only=name, fields={name: options})
 
@@ -38,27 +31,28 @@ def only(name: str, **options) -> DocumentMapping:
 @query(
     "analyze_standard",
     f"""WITH {DOC_TOKENS}
-       SELECT 'text' AS field, count(DISTINCT term) AS n_terms,
-              count(DISTINCT (doc_id, term)) AS n_postings FROM t""",
+       SELECT 'text' AS field, CAST(doc_id AS VARCHAR) AS id, term, CAST(count(*) AS DOUBLE) AS tf
+       FROM t GROUP BY doc_id, term""",
 )
 def analyze_standard(spark, folder):
-    return field_summary(document_rows(spark, folder, only("text", index="analyzed"), positions=False))
+    rows = document_rows(spark, folder, only("text", index="analyzed"), positions=False)
+    return rows.select("field", "id", "term", "tf")
 
 
 @query(
     "analyze_exact",
-    """SELECT 'source' AS field, count(DISTINCT source) AS n_terms, count(source) AS n_postings
-       FROM documents""",
+    """SELECT 'source' AS field, CAST(doc_id AS VARCHAR) AS id, source AS term, 1.0::DOUBLE AS tf
+       FROM documents WHERE source IS NOT NULL""",
 )
 def analyze_exact(spark, folder):
     rows = document_rows(spark, folder, only("source", index="not_analyzed"), positions=False)
-    return field_summary(rows)
+    return rows.select("field", "id", "term", "tf")
 
 
 @query(
     "analyze_none",
-    """SELECT CAST(0 AS BIGINT) AS n_postings, count(lang) AS n_stored,
-              count(DISTINCT source) AS n_source_terms FROM documents""",
+    """SELECT CAST(doc_id AS VARCHAR) AS id, lang AS stored, source AS term, 'source' AS field
+       FROM documents WHERE source IS NOT NULL""",
 )
 def analyze_none(spark, folder):
     hidden = mapping(
@@ -69,12 +63,8 @@ def analyze_none(spark, folder):
     registry, loaded = Registry([hidden]), text_tables(spark, folder, "corpus.Document")
     documents = build_documents(registry, loaded, hidden)
     rows = postings(documents, search_fields(registry, loaded, hidden), positions=False)
-    found = rows.agg(
-        F.count_if(F.col("field") == "lang").alias("n_postings"),
-        F.count_distinct(F.when(F.col("field") == "source", F.col("term"))).alias("n_source_terms"),
-    )
-    stored = documents.agg(F.count("source.lang").alias("n")).scalar()
-    return found.withColumn("n_stored", stored).select("n_postings", "n_stored", "n_source_terms")
+    stored = documents.select("id", F.col("source.lang").alias("stored"))
+    return rows.join(stored, "id").select("id", "stored", "term", "field")
 
 
 STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -90,8 +80,7 @@ STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
          UNION ALL SELECT 'stop', term FROM
              (SELECT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS term FROM documents)
              WHERE term NOT IN ({STOP_LIST}))
-       SELECT analyzer, count(*) AS n_tokens, count(DISTINCT term) AS n_distinct
-       FROM v GROUP BY analyzer""",
+       SELECT analyzer, term, count(*) AS n FROM v GROUP BY analyzer, term""",
 )
 def analyze_variants(spark, folder):
     documents = text_tables(spark, folder, "corpus.Document")["corpus.Document"]
@@ -104,10 +93,7 @@ def analyze_variants(spark, folder):
     terms = documents.select(F.explode(variants).alias("v")).select(
         "v.analyzer", F.explode(exploding(F.col("v.terms"))).alias("term")
     )
-    per_term = terms.groupBy("analyzer", "term").agg(F.count("*").alias("n"))
-    return per_term.groupBy("analyzer").agg(
-        F.sum("n").alias("n_tokens"), F.count("*").alias("n_distinct")
-    )
+    return terms.groupBy("analyzer", "term").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -201,7 +187,8 @@ def nested_path(spark, folder):
        SELECT term, count(DISTINCT doc_id) AS df FROM t GROUP BY term""",
 )
 def term_stats_query(spark, folder):
-    return term_stats(document_rows(spark, folder, only("text"), positions=False)).select("term", "df")
+    rows = document_rows(spark, folder, only("text"), positions=False)
+    return term_stats(rows, split=False).select("term", "df")
 
 
 @query(
@@ -209,5 +196,8 @@ def term_stats_query(spark, folder):
     f"""WITH {DOC_TOKENS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, len FROM l""",
 )
 def field_len(spark, folder):
-    lengths = field_lengths(document_rows(spark, folder, only("text"), positions=False))
+    declared = only("text")
+    registry, loaded = Registry([declared]), text_tables(spark, folder, "corpus.Document")
+    documents = build_documents(registry, loaded, declared)
+    lengths = field_sizes(documents, search_fields(registry, loaded, declared), split=False)
     return lengths.select(F.col("id").alias("doc_id"), F.col("len").cast("long").alias("len"))

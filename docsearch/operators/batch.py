@@ -2,8 +2,10 @@
 
 The questions are a table ``(query_id, text)``. Their terms are joined to the terms of the
 documents, every (question, document) pair that shares a term is scored, and each question keeps
-its best hits. Text is shuffled once, by document; grouping by (question, document) then needs
-no further shuffle, and the ranking drops all but the best hits of each task before its own.
+its best hits. No text is shuffled: postings are made where the text is read, or come from the
+buckets of a written index that hold the terms asked for. Only postings of those terms are brought
+together, by document; grouping by (question, document) then needs no further shuffle, and the
+ranking drops all but the best hits of each task before its own.
 """
 
 from __future__ import annotations
@@ -29,13 +31,12 @@ def query_vocabulary(queries: DataFrame, how: str = "standard") -> DataFrame:
     return asked.select("query_id", F.size("terms").alias("k"), each)
 
 
-def _rows(space: Space, field: str) -> DataFrame:
-    """Every posting of one field with its norm."""
+def _rows(space: Space, field: str, vocabulary: DataFrame) -> DataFrame:
+    """Postings of one field for the terms of ``vocabulary``, one per document and term."""
     norm = (F.col("boost") / F.sqrt(F.col("len"))).alias("norm")
     if isinstance(space, IndexSpace):
-        rows = space.term_rows(F.col("field") == field, {field}, (), False)
-        per_document = rows.groupBy(*DOC, "term").agg(F.sum("tf").alias("tf"), F.max(norm).alias("norm"))
-        return per_document
+        rows = space.vocabulary_rows(field, vocabulary)
+        return rows.groupBy(*DOC, "term").agg(F.sum("tf").alias("tf"), F.max(norm).alias("norm"))
     found = []
     for mapping in space.mappings:
         known = search_fields(space.registry, space.tables, mapping)
@@ -44,13 +45,16 @@ def _rows(space: Space, field: str) -> DataFrame:
         if not wanted:
             continue
         rows = postings(space.typed(mapping), wanted, with_all, positions=False)
-        if spans(space.registry, mapping):
-            rows = (
-                whole_lengths(rows)
-                .groupBy(*DOC, "field", "term")
-                .agg(F.sum("tf").alias("tf"), F.max("len").alias("len"), F.max("boost").alias("boost"))
+        split = spans(space.registry, mapping)
+        if split:
+            rows = whole_lengths(rows)
+        rows = rows.where(F.col("field") == field).join(vocabulary, "term", "left_semi")
+        if split:
+            rows = rows.groupBy(*DOC, "field", "term").agg(
+                F.sum("tf").alias("tf"), F.max("len").alias("len"), F.max("boost").alias("boost")
             )
-        found.append(rows.where(F.col("field") == field).select(*DOC, "term", "tf", norm))
+        # the few postings asked for, together by document
+        found.append(rows.select(*DOC, "term", "tf", norm).repartition(*DOC))
     if not found:
         raise ValueError(f"no selected type has a field {field!r}")
     return union(found)
@@ -68,10 +72,10 @@ def batch_search(
     # everything sent to all tasks below has at most one row per row of ``asked``
     send = F.broadcast if is_small(asked) else (lambda side: side)
     vocabulary = send(asked.select("term").distinct())
-    rows = _rows(space, field).join(vocabulary, "term", "left_semi")
+    rows = _rows(space, field, vocabulary)
     if isinstance(space, IndexSpace):
-        counts = space.term_stats(F.col("field") == field, ()).select("term", "df")
-        counts = counts.join(vocabulary, "term", "left_semi")
+        counts = space.term_stats(F.col("field") == field, ()).join(vocabulary, "term", "left_semi")
+        counts = counts.groupBy("term").agg(F.sum("df").alias("df"))
     else:
         counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = counts.select("term", idf(space.count().scalar(), F.col("df")).alias("idf"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsearch.functions.converters import date_out
-from docsearch.plans.mapping import DocumentMapping, Field, Many, One, Registry
+from docsearch.plans.mapping import DocumentMapping, Field, Many, One, Registry, check_endless, tighter
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,6 +38,8 @@ class Hop:
 
     owner: DocumentMapping
     via: One | Many
+    #: full names from the root down to the owner
+    path: tuple[str, ...]
 
 
 def id_column(mapping: DocumentMapping) -> Column:
@@ -108,15 +110,16 @@ def _field_columns(fields: list[Field]) -> list[Column]:
 def _with_associations(registry, tables, mapping, fields, hop, depth) -> DataFrame:
     """The entity's own rows plus one column per association field, and ``__part``.
 
-    ``depth`` is how many more component levels may be nested; None at the root, where each
-    field brings its own limit.
+    ``depth`` is how many more component levels may be nested, None for as many as there are; each
+    field may bring a tighter limit of its own.
     """
+    path = (*(hop.path if hop else ()), mapping.full_name)
     rows = tables[mapping.full_name].withColumn(PART, F.lit(0).cast("long"))
     pieces: list[tuple[Field, DataFrame]] = []
     for field in fields:
         if field.association is None:
             continue
-        room = field.max_depth if depth is None else min(depth, field.max_depth)
+        room = tighter(depth, field.max_depth)
         if field.reference is not None:
             if isinstance(field.reference, One):
                 rows = rows.withColumn(
@@ -126,15 +129,16 @@ def _with_associations(registry, tables, mapping, fields, hop, depth) -> DataFra
                 pieces.append((field, _reference_rows(registry, tables, mapping, field.reference)))
         elif _is_back_reference(mapping, field.component, hop):
             rows = rows.withColumn(field.name, _back_reference(field.component, hop))
-        elif room <= 0:
+        elif room is not None and room <= 0:
             nothing = F.lit(None).cast(STUB)
             if isinstance(field.component, Many):
                 nothing = F.array().cast(T.ArrayType(STUB))
             rows = rows.withColumn(field.name, nothing)
         elif isinstance(field.component, One):
-            rows = _join_one(registry, tables, rows, field, mapping, room)
+            rows = _join_one(registry, tables, rows, field, Hop(mapping, field.component, path), room)
         else:
-            pieces.append((field, _child_rows(registry, tables, mapping, field.component, room)))
+            nested = _child_rows(registry, tables, Hop(mapping, field.component, path), room)
+            pieces.append((field, nested))
     if pieces:
         rows = _join_many(registry, tables, rows, mapping, fields, pieces, depth)
     return rows
@@ -190,13 +194,15 @@ def _back_reference(association: One, hop: Hop) -> Column:
 # -- components --------------------------------------------------------------------------
 
 
-def _nested(registry, tables, target_name: str, hop: Hop, room: int):
+def _nested(registry, tables, target_name: str, hop: Hop, room: int | None):
     """Rows of a nested entity with ``__child`` = ``{id, class, fields...}``."""
     target = registry.get(target_name)
     if target is None:
         return None, None
+    check_endless(hop.path, target.full_name, room)
     fields = registry.compile(target, tables[target.full_name].schema)
-    rows = _with_associations(registry, tables, target, fields, hop, room - 1)
+    below = None if room is None else room - 1
+    rows = _with_associations(registry, tables, target, fields, hop, below)
     child = F.struct(
         key_column(target).alias("id"),
         F.lit(target.full_name).alias("class"),
@@ -205,9 +211,9 @@ def _nested(registry, tables, target_name: str, hop: Hop, room: int):
     return target, rows.withColumn(CHILD, child)
 
 
-def _join_one(registry, tables, rows, field: Field, mapping, room) -> DataFrame:
+def _join_one(registry, tables, rows, field: Field, hop: Hop, room) -> DataFrame:
     one = field.component
-    target, nested = _nested(registry, tables, one.target, Hop(mapping, one), room)
+    target, nested = _nested(registry, tables, one.target, hop, room)
     if target is None:
         stub = F.struct(F.col(one.fk).alias("id"), F.lit(one.target).alias("class"))
         return rows.withColumn(field.name, F.when(F.col(one.fk).isNotNull(), stub))
@@ -219,8 +225,9 @@ def _join_one(registry, tables, rows, field: Field, mapping, room) -> DataFrame:
     return joined.withColumn(PART, part).drop(OWNER, WEIGHT)
 
 
-def _child_rows(registry, tables, mapping, many: Many, room) -> DataFrame:
-    target, nested = _nested(registry, tables, many.target, Hop(mapping, many), room)
+def _child_rows(registry, tables, hop: Hop, room) -> DataFrame:
+    many = hop.via
+    target, nested = _nested(registry, tables, many.target, hop, room)
     if many.link is None:
         return nested.select(F.col(many.fk).alias(OWNER), CHILD).where(F.col(OWNER).isNotNull())
     pairs = tables[many.link].select(
@@ -305,9 +312,9 @@ def _owner_sizes(registry, tables, mapping, fields, depth) -> DataFrame:
         many = field.association
         if not isinstance(many, Many):
             continue
-        room = field.max_depth if depth is None else min(depth, field.max_depth)
+        room = tighter(depth, field.max_depth)
         target = registry.require(many.target)
-        if field.component is not None and room <= 0:
+        if field.component is not None and room is not None and room <= 0:
             continue
         if field.reference is not None or many.link is not None:
             source = tables[many.link or target.full_name]
@@ -317,8 +324,8 @@ def _owner_sizes(registry, tables, mapping, fields, depth) -> DataFrame:
         below = registry.compile(target, source.schema)
         owned = source.select(F.col(many.fk).alias(OWNER), key_column(target).alias(CHILD))
         deeper = [f for f in below if isinstance(f.association, Many)]
-        if deeper and room > 1:
-            inner = _owner_sizes(registry, tables, target, below, room - 1)
+        if deeper and (room is None or room > 1):
+            inner = _owner_sizes(registry, tables, target, below, None if room is None else room - 1)
             inner = inner.select(F.col(OWNER).alias("__inner"), WEIGHT)
             owned = owned.join(inner, F.col(CHILD) == F.col("__inner"), "left")
             weight = F.lit(1) + F.coalesce(WEIGHT, F.lit(0))

@@ -22,8 +22,7 @@ from pyspark.sql import types as T
 from docsearch.functions.analyzers import analyzer, exploding
 from docsearch.operators.documents import Tables
 from docsearch.plans.clauses import ALL
-from docsearch.plans.mapping import DocumentMapping, Field, Many, Registry
-from docsearch.settings import DEFAULT_MAX_DEPTH
+from docsearch.plans.mapping import DocumentMapping, Field, Many, Registry, check_endless, tighter
 
 DOC = ("index", "type", "id")
 ROW = (*DOC, "part")
@@ -48,18 +47,20 @@ def search_fields(
     tables: Tables,
     entity: str | DocumentMapping,
     prefix: str = "",
-    depth: int = DEFAULT_MAX_DEPTH,
+    depth: int | None = None,
+    path: tuple[str, ...] = (),
 ) -> list[SearchField]:
     """Every searchable path of an entity, component fields as ``field.child``. Hidden fields,
     plain objects and the ``class``/``ref`` markers give none."""
     mapping = registry.require(entity)
     found = []
+    path = (*path, mapping.full_name)
     for f in registry.compile(mapping, tables[mapping.full_name].schema):
-        path = prefix + f.name
+        name = prefix + f.name
         if f.association is not None:
-            found += _association_fields(registry, tables, mapping, f, path, depth)
+            found += _association_fields(registry, tables, mapping, f, name, depth, path)
         elif f.index != "no" and f.index_type != "object":
-            found.append(_plain_field(f, path))
+            found.append(_plain_field(f, name))
     return found
 
 
@@ -73,14 +74,16 @@ def _plain_field(f: Field, path: str) -> SearchField:
     return SearchField(path, how, f.boost, f.in_all, "string" if text else kind.simpleString())
 
 
-def _association_fields(registry, tables, mapping, f, path, depth) -> list[SearchField]:
-    found = [SearchField(f"{path}.id", "keyword", 1.0, False)]
+def _association_fields(registry, tables, mapping, f, name, depth, path) -> list[SearchField]:
+    found = [SearchField(f"{name}.id", "keyword", 1.0, False)]
     target = registry.get(f.association.target)
     points_up = not isinstance(f.association, Many) and _points_up(registry, mapping, f)
-    if f.component is None or target is None or depth <= 0 or points_up:
+    room = tighter(depth, f.max_depth)
+    if f.component is None or target is None or points_up or (room is not None and room <= 0):
         return found
-    room = min(depth, f.max_depth) - 1
-    return found + search_fields(registry, tables, target, f"{path}.", room)
+    check_endless(path, target.full_name, room)
+    below = None if room is None else room - 1
+    return found + search_fields(registry, tables, target, f"{name}.", below, path)
 
 
 def _points_up(registry: Registry, mapping: DocumentMapping, f: Field) -> bool:
@@ -122,26 +125,10 @@ def path_value(source: str, schema: T.StructType, path: str) -> tuple[Column, T.
     return value, kind
 
 
-def tokens(
-    documents: DataFrame,
-    fields: Sequence[SearchField],
-    with_all: bool = False,
-    by_document: bool = True,
-) -> DataFrame:
-    """``(index, type, id, part, field, term, pos, weight, len, boost)``: one row per token.
-
-    ``by_document`` first brings the text together by id, for groupings of every token. A caller
-    that keeps few tokens leaves it off and shuffles those alone.
-    """
+def tokens(documents: DataFrame, fields: Sequence[SearchField], with_all: bool = False) -> DataFrame:
+    """``(index, type, id, part, field, term, pos, weight, len, boost)``: one row per token. For
+    callers that keep few tokens and shuffle those alone."""
     wanted = _present(documents, fields)
-    if by_document:
-        # Rows of one large document may go apart; otherwise the id alone decides the place. The
-        # number is given, or adaptive execution would judge by the size of the text and leave
-        # too few tasks for the many terms it breaks into.
-        nested = any("." in f.path for f in wanted)
-        documents = documents.repartition(
-            _partitions(documents), *(["id", "part"] if nested else ["id"])
-        )
     analysed, arrays, included = _analysed(documents, wanted, with_all)
     runs = [
         _run(f.path, name, F.lit(1.0), F.lit(0), F.size(name), f.boost)
@@ -169,12 +156,6 @@ def tokens(
     )
 
 
-def _partitions(rows: DataFrame) -> int:
-    session = rows.sparkSession
-    configured = int(session.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, session.sparkContext.defaultParallelism)
-
-
 def _run(
     path: str, array: str, weight: Column, base: Column, length: Column, boost: float
 ) -> Column:
@@ -205,19 +186,9 @@ def postings(
     with_all: bool = False,
     positions: bool = True,
 ) -> DataFrame:
-    """Postings of ``documents``.
-
-    With positions they are made inside each row, from its sorted tokens, and nothing is
-    shuffled. Without, the text is brought together by id and counted by a hash aggregate: the
-    result stays grouped by document, which :mod:`docsearch.operators.batch` builds on.
-    """
-    if positions:
-        return _positional(documents, fields, with_all)
-    return (
-        tokens(documents, fields, with_all)
-        .groupBy(*ROW, "field", "term")
-        .agg(F.sum("weight").alias("tf"), F.max("len").alias("len"), F.max("boost").alias("boost"))
-    )
+    """Postings of ``documents``, made inside each row from its sorted tokens: no text is shuffled."""
+    rows = _positional(documents, fields, with_all)
+    return rows if positions else rows.drop("positions")
 
 
 def _positional(
@@ -333,12 +304,13 @@ def whole_lengths(rows: DataFrame) -> DataFrame:
     return rows.drop("len").join(lengths, [*DOC, "field"])
 
 
-def term_stats(rows: DataFrame) -> DataFrame:
+def term_stats(rows: DataFrame, split: bool = True) -> DataFrame:
     """``(field, term, df)`` of fresh postings: in how many documents a term occurs. A document
-    in several parts counts once. The first grouping holds the document id, so it does not
-    shuffle again."""
-    documents = rows.groupBy(*DOC, "field", "term").agg(F.lit(1).alias("one"))
-    return documents.groupBy("field", "term").agg(F.count("one").alias("df"))
+    in several parts counts once; where there are none (``split`` False) a posting is a document,
+    and only counts are shuffled."""
+    if split:
+        rows = rows.groupBy(*DOC, "field", "term").agg(F.lit(1).alias("one"))
+    return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def stored_term_stats(rows: DataFrame) -> DataFrame:
@@ -356,6 +328,16 @@ def field_lengths(rows: DataFrame) -> DataFrame:
     return per_part.groupBy(*DOC, "field").agg(F.sum("len").alias("len"))
 
 
+def field_sizes(documents: DataFrame, fields: Sequence[SearchField], split: bool = True) -> DataFrame:
+    """``(index, type, id, field, len)`` straight from documents: the number of terms of each field
+    that has any. Nothing is shuffled but the sizes of documents in several parts."""
+    analysed, arrays, _ = _analysed(documents, _present(documents, fields), False)
+    sizes = [F.struct(F.lit(f.path).alias("field"), F.size(name).alias("len")) for name, f in arrays.items()]
+    rows = analysed.select(*DOC, F.explode(F.array(*sizes)).alias("x")).select(*DOC, "x.*")
+    rows = rows.where(F.col("len") > 0)
+    return rows.groupBy(*DOC, "field").agg(F.sum("len").cast("int").alias("len")) if split else rows
+
+
 def index_stats(documents: DataFrame) -> DataFrame:
     """``(index, type, num_docs)``."""
     return (

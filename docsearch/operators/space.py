@@ -121,7 +121,7 @@ class TableSpace:
             if spans(self.registry, mapping):
                 rows = whole_lengths(postings(documents, wanted, with_all, positions)).where(terms)
             else:
-                rows = tokens(documents, wanted, with_all, by_document=False).where(terms)
+                rows = tokens(documents, wanted, with_all).where(terms)
                 rows = rows.withColumnRenamed("weight", "tf")
                 rows = rows.withColumn("positions", F.array("pos")) if positions else rows
             found.append(rows.select(*_term_columns(positions)))
@@ -230,6 +230,15 @@ class IndexSpace:
             rows = rows.join(broadcast_if_small(fitting), place, "left_semi")
         return rows.select(*_term_columns(positions))
 
+    def vocabulary_rows(self, field: str, vocabulary: DataFrame) -> DataFrame:
+        """Postings of one field for the terms of a table. Joined by bucket as well, so that a
+        vocabulary small enough to be sent to all tasks also says which buckets are read at all."""
+        buckets = bucket_count(self.spark, self.path)
+        # the comparison lets Spark expect that the vocabulary leaves something out
+        wanted = vocabulary.where(F.length("term") > 0).withColumn("bucket", bucket_of(F.col("term"), buckets))
+        rows = self._table("postings").where(F.col("field") == field)
+        return rows.join(wanted, ["bucket", "term"], "left_semi").select(*_term_columns(False))
+
     def term_stats(self, terms, exact) -> DataFrame:
         rows = self._bucket(self._table("term_stats"), exact).where(terms)
         return rows.groupBy("type", "field", "term").agg(F.sum("df").alias("df"))

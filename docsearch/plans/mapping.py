@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from docsearch.functions.analyzers import analyzer
 from docsearch.functions.converters import Converter
 from docsearch.functions.naming import index_name, property_name, type_name
-from docsearch.settings import DEFAULT_MAX_DEPTH, Settings
+from docsearch.settings import Settings
 
 # The options a field may carry, and the ways a field can be indexed.
 FIELD_OPTIONS = (
@@ -114,7 +114,8 @@ class Field:
     converter: Converter | None = None
     component: Association | None = None
     reference: Association | None = None
-    max_depth: int = DEFAULT_MAX_DEPTH
+    #: how many levels of components may be nested below; None: as many as the mappings say
+    max_depth: int | None = None
 
     @property
     def association(self) -> Association | None:
@@ -173,6 +174,17 @@ def _options(mapping: DocumentMapping) -> dict[str, dict[str, Any]]:
     return merged
 
 
+def tighter(one: int | None, other: int | None) -> int | None:
+    """The smaller of two depth limits, of which each may be missing."""
+    return other if one is None else one if other is None else min(one, other)
+
+
+def check_endless(path: Sequence[str], target: str, room: int | None) -> None:
+    """An entity that nests itself needs a depth; without one it would never end."""
+    if room is None and target in path:
+        raise ValueError(f"{' > '.join([*path, target])} nests itself: give a maxDepth")
+
+
 class Registry:
     """The mappings of an application, looked up by full name or by type name."""
 
@@ -292,7 +304,7 @@ class Registry:
             converter=converter,
             component=component,
             reference=reference,
-            max_depth=given.get("maxDepth") or DEFAULT_MAX_DEPTH,
+            max_depth=given.get("maxDepth"),
         )
 
     def mapping_rows(self, entity: str | DocumentMapping, schema: T.StructType) -> list[tuple]:

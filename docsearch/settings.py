@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 # Defaults a migrating user relies on.
 DEFAULT_EXCLUDED = ("password",)
 DEFAULT_PAGE_SIZE = 60
-DEFAULT_MAX_DEPTH = 5
 DATE_OUT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 DATE_IN_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'Z'")
 

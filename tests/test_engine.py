@@ -13,6 +13,7 @@ from docsearch import (
     Match,
     Phrase,
     Prefix,
+    Range,
     Registry,
     Settings,
     Term,
@@ -404,3 +405,57 @@ def test_a_repeated_word_needs_two_places(spark):
 def test_an_unknown_selection_says_so(spark):
     with pytest.raises(ValueError, match="no entity with a table"):
         TableSpace.over(REGISTRY, {"test.Product": products(spark)}, indices="nowhere")
+
+
+def test_components_are_nested_as_deep_as_the_mappings_say(spark):
+    names = [f"c.L{i}" for i in range(8)]
+    below = lambda i: {"next": {"component": Many(names[i + 1], "up")}} if i < 7 else {}
+    registry = Registry([DocumentMapping(n, "id", fields=below(i), root=i == 0) for i, n in enumerate(names)])
+    table = spark.createDataFrame([(1, 1, "word")], "id int, up int, name string")
+    loaded = {n: table.withColumn("name", F.lit(f"word{i}")) for i, n in enumerate(names)}
+    assert '"name":"word7"' in as_json(build_documents(registry, loaded, names[0])).first().source
+    hits = search(TableSpace.over(registry, loaded), Match("word7", ".".join(["next"] * 7) + ".name")).hits
+    assert hits.count() == 1
+
+
+def test_an_entity_that_nests_itself_needs_a_depth(spark):
+    def declared(**options):
+        return Registry([DocumentMapping("c.Node", "id", fields={"down": {"component": Many("c.Node", "up"), **options}})])
+
+    loaded = {"c.Node": spark.createDataFrame([(1, None), (2, 1), (3, 2)], "id int, up int")}
+    with pytest.raises(ValueError, match="give a maxDepth"):
+        build_documents(declared(), loaded, "c.Node")
+    with pytest.raises(ValueError, match="give a maxDepth"):
+        TableSpace.over(declared(), loaded).known_fields()
+    assert build_documents(declared(maxDepth=2), loaded, "c.Node").count() == 3
+
+
+def test_batch_search_reads_only_the_buckets_of_its_words(spark, folder):
+    registry = Registry([mapping("corpus.Document", only=["text"])])
+    path = fresh_path(spark, "t")
+    bulk_index(registry, tables(spark, folder, "corpus.Document"), path, buckets=8)
+    questions = spark.createDataFrame([(1, "the thing"), (2, "the")], "query_id int, text string")
+    found = batch_search(IndexSpace.over(spark, path, registry), questions, "text", 3)
+    plan = found._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan and "bucket" in plan.split("PartitionFilters: [")[1]
+    assert found.groupBy("query_id").count().collect()
+
+
+def test_maintenance_of_a_written_index(spark):
+    path, left, same = (fresh_path(spark, "t") for _ in range(3))
+    table = {"test.Product": products(spark, (1, "red", 1.0), (2, "blue", 2.0), (None, "lost", 0.0))}
+    bulk_index(REGISTRY, table, path, [PRODUCT], buckets=2)
+    index = IndexSpace.over(spark, path, REGISTRY)
+    assert found(search(index, "lost")) == [] and count_hits(index, "red").first().n == 1
+    assert [r.reason for r in spark.read.parquet(f"{path}/rejects").collect()] == ["no id"]
+    removed = spark.createDataFrame([("test", "test_product", "1")], "index string, type string, id string")
+    assert update_index(spark, path, same, removed.where("id = '9'")) == path
+    changed = {"test.Product": products(spark, (2, "green", 5.0), (2, "green", 5.0))}
+    typed = build_documents(REGISTRY, changed, PRODUCT)
+    fresh = as_json(typed).withColumn("version", F.lit(2).cast("long"))
+    rows = document_postings(REGISTRY, changed, PRODUCT, typed)
+    assert update_index(spark, path, left, removed, fresh, rows, {"test_product": typed}) == left
+    after = IndexSpace.over(spark, left, REGISTRY)
+    assert found(search(after, "red")) == [] and found(search(after, "green")) == ["2"]
+    assert found(search(after, Range("price", 4, 6))) == ["2"] and after.documents().count() == 1
+    assert [r.price for r in search(after, "green").sorted_page(PRODUCT, "price").collect()] == [5.0]
