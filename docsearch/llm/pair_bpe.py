@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: characters of text whose new words are merged together
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 #: words a Python worker remembers before it starts afresh
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 # Unicode white space, and the words and runs that the byte-level scheme merges within.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -210,7 +210,7 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
+def slices(texts: Iterable[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Runs of whole texts of about ``most`` characters."""
     run, size = [], 0
     for text in texts:
@@ -223,6 +223,60 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[list[str]]:
         yield run
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoded(batches: Batches, path: str, ids_col: str) -> Batches:
+    """The last column, a text, as its ids; the others as they are."""
+    encoder = _encoder(path)
+    for batch in batches:
+        others = batch.schema.names[:-1]
+        texts = batch.column(len(others))
+        done = 0
+        for run in slices(t.as_py() or "" for t in texts):
+            ids = encoder.encode(run)
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            part = batch.slice(done, len(run))
+            done += len(run)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(i) for i in range(len(others))),
+                    pa.ListArray.from_arrays(ends, np.concatenate(ids).astype(np.int32)),
+                ],
+                [*others, ids_col],
+            )
+
+
+def _text_of(ids: np.ndarray, vocab: Vocabulary) -> str:
+    lengths = vocab.lengths[ids]
+    ends = np.cumsum(lengths)
+    source = np.repeat(vocab.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ids) else 0)
+    return vocab.bytes[source].tobytes().decode("utf-8", "replace")
+
+
+def _decoded(batches: Batches, path: str, text_col: str, keep_ids: bool) -> Batches:
+    """The last column, ids, as its text; the others as they are."""
+    vocab = vocabulary(path)
+    for batch in batches:
+        last = batch.num_columns - 1
+        texts = [
+            _text_of(row.values.drop_null().to_numpy().astype(np.int64), vocab) if row.is_valid else None
+            for row in batch.column(last)
+        ]
+        kept = batch.num_columns if keep_ids else last
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in range(kept)), pa.array(texts, pa.string())],
+            [*batch.schema.names[:kept], text_col],
+        )
+
+
+IDS = T.ArrayType(T.IntegerType())
+
+
+def _schema(table: DataFrame, others: list[str], **more: T.DataType) -> T.StructType:
+    return T.StructType([table.schema[c] for c in others] + [T.StructField(k, v) for k, v in more.items()])
+
+
 def bpe_encode(table: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``table`` with the token ids of ``text_col`` (``array<int>``) in place of the text.
 
@@ -232,28 +286,10 @@ def bpe_encode(table: DataFrame, path: str, text_col: str = "text", ids_col: str
     named ``ids_col`` is replaced), repeated rows stay, and an empty table gives an empty result.
     """
     others = [c for c in table.columns if c not in (text_col, ids_col)]
-    schema = T.StructType(
-        [table.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    return table.select(*others, F.col(text_col).cast("string")).mapInArrow(
+        lambda batches: _encoded(batches, path, ids_col), _schema(table, others, **{ids_col: IDS})
     )
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(len(others)).to_pylist()]
-            done = 0
-            for run in slices(texts):
-                ids = encoder.encode(run)
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.concatenate(ids).astype(np.int32)
-                part = batch.slice(done, len(run))
-                done += len(run)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(len(others))), pa.ListArray.from_arrays(ends, flat)],
-                    [*others, ids_col],
-                )
-
-    return table.select(*others, F.col(text_col).cast("string")).mapInArrow(each, schema)
-
 
 def bpe_decode(table: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``table`` with the text of the token ids in place of the ids.
@@ -263,24 +299,21 @@ def bpe_decode(table: DataFrame, path: str, ids_col: str = "ids", text_col: str
     an error. Other columns are carried along (one named ``text_col`` is replaced).
     """
     others = [c for c in table.columns if c not in (ids_col, text_col)]
-    schema = T.StructType([table.schema[c] for c in others] + [T.StructField(text_col, T.StringType())])
-
-    def text_of(ids: np.ndarray, vocab: Vocabulary) -> str:
-        lengths = vocab.lengths[ids]
-        ends = np.cumsum(lengths)
-        source = np.repeat(vocab.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ids) else 0)
-        return vocab.bytes[source].tobytes().decode("utf-8", "replace")
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        for batch in batches:
-            texts = [
-                text_of(row.values.drop_null().to_numpy().astype(np.int64), vocab) if row.is_valid else None
-                for row in batch.column(len(others))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(others))), pa.array(texts, pa.string())],
-                [*others, text_col],
-            )
+    return table.select(*others, F.col(ids_col).cast("array<int>")).mapInArrow(
+        lambda batches: _decoded(batches, path, text_col, False),
+        _schema(table, others, **{text_col: T.StringType()}),
+    )
+
 
-    return table.select(*others, F.col(ids_col).cast("array<int>")).mapInArrow(each, schema)
+def bpe_round_trip(
+    table: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", back_col: str = "decoded"
+) -> DataFrame:
+    """``table`` with the ids of ``text_col`` and the text those ids decode to in place of the text.
+
+    What :func:`bpe_encode` and then :func:`bpe_decode` give, in one pass of one Python worker.
+    """
+    others = [c for c in table.columns if c not in (text_col, ids_col, back_col)]
+    return table.select(*others, F.col(text_col).cast("string")).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, path, ids_col), path, back_col, True),
+        _schema(table, others, **{ids_col: IDS, back_col: T.StringType()}),
+    )

@@ -12,7 +12,7 @@ from docsearch.llm.license_scan import license_scan
 from docsearch.llm.line_join import line_classes
 from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
 from docsearch.llm.metric_join import near_vectors
-from docsearch.llm.pair_bpe import bpe_decode, bpe_encode
+from docsearch.llm.pair_bpe import bpe_round_trip
 from docsearch.llm.pivot_simhash import simhash_components
 from docsearch.llm.rank_profiles import collected, held_out, identify, learn
 from docsearch.llm.registry import query
@@ -140,19 +140,12 @@ def op9_rank_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_pair_bpe")
 def op10_pair_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), BYTE_BPE)
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    decoded = bpe_decode(
-        encoded.select(
-            "doc_id",
-            F.size("ids").cast("long").alias("n_tokens"),
-            F.sha2(listed, 256).alias("ids_sha256"),
-            "ids",
-        ),
-        BYTE_BPE,
-    )
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+    both = bpe_round_trip(table(spark, folder, "documents").select("doc_id", "text"), BYTE_BPE)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
