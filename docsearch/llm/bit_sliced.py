@@ -14,6 +14,7 @@ SCALE = 64
 K = 20
 BLOCK_ROWS = 65_536
 PART_QUERIES = 128
+MAX_TASKS = 20_000
 #: larger quantised components could overflow a long score
 LARGEST = 1 << 26
 
@@ -229,7 +230,9 @@ def top_k(
             }
         )
 
-    best = pairs.groupBy("block", "part", "width").applyInArrow(
+    # a pair is much work for few bytes, so their number and not their size sets that of the tasks
+    dealt = pairs.repartition(min(MAX_TASKS, blocks * parts), "block", "part", "width")
+    best = dealt.groupBy("block", "part", "width").applyInArrow(
         answer, "query_id long, vec_id long, score long"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
