@@ -22,7 +22,7 @@ from catalog.entities import (
     tok,
 )
 from catalog.registry import query
-from docsearch import Registry
+from docsearch import DocumentMapping, Many, Match, Registry, Term
 from docsearch.operators.documents import as_json, build_documents
 from docsearch.operators.hydrate import structural_errors
 from docsearch.operators.maintain import (
@@ -33,19 +33,22 @@ from docsearch.operators.maintain import (
     fold_delete_wins,
     fold_last,
     owners_of,
+    put_documents,
     reindex_owners,
+    reindex_owners_into,
     split_rejects,
     unindex,
     unindex_types,
     update_index,
     upsert,
 )
-from docsearch.operators.space import union
+from docsearch.operators.search import search
+from docsearch.operators.space import IndexSpace, union
 from docsearch.plans.mapping import One
 from docsearch.sources.index_tables import read_index_table
 from docsearch.sources.shared import fresh_path
 from docsearch.sources.tables import read_table
-from docsearch.streaming.mirror import current_changes, mirror, read_log
+from docsearch.streaming.mirror import current_changes, index_log, mirror, read_log
 
 
 def index_rows(spark, path):
@@ -342,3 +345,89 @@ def stream_mirror(spark, folder):
     return state.select(F.col("id").cast("long").alias("user_id"), "op", "value", "version")
 
 
+USER = DocumentMapping("log.User", "user_id", fields={"event_type": {"index": "not_analyzed"}})
+
+
+@query(
+    "mirror_search",
+    f"""SELECT CAST(user_id AS VARCHAR) AS id, value FROM (
+         SELECT user_id, arg_max({OP}, (ts, event_id)) AS op, arg_max(value, (ts, event_id)) AS value,
+                arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id)
+       WHERE op <> 'delete' AND event_type = 'click'""",
+)
+def mirror_search(spark, folder):
+    """The events mirrored as users, brought into a written index, and asked for there."""
+    registry = Registry([USER])
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    changes = event_changes(spark, folder).join(events, F.col("tx_id") == F.col("event_id")).drop("event_id", "day")
+    feed_path = fresh_path(spark, "user-feed")
+    changes.write.parquet(feed_path)
+    log, checkpoint = fresh_path(spark, "user-log"), fresh_path(spark, "user-checkpoint")
+    feed = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 2).parquet(feed_path)
+    mirror(feed, log, checkpoint, registry, order=CHANGE_ORDER).awaitTermination()
+    empty, full = fresh_path(spark, "user-index"), fresh_path(spark, "user-index")
+    nobody = changes.select("value", "user_id", "event_type").where("1 = 0")
+    bulk_index(registry, {"log.User": nobody}, empty, buckets=4)
+    held = index_log(registry, read_log(spark, log, changes.schema), USER, empty, full, CHANGE_ORDER)
+    space = IndexSpace.over(spark, held, registry)
+    hits = search(space, Term("event_type", "click")).matching().select("type", "id")
+    return space.typed(USER).join(hits, ["type", "id"]).select("id", "source.value")
+
+
+@query(
+    "stored_upsert",
+    f"""WITH d AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN 'thing' ELSE text END AS text FROM documents
+                   WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+       SELECT CAST(doc_id AS VARCHAR) AS id FROM d WHERE list_contains({tok("text")}, 'thing')""",
+)
+def stored_upsert(spark, folder):
+    """A written index from which the toxic documents go and into which the French ones come with
+    another text, given twice; then it is searched."""
+    declared = mapping("corpus.Document", only=["text", "lang"], fields={"lang": {"index": "not_analyzed"}})
+    registry, loaded = Registry([declared]), tables(spark, folder, "corpus.Document")
+    old, new = fresh_path(spark, "stored-from"), fresh_path(spark, "stored-to")
+    bulk_index(registry, loaded, old, [declared])
+    toxic = read_table(spark, folder, "labels").where("toxic = 1").select("doc_id")
+    removed = toxic.select(
+        F.lit("corpus").alias("index"),
+        F.lit("corpus_document").alias("type"),
+        F.col("doc_id").cast("string").alias("id"),
+    )
+    french = loaded["corpus.Document"].where("lang = 'fr'").join(toxic, "doc_id", "left_anti")
+    changed = {"corpus.Document": french.union(french).withColumn("text", F.lit("thing"))}
+    typed = build_documents(registry, changed, declared)
+    held = put_documents(registry, changed, declared, typed, removed, old, new, version=2)
+    space = IndexSpace.over(spark, held, registry)
+    return search(space, Match("thing", "text")).matching().select("id")
+
+
+@query(
+    "owner_moves",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders
+       WHERE o_orderkey IN (SELECT CASE WHEN l_orderkey % 7 = 0 THEN l_orderkey + 1 ELSE l_orderkey END
+                            FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <> 3)""",
+)
+def owner_moves(spark, folder):
+    """Lines move to the next order, and those of one number are deleted; the index of orders,
+    re-indexed for the owners before and after, is asked which orders hold a returned line."""
+    line = mapping(
+        "shop.LineItem", root=False, only=["l_returnflag"], fields={"l_returnflag": {"index": "not_analyzed"}}
+    )
+    order = mapping(
+        "shop.Order", only=["lines"], fields={"lines": {"component": Many("shop.LineItem", "l_orderkey")}}
+    )
+    registry = Registry([order, line])
+    loaded = tables(spark, folder, "shop.Order", "shop.LineItem")
+    lines = loaded["shop.LineItem"].withColumn("l_id", F.xxhash64(*loaded["shop.LineItem"].columns))
+    moves, goes = F.col("l_orderkey") % 7 == 0, F.col("l_linenumber") == 3
+    now = lines.where(~goes).withColumn("l_orderkey", F.when(moves, F.col("l_orderkey") + 1).otherwise(F.col("l_orderkey")))
+    changed = now.join(lines.where(moves & ~goes).select("l_id").distinct(), "l_id", "left_semi").select("l_id", "l_orderkey")
+    deleted = lines.where(goes).select("l_id", F.lit(None).cast("bigint").alias("l_orderkey"))
+    old, new = fresh_path(spark, "moves-from"), fresh_path(spark, "moves-to")
+    bulk_index(registry, {**loaded, "shop.LineItem": lines}, old, [order], buckets=4)
+    owners = owners_of(changed.union(deleted), "l_orderkey", ["l_id"], lines)
+    held = reindex_owners_into(
+        registry, {**loaded, "shop.LineItem": now}, order, owners, {"shop.LineItem": "l_orderkey"}, old, new
+    )
+    space = IndexSpace.over(spark, held, registry)
+    return search(space, Term("lines.l_returnflag", "R")).matching().select("id")

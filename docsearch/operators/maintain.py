@@ -68,9 +68,19 @@ def committed(
     return changes.join(done, key, "left_semi")
 
 
-def owners_of(changed_children: DataFrame, fk: str) -> DataFrame:
-    """``(owner)``: the owners whose documents hold a changed child."""
-    return changed_children.where(F.col(fk).isNotNull()).select(F.col(fk).alias("owner")).distinct()
+def owners_of(
+    changed_children: DataFrame, fk: str, key: Sequence[str] = (), before: DataFrame | None = None
+) -> DataFrame:
+    """``(owner)``: the owners whose documents hold a changed child.
+
+    A child that was moved or deleted also changes the owner it had: give ``before``, the children
+    as they were, and the ``key`` by which a changed one is found among them.
+    """
+    owners = changed_children.select(F.col(fk).alias("owner"))
+    if before is not None:
+        earlier = before.join(changed_children.select(*key).distinct(), list(key), "left_semi")
+        owners = owners.unionByName(earlier.select(F.col(fk).alias("owner")))
+    return owners.where(F.col("owner").isNotNull()).distinct()
 
 
 def reindex_owners(
@@ -172,6 +182,48 @@ def document_postings(
     return whole_lengths(rows) if spans(registry, mapping) else rows
 
 
+def put_documents(
+    registry: Registry,
+    tables: Tables,
+    entity: str | DocumentMapping,
+    typed: DataFrame,
+    removed: DataFrame,
+    path: str,
+    target: str,
+    version: int | Column = 1,
+) -> str:
+    """:func:`update_index` with typed documents of one entity: their JSON form, postings and typed
+    twin go in, what ``removed`` names goes out."""
+    mapping = registry.require(entity)
+    spark = typed.sparkSession
+    number = version if isinstance(version, Column) else F.lit(version)
+    fresh = newest(as_json(typed).withColumn("version", number.cast("long")))
+    rows = document_postings(registry, tables, mapping, typed)
+    return update_index(spark, path, target, removed, fresh, rows, {mapping.type_name: typed})
+
+
+def reindex_owners_into(
+    registry: Registry,
+    tables: Tables,
+    entity: str | DocumentMapping,
+    owners: DataFrame,
+    children: Mapping[str, str],
+    path: str,
+    target: str,
+    version: int = 1,
+) -> str:
+    """Documents of ``owners`` as the tables now have them, put into a written index. An owner that
+    is gone leaves it."""
+    mapping = registry.require(entity)
+    typed = reindex_owners(registry, tables, mapping, owners, children)
+    named = owners.select(
+        F.lit(registry.index_of(mapping)).alias("index"),
+        F.lit(mapping.type_name).alias("type"),
+        F.col("owner").cast("string").alias("id"),
+    )
+    return put_documents(registry, tables, mapping, typed, named, path, target, version)
+
+
 def bulk_index(
     registry: Registry,
     tables: Tables,

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docsearch.operators.maintain import DELETE, committed, fold_delete_wins, fold_last
-from docsearch.plans.mapping import Registry
+from docsearch.operators.documents import build_documents
+from docsearch.operators.maintain import DELETE, committed, fold_delete_wins, fold_last, put_documents
+from docsearch.plans.mapping import DocumentMapping, Registry
 
 KEY = ("type", "id")
 ORDER = ("seq",)
@@ -142,6 +143,32 @@ def current_documents(changes: DataFrame, order: Sequence[str] = ORDER) -> DataF
     return current_changes(changes, order).where(F.col("op") != DELETE)
 
 
+def index_log(
+    registry: Registry,
+    changes: DataFrame,
+    entity: str | DocumentMapping,
+    path: str,
+    target: str,
+    order: Sequence[str] = ORDER,
+) -> str:
+    """Bring a written index up to a log: what was deleted goes, what was changed goes in anew.
+
+    ``changes`` is what :func:`read_log` gives, with the columns of the entity's table as payload.
+    Gives the path that holds the result. Doing it again with the same log changes nothing.
+    """
+    mapping = registry.require(entity)
+    latest = current_changes(changes, order).where(F.col("type") == mapping.type_name)
+    rows = latest.where(F.col("op") != DELETE).drop("type", "op", "version", *(["tx_id"] if "tx_id" in latest.columns else []))
+    if "id" not in mapping.keys:
+        rows = rows.drop("id")
+    loaded = {mapping.full_name: rows}
+    named = latest.select(
+        F.lit(registry.index_of(mapping)).alias("index"), F.lit(mapping.type_name).alias("type"), "id"
+    )
+    typed = build_documents(registry, loaded, mapping)
+    return put_documents(registry, loaded, mapping, typed, named, path, target)
+
+
 def compact(
     spark: SparkSession, log: str, schema: T.StructType, target: str, order: Sequence[str] = ORDER
 ) -> None:
