@@ -2,8 +2,10 @@
 
 A document row is ``(index, type, id, part, source)``. ``part`` is 0 for a document that fits
 one row. An owner with more than ``Settings.max_children`` nested children is stored as several
-rows with distinct ``part`` labels: each repeats the root fields and holds a share of the
-children, so no task ever assembles an unbounded group, and no child is dropped.
+rows: the one with ``part`` FIRST_PART holds its own fields, each other holds a share of the
+children, so no task ever assembles an unbounded group, no child is dropped, and nothing is
+held twice. Equal children are counted before they are dealt out, so that many of them do not
+land in one share.
 
 All to-many fields of an owner are gathered by one shuffle on the owner's key; to-one fields
 are equi-joins whose strategy Spark picks by size.
@@ -25,6 +27,10 @@ from docsearch.plans.mapping import DocumentMapping, Field, Many, One, Registry,
 Tables = Mapping[str, DataFrame]
 
 PART = "__part"
+FIRST = "__first"
+COPIES = "__copies"
+#: the row of a document in several that holds what is not a share of its children
+FIRST_PART = 1
 OWNER = "__owner"
 CHILD = "__child"
 WEIGHT = "__weight"
@@ -71,10 +77,15 @@ def build_documents(registry: Registry, tables: Tables, entity: str | DocumentMa
         F.lit(mapping.type_name).alias("type"),
         id_column(mapping).alias("id"),
         F.col(PART).alias("part"),
-        F.struct(*_field_columns(fields)).alias("source"),
+        F.struct(*_held_once(fields)).alias("source"),
     )
 
 
+def is_first(part: Column) -> Column:
+    """Whether a row is the only one of its document or the one with the document's own fields."""
+    return part.isin(0, FIRST_PART)
+
+
 def select_mapped(registry: Registry, tables: Tables, entity: str | DocumentMapping) -> DataFrame:
     """``id`` and the mapped plain columns as they are: the scan reads nothing else."""
     mapping = registry.require(entity)
@@ -107,6 +118,16 @@ def _field_columns(fields: list[Field]) -> list[Column]:
     ]
 
 
+def _held_once(fields: list[Field]) -> list[Column]:
+    """The columns of an entity, of which plain ones and references stand in its first row alone."""
+    columns = _field_columns(fields)
+    if not any(f.component for f in fields):
+        return columns
+    return [
+        c if f.component else F.when(F.col(FIRST), c).alias(f.name) for f, c in zip(fields, columns, strict=True)
+    ]
+
+
 def _with_associations(registry, tables, mapping, fields, hop, depth) -> DataFrame:
     """The entity's own rows plus one column per association field, and ``__part``.
 
@@ -114,7 +135,8 @@ def _with_associations(registry, tables, mapping, fields, hop, depth) -> DataFra
     field may bring a tighter limit of its own.
     """
     path = (*(hop.path if hop else ()), mapping.full_name)
-    rows = tables[mapping.full_name].withColumn(PART, F.lit(0).cast("long"))
+    rows = tables[mapping.full_name].withColumn(PART, F.lit(0).cast("long")).withColumn(FIRST, F.lit(True))
+    joined: list[Field] = []
     pieces: list[tuple[Field, DataFrame]] = []
     for field in fields:
         if field.association is None:
@@ -135,15 +157,40 @@ def _with_associations(registry, tables, mapping, fields, hop, depth) -> DataFra
                 nothing = F.array().cast(T.ArrayType(STUB))
             rows = rows.withColumn(field.name, nothing)
         elif isinstance(field.component, One):
-            rows = _join_one(registry, tables, rows, field, Hop(mapping, field.component, path), room)
+            rows = _join_one(registry, tables, rows, field, Hop(mapping, field.component, path), room, joined)
+            joined.append(field)
         else:
             nested = _child_rows(registry, tables, Hop(mapping, field.component, path), room)
             pieces.append((field, nested))
     if pieces:
-        rows = _join_many(registry, tables, rows, mapping, fields, pieces, depth)
+        rows = _join_many(registry, tables, rows, mapping, fields, pieces, depth, joined)
     return rows
 
 
+def _united(rows: DataFrame, weight: Column, lead: Column, earlier: list[Field], added: list[str]) -> DataFrame:
+    """Rows of an owner after a join that may have met several with several.
+
+    A row stays if either side is the first of its own; what was there before stands in rows whose
+    new side is first, and what was added in rows whose old side is.
+    """
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    whole = rows.where(F.col(FIRST) | lead).withColumn("__lead", lead).withColumn("__old", F.col(FIRST))
+    for name in [f.name for f in earlier] + added:
+        keep = F.col("__old") if name in added else F.col("__lead")
+        if isinstance(kinds[name], T.ArrayType):
+            nothing = F.array().cast(kinds[name])
+            whole = whole.withColumn(name, F.when(keep, F.coalesce(F.col(name), nothing)).otherwise(nothing))
+        else:
+            whole = whole.withColumn(name, F.when(keep, F.col(name)))
+    first = F.col("__old") & F.col("__lead")
+    label = (
+        F.when((F.col(PART) == 0) & (weight == 0), F.lit(0).cast("long"))
+        .when(first, F.lit(FIRST_PART).cast("long"))
+        .otherwise(F.xxhash64(PART, weight))
+    )
+    return whole.withColumn(PART, label).withColumn(FIRST, first).drop("__lead", "__old")
+
+
 # -- references and back-references ------------------------------------------------------
 
 
@@ -203,26 +250,33 @@ def _nested(registry, tables, target_name: str, hop: Hop, room: int | None):
     fields = registry.compile(target, tables[target.full_name].schema)
     below = None if room is None else room - 1
     rows = _with_associations(registry, tables, target, fields, hop, below)
+    several = any(f.component for f in fields)
+    marked = F.lit(target.full_name)
     child = F.struct(
         key_column(target).alias("id"),
-        F.lit(target.full_name).alias("class"),
-        *[c for f, c in zip(fields, _field_columns(fields), strict=True) if f.name != "id"],
+        # further shares of a large child name it, and are marked by having no class
+        (F.when(F.col(FIRST), marked) if several else marked).alias("class"),
+        *[c for f, c in zip(fields, _held_once(fields), strict=True) if f.name != "id"],
     )
     return target, rows.withColumn(CHILD, child)
 
 
-def _join_one(registry, tables, rows, field: Field, hop: Hop, room) -> DataFrame:
+def _join_one(registry, tables, rows, field: Field, hop: Hop, room, earlier: list[Field]) -> DataFrame:
     one = field.component
     target, nested = _nested(registry, tables, one.target, hop, room)
     if target is None:
         stub = F.struct(F.col(one.fk).alias("id"), F.lit(one.target).alias("class"))
         return rows.withColumn(field.name, F.when(F.col(one.fk).isNotNull(), stub))
     nested = nested.select(
-        key_column(target).alias(OWNER), F.col(CHILD).alias(field.name), F.col(PART).alias(WEIGHT)
+        key_column(target).alias(OWNER),
+        F.col(CHILD).alias(field.name),
+        F.col(PART).alias(WEIGHT),
+        F.col(FIRST).alias("__child_first"),
     )
     joined = rows.join(nested, rows[one.fk] == nested[OWNER], "left")
-    part = _combine(F.col(PART), F.coalesce(WEIGHT, F.lit(0)))
-    return joined.withColumn(PART, part).drop(OWNER, WEIGHT)
+    lead = F.coalesce("__child_first", F.lit(True))
+    united = _united(joined, F.coalesce(WEIGHT, F.lit(0)), lead, earlier, [field.name])
+    return united.drop(OWNER, WEIGHT, "__child_first")
 
 
 def _child_rows(registry, tables, hop: Hop, room) -> DataFrame:
@@ -237,7 +291,7 @@ def _child_rows(registry, tables, hop: Hop, room) -> DataFrame:
     return pairs.join(nested, F.col("__target") == F.col("__key")).select(OWNER, CHILD)
 
 
-def _join_many(registry, tables, rows, mapping, fields, pieces, depth) -> DataFrame:
+def _join_many(registry, tables, rows, mapping, fields, pieces, depth, earlier) -> DataFrame:
     """Gather every to-many field with one shuffle on the owner key, then join the owners."""
     schemas = {f.name: df.schema[CHILD].dataType for f, df in pieces}
     children = reduce(
@@ -256,37 +310,68 @@ def _join_many(registry, tables, rows, mapping, fields, pieces, depth) -> DataFr
     sizes = _owner_sizes(registry, tables, mapping, fields, depth)
     large = sizes.where(F.col(WEIGHT) > registry.settings.max_children)
     if large.isEmpty():
-        children = children.withColumn(PART, F.lit(0).cast("long"))
+        children = children.withColumn(PART, F.lit(0).cast("long")).withColumn(COPIES, F.lit(1))
         grouping = [OWNER]
     else:
-        shares = large.select(
-            F.col(OWNER).alias("__large"),
-            F.ceil(F.col(WEIGHT) / registry.settings.max_children).alias("__shares"),
-        )
-        # by content, so that a re-run task sends every child to the same row again
-        spread = F.xxhash64(
-            *[F.to_json(n) if _has_map(kind) else F.col(n) for n, kind in schemas.items()]
-        )
-        children = children.join(shares, F.col(OWNER) == F.col("__large"), "left").withColumn(
-            PART, F.coalesce(F.pmod(spread, F.col("__shares")) + 1, F.lit(0)).cast("long")
-        )
+        children = _dealt(children, large, schemas, registry.settings.max_children)
         grouping = [OWNER, PART]
     gathered = children.groupBy(*grouping).agg(
-        *[_collect(name, kind) for name, kind in schemas.items()],
+        *[_collect(name, kind, PART in grouping) for name, kind in schemas.items()],
         *([] if PART in grouping else [F.lit(0).cast("long").alias(PART)]),
     )
+    if PART in grouping:
+        # the row of a large owner that holds its own fields and no child
+        alone = large.select(
+            OWNER,
+            F.lit(FIRST_PART).cast("long").alias(PART),
+            *[F.array().cast(T.ArrayType(kind)).alias(name) for name, kind in schemas.items()],
+        )
+        gathered = gathered.unionByName(alone)
     gathered = gathered.withColumnRenamed(PART, WEIGHT)
     joined = rows.join(gathered, key_column(mapping) == F.col(OWNER), "left")
-    for name, kind in schemas.items():
-        empty = F.array().cast(T.ArrayType(kind))
-        joined = joined.withColumn(name, F.coalesce(F.col(name), empty))
-    part = _combine(F.col(PART), F.coalesce(WEIGHT, F.lit(0)))
-    return joined.withColumn(PART, part).drop(OWNER, WEIGHT)
+    weight = F.coalesce(WEIGHT, F.lit(0))
+    return _united(joined, weight, is_first(weight), earlier, list(schemas)).drop(OWNER, WEIGHT)
+
+
+def _dealt(children: DataFrame, large: DataFrame, schemas: dict[str, T.DataType], most: int) -> DataFrame:
+    """Children with the share of their owner they belong to, and how many equal ones a row stands for.
+
+    The children of a large owner are counted by content where they lie; a count beyond ``most`` is
+    cut into several, and each piece goes to a share by its content, so that a task run again sends
+    it to the same one.
+    """
+    shares = large.select(
+        F.col(OWNER).alias("__large"), F.ceil(F.col(WEIGHT) / most).cast("long").alias("__shares")
+    )
+    marked = children.join(shares, F.col(OWNER) == F.col("__large"), "left")
+    few = marked.where("__shares is null").select(
+        OWNER, *schemas, F.lit(0).cast("long").alias(PART), F.lit(1).alias(COPIES)
+    )
+    many = marked.where("__shares is not null")
+    spread = F.xxhash64(*[F.to_json(n) if _has_map(kind) else F.col(n) for n, kind in schemas.items()])
+    if any(_has_map(kind) for kind in schemas.values()):  # no equality, so no counting
+        counted = many.withColumn("__n", F.lit(1).cast("long"))
+    else:
+        counted = many.groupBy(OWNER, *schemas, "__shares").agg(F.count(F.lit(1)).alias("__n"))
+    pieces = counted.select(
+        "*", spread.alias("__spread"), F.explode(F.expr(f"sequence(0L, (__n - 1) DIV {most})")).alias("__piece")
+    )
+    dealt = pieces.select(
+        OWNER,
+        *schemas,
+        (F.pmod(F.col("__spread") + F.col("__piece"), F.col("__shares")) + FIRST_PART + 1).alias(PART),
+        F.least(F.lit(most), F.col("__n") - F.col("__piece") * most).cast("int").alias(COPIES),
+    )
+    return few.unionByName(dealt)
 
 
-def _collect(name: str, kind: T.DataType) -> Column:
+def _collect(name: str, kind: T.DataType, copied: bool) -> Column:
     """Children of one owner in a stable order (maps have no order, so those stay as read)."""
-    items = F.collect_list(name)
+    if copied:
+        repeated = F.when(F.col(name).isNotNull(), F.array_repeat(F.col(name), F.col(COPIES)))
+        items = F.flatten(F.collect_list(repeated))
+    else:
+        items = F.collect_list(name)
     return (items if _has_map(kind) else F.sort_array(items)).alias(name)
 
 
@@ -298,12 +383,6 @@ def _has_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
-def _combine(left: Column, right: Column) -> Column:
-    """One label from two: 0 only where both rows are whole."""
-    whole = (left == 0) & (right == 0)
-    return F.when(whole, F.lit(0).cast("long")).otherwise(F.xxhash64(left, right))
-
-
 def _owner_sizes(registry, tables, mapping, fields, depth) -> DataFrame:
     """``(owner, weight)``: how many entities are nested below each owner through its to-many
     fields. Reads key columns only."""

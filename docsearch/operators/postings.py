@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsearch.functions.analyzers import analyzer, exploding
-from docsearch.operators.documents import Tables
+from docsearch.operators.documents import Tables, is_first
 from docsearch.plans.clauses import ALL
 from docsearch.plans.mapping import DocumentMapping, Field, Many, Registry, check_endless, tighter
 
@@ -103,28 +103,45 @@ def terms_of(value: Column, data_type: T.DataType, how: str) -> Column:
     """Array of terms of one field value; the items of an array follow each other."""
     analyse = analyzer(how)
     if isinstance(data_type, T.ArrayType):
+        value = _some(value)  # an item that is null has no terms, and takes none from the others
         if how == "keyword":
             return F.transform(value, lambda item: item.cast("string"))
         return F.flatten(F.transform(value, lambda item: analyse(item.cast("string"))))
     return analyse(value.cast("string"))
 
 
+def _some(items: Column) -> Column:
+    return F.filter(items, lambda item: item.isNotNull())
+
+
 def path_value(source: str, schema: T.StructType, path: str) -> tuple[Column, T.DataType]:
     """The value at a dotted path and its type. Through collections the values of all items are
     taken, as one flat array."""
     value, kind = F.col(source), schema
     for name in path.split("."):
+        if name == "id":
+            value = _whole_items(value, kind)
         if isinstance(kind, T.ArrayType):
             if isinstance(kind.elementType, T.ArrayType):
-                value, kind = F.flatten(value), kind.elementType
+                value, kind = F.flatten(_some(value)), kind.elementType
             value, kind = value.getField(name), T.ArrayType(kind.elementType[name].dataType)
         else:
             value, kind = value.getField(name), kind[name].dataType
     while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-        value, kind = F.flatten(value), kind.elementType
+        value, kind = F.flatten(_some(value)), kind.elementType
     return value, kind
 
 
+def _whole_items(value: Column, kind: T.DataType) -> Column:
+    """Nested entities without the further shares of large ones, which have no class."""
+    item = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if not isinstance(item, T.StructType) or "class" not in item.fieldNames() or item.fieldNames()[0] != "id":
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.filter(value, lambda x: x.getField("class").isNotNull())
+    return F.when(value.getField("class").isNotNull(), value)
+
+
 def tokens(documents: DataFrame, fields: Sequence[SearchField], with_all: bool = False) -> DataFrame:
     """``(index, type, id, part, field, term, pos, weight, len, boost)``: one row per token. For
     callers that keep few tokens and shuffle those alone."""
@@ -340,9 +357,4 @@ def field_sizes(documents: DataFrame, fields: Sequence[SearchField], split: bool
 
 def index_stats(documents: DataFrame) -> DataFrame:
     """``(index, type, num_docs)``."""
-    return (
-        documents.groupBy(*DOC)
-        .agg(F.lit(1).alias("one"))
-        .groupBy("index", "type")
-        .agg(F.count("one").alias("num_docs"))
-    )
+    return documents.where(is_first(F.col("part"))).groupBy("index", "type").agg(F.count("*").alias("num_docs"))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.operators.documents import Tables, as_json, build_documents, id_column
+from docsearch.operators.documents import Tables, as_json, build_documents, id_column, is_first
 from docsearch.functions.converters import date_in
 from docsearch.operators.postings import (
     DATE_KINDS,
@@ -187,7 +187,8 @@ class IndexSpace:
 
     def entity(self, mapping: DocumentMapping) -> DataFrame:
         """The entity's mapped fields plus ``index, type, id``."""
-        return self.typed(mapping).select(*DOC, F.col("source").alias("row"))
+        own = self.typed(mapping).where(is_first(F.col("part")))
+        return own.select(*DOC, F.col("source").alias("row"))
 
     def _table(self, name: str) -> DataFrame:
         table = read_index_table(self.spark, self.path, name)
@@ -201,7 +202,7 @@ class IndexSpace:
         return self._table("docs").select(*ROW, "source")
 
     def keys(self) -> DataFrame:
-        return self._table("docs").select(*DOC).distinct()
+        return self._table("docs").where(is_first(F.col("part"))).select(*DOC)
 
     def count(self) -> DataFrame:
         return self._table("index_stats").agg(F.sum("num_docs").alias("num_docs"))

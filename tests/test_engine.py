@@ -35,6 +35,7 @@ from docsearch.operators.maintain import (
     update_index,
     upsert,
 )
+from docsearch.operators.postings import field_sizes, search_fields
 from docsearch.operators.search import count_hits, entity_search, search
 from docsearch.operators.space import IndexSpace, TableSpace
 from docsearch.sources.shared import fresh_path
@@ -459,3 +460,65 @@ def test_maintenance_of_a_written_index(spark):
     assert found(search(after, "red")) == [] and found(search(after, "green")) == ["2"]
     assert found(search(after, Range("price", 4, 6))) == ["2"] and after.documents().count() == 1
     assert [r.price for r in search(after, "green").sorted_page(PRODUCT, "price").collect()] == [5.0]
+
+
+def split_world(spark, limit):
+    """Talks of which the first has many turns, 30 of them equal, in three levels."""
+    words = ["alpha", "beta", "gamma"]
+    turns = [(c, t, words[(c + t) % 3]) for c in (1, 2, 3) for t in range(40 if c == 1 else 3)]
+    turns += [(1, 100, "delta")] * 30
+    notes = [(t, n, f"note{n % 4} alpha") for t in (0, 1) for n in range(25)]
+    loaded = {
+        "c.Turn": spark.createDataFrame(turns, "conv_id bigint, turn int, text string"),
+        "c.Note": spark.createDataFrame(notes, "turn int, note int, remark string"),
+        "c.Talk": spark.createDataFrame([(c, f"title alpha {c}", 7) for c in (1, 2, 3)], "conv_id bigint, title string, room int"),
+    }
+    registry = Registry(
+        [
+            DocumentMapping("c.Talk", "conv_id", fields={"turns": {"component": Many("c.Turn", "conv_id")}}),
+            DocumentMapping("c.Turn", "turn", root=False, fields={"notes": {"component": Many("c.Note", "turn")}}),
+            DocumentMapping("c.Note", "note", root=False),
+        ],
+        Settings(max_children=limit),
+    )
+    return registry, loaded
+
+
+def test_answers_do_not_depend_on_how_a_large_owner_is_kept(spark):
+    answers = []
+    for limit in (10_000, 5):
+        registry, loaded = split_world(spark, limit)
+        over = TableSpace.over(registry, loaded)
+        documents = build_documents(registry, loaded, "c.Talk")
+        one = []
+        for clause in (
+            Match("alpha", "title"),
+            Match("alpha title"),
+            Match("alpha delta", "turns.text"),
+            Match("note1", "turns.notes.remark"),
+            Phrase("title alpha", "title"),
+            Term("room", 7),
+        ):
+            result = search(over, clause)
+            one.append(sorted(map(tuple, result.hits.collect())))
+        one.append(sorted(map(tuple, search(over, Match("alpha title", "title")).explain().collect())))
+        one.append(sorted(map(tuple, search(over, Match("delta note1")).explain().collect())))
+        fields = search_fields(registry, loaded, "c.Talk")
+        one.append(sorted(map(tuple, field_sizes(documents, fields).collect())))
+        nested = documents.select("id", F.explode("source.turns").alias("t")).select("id", F.explode("t.notes").alias("n"))
+        one.append(sorted(map(str, nested.select("id", "n.id", "n.remark").collect())))
+        turns = documents.select("id", F.explode("source.turns").alias("t")).where("t.class is not null")
+        one.append(sorted(map(str, turns.select("id", "t.id", "t.text").collect())))
+        path = fresh_path(spark, "t")
+        bulk_index(registry, loaded, path, ["c.Talk"], buckets=2)
+        index = IndexSpace.over(spark, path, registry)
+        one.append(sorted(map(tuple, search(index, Match("alpha title")).hits.collect())))
+        one.append([r.id for r in search(index, Match("alpha")).sorted_page("c.Talk", "title").collect()])
+        one.append(index.keys().count())
+        answers.append(one)
+        if limit < 10_000:
+            sizes = documents.select("id", "part", F.size("source.turns").alias("n")).collect()
+            assert max(r.n for r in sizes) <= 4 * limit and len(sizes) > 10
+            assert sum(r.part in (0, 1) for r in sizes) == 3
+    for number, (whole, split) in enumerate(zip(*answers, strict=True)):
+        assert whole == split, number
