@@ -17,14 +17,16 @@ from docsearch.llm.tables import field_of, free_name, written
 
 SEED = 42
 SHINGLE = 3
-#: fingerprints link at this many differing bits or fewer
+#: fingerprints link at this many differing bits or fewer, unless a caller asks for another radius
 RADIUS = 2
+#: beyond it the keys of cells say too little
+MAX_RADIUS = 4
 BITS = 64
 #: the base reference; reference i differs from it in the STEP bits of place i
 BASE = 0x9E3779B97F4A7C15
 STEP = 2
 REFERENCES = [BASE] + [BASE ^ (((1 << STEP) - 1) << at) for at in range(0, BITS, STEP)]
-#: groups of neighbouring coordinates; a linked pair agrees in all groups but RADIUS
+#: groups of neighbouring coordinates; a linked pair agrees in all groups but as many as its bits
 GROUPS = 8
 _REFERENCES = np.array(REFERENCES, dtype=np.uint64)
 
@@ -60,12 +62,12 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     )
 
 
-def _keys():
+def _keys(radius: int):
     """A key for each choice of groups that may agree: the coordinates of those groups.
 
     A coordinate is the distance to a reference less that to the base, one of three values. Two
-    fingerprints within RADIUS bits differ in RADIUS coordinates at most, so they agree in all
-    groups but RADIUS, and meet under the key of those.
+    fingerprints within ``radius`` bits differ in ``radius`` coordinates at most, so they agree in
+    all groups but ``radius``, and meet under the key of those.
     """
     print_ = F.col("fingerprint")
 
@@ -81,7 +83,7 @@ def _keys():
         for reference in REFERENCES[1 + g * places : 1 + (g + 1) * places]:
             code = code * 3 + F.shiftright(distance(reference) - base + STEP, 1)
         groups.append(code.alias(f"g{g}"))
-    return groups, [kept for kept in combinations(range(GROUPS), GROUPS - RADIUS)]
+    return groups, [kept for kept in combinations(range(GROUPS), GROUPS - radius)]
 
 
 def _united(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -95,11 +97,11 @@ def _united(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
             labels = labels[labels]
 
 
-def cell_links(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that link the rows of each run of equal keys as all pairs within RADIUS would.
+def cell_links(keys: np.ndarray, prints: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that link the rows of each run of equal keys as all pairs within ``radius`` would.
 
     Row i meets row i + 1, i + 2, ... of its run. A pair whose coordinates differ by more than
-    RADIUS anywhere is discarded, since distances to one reference differ by no more than the
+    ``radius`` anywhere is discarded, since distances to one reference differ by no more than the
     distance of the two; the survivors' own distance decides. A pair that earlier links have
     already brought together is not returned: at most one link a row and step is new.
     """
@@ -113,8 +115,8 @@ def cell_links(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.nda
         near = alive
         for at in range(0, table.shape[1], 8):
             apart = np.abs(table[near, at : at + 8] - table[near + step, at : at + 8])
-            near = near[apart.max(axis=1, initial=0) <= RADIUS]
-        near = near[np.bitwise_count(prints[near] ^ prints[near + step]) <= RADIUS]
+            near = near[apart.max(axis=1, initial=0) <= radius]
+        near = near[np.bitwise_count(prints[near] ^ prints[near + step]) <= radius]
         near = near[labels[near] != labels[near + step]]
         if len(near):
             lefts.append(near)
@@ -126,13 +128,13 @@ def cell_links(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Links of the runs of equal keys in sorted rows; the last run waits for the next batch."""
     held = None
 
     def links(table: pa.Table) -> pa.RecordBatch:
         keys, prints = table.column("key").to_numpy(), table.column("fingerprint").to_numpy()
-        left, right = cell_links(keys, prints.view(np.uint64))
+        left, right = cell_links(keys, prints.view(np.uint64), radius)
         return pa.RecordBatch.from_arrays([pa.array(prints[left]), pa.array(prints[right])], ["a", "b"])
 
     for batch in batches:
@@ -150,9 +152,11 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(held)
 
 
-def near_links(prints: DataFrame) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``a, b``: links between distinct fingerprints whose components are those of all links."""
-    groups, choices = _keys()
+    if not 0 <= radius <= MAX_RADIUS:
+        raise ValueError(f"the radius must lie between 0 and {MAX_RADIUS}")
+    groups, choices = _keys(radius)
     coded = prints.select("fingerprint", *groups)
     width = 3 ** ((len(REFERENCES) - 1) // GROUPS)
     keys = []
@@ -163,29 +167,36 @@ def near_links(prints: DataFrame) -> DataFrame:
         keys.append(key)
     cells = coded.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
     return (
-        cells.repartition("key").sortWithinPartitions("key").mapInArrow(_linked, "a long, b long").distinct()
+        cells.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(lambda batches: _linked(batches, radius), "a long, b long")
+        .distinct()
     )
 
 
 def simhash_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
 ) -> DataFrame:
     """``id_col, fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``.
 
     Words are runs of bytes that are no ASCII white space, with A-Z lower-cased; fingerprints at
-    RADIUS bits or fewer link; ``component_id`` is the smallest id reachable, the own included.
+    ``radius`` bits or fewer link; ``component_id`` is the smallest id reachable, the own included.
     A null or empty text has fingerprint zero and links like any other. Repeated rows each return
     a row; a null id keeps its row and never becomes a component's id, unless all ids of the
     component are null. An empty table gives an empty result.
 
     Only distinct fingerprints meet, so exact copies cost one row. Their keys spread them over
-    cells; a cell holds fingerprints that agree in three quarters of all coordinates.
+    cells; a cell holds fingerprints that agree in all groups of coordinates but ``radius``.
     """
     found = written(fingerprints(docs, id_col, text_col, shingle), "prints")
     distinct = written(
         found.groupBy("fingerprint").agg(F.min("id").alias("first")), "distinct-prints"
     )
-    linked = components(near_links(distinct), "a", "b")
+    linked = components(near_links(distinct, radius), "a", "b")
     grouped = distinct.join(linked, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first", F.coalesce("component", "fingerprint").alias("root")
     )
@@ -200,12 +211,14 @@ def simhash_components(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
+) -> DataFrame:
     """``docs`` without the near-duplicates of a row with a smaller id.
 
     Of repeated rows with the id that stays, all stay; rows without an id are left as they are.
     """
-    groups = simhash_components(docs, id_col, text_col)
+    groups = simhash_components(docs, id_col, text_col, radius=radius)
     drop = free_name(docs, "dropped")
     dropped = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias(drop))
     return docs.join(dropped.distinct(), F.col(id_col) == F.col(drop), "left_anti")

@@ -44,9 +44,9 @@ def _print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def _simhash_wanted(docs):
+def _simhash_wanted(docs, radius=2):
     prints = {i: _print(t) for i, t in docs}
-    top = smallest(prints, lambda x, y: (prints[x] ^ prints[y]).bit_count() <= 2)
+    top = smallest(prints, lambda x, y: (prints[x] ^ prints[y]).bit_count() <= radius)
     return sorted((i, f"{prints[i]:016x}", top[i]) for i, _ in docs)
 
 
@@ -56,6 +56,11 @@ def test_simhash_equals_brute_force(spark):
     want = _simhash_wanted(docs)
     assert len({w[2] for w in want}) < 290
     assert rows(pivot_simhash.simhash_components(table), "*") == sorted(want, key=repr)
+    wider = _simhash_wanted(docs, 4)
+    assert wider != want
+    assert rows(pivot_simhash.simhash_components(table, radius=4), "*") == sorted(wider, key=repr)
+    with pytest.raises(ValueError):
+        pivot_simhash.simhash_components(table, radius=5)
 
 
 def test_simhash_cells_of_close_fingerprints():
