@@ -189,7 +189,9 @@ def page_verdicts(
     narrow = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html")
     ).select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    ruled = _ruled(narrow.drop("html"), rules)
+    # written, so that neither join of pages with hosts is tied to the count by host: Spark can then
+    # split the pages of one busy host
+    ruled = written(_ruled(narrow.drop("html"), rules), "ruled-pages")
     links = written(host_links(narrow), "links-of-hosts")
     seeds = ruled.where("host <> ''").groupBy("host").agg(
         F.count(F.when(F.col("ruled") == "allow", 1)).alias("trusted"),
