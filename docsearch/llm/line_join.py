@@ -12,11 +12,11 @@ from docsearch.llm.tables import free_name, written
 DISTANCE = 2
 #: shorter lines are no passages; they never link and always stay
 MIN_CHARS = 32
-#: candidate lines whose texts are sought by a broadcast of their hashes; beyond it both sides are shuffled
+#: so many hashes of candidate lines, or of keys they share, are broadcast; beyond it both sides are shuffled
 BROADCAST_LINES = 1_000_000
 
-# Letters whose counts tell unlike lines apart; any letters give the same result.
-LETTERS = "eationsr"
+# ASCII letters whose counts tell unlike lines apart; any of them give the same result.
+LETTERS = "etaonishrldugfwb"
 NIBBLE = 4
 
 
@@ -59,7 +59,7 @@ def within(left: str, right: str, distance: int) -> Column:
 def _letter_counts(line: str) -> str:
     """How often each of LETTERS occurs, modulo 16, in one number."""
     return " | ".join(
-        f"shiftleft(({line}_chars - char_length(replace({line}, '{c}', ''))) & 15, {NIBBLE * i})"
+        f"shiftleft(CAST(octet_length({line}) - octet_length(replace({line}, '{c}', '')) AS BIGINT) & 15, {NIBBLE * i})"
         for i, c in enumerate(LETTERS)
     )
 
@@ -129,52 +129,61 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _candidates(lines: DataFrame, distance: int) -> DataFrame:
-    """``a, b``: hashes of distinct lines that share a segment where near copies must."""
+def _keyed(lines: DataFrame, distance: int) -> DataFrame:
+    """``h, keys``: distinct lines with their own keys first and then the others."""
     own = _own_keys("line", "line_chars", distance)
     other = _other_keys("line", "line_chars", distance)
-    keyed = (
-        lines.select(
-            "h",
-            F.expr(_letter_counts("line")).alias("letters"),
-            F.expr(f"array({', '.join(own + other)})").alias("keys"),
-        )
-        .groupBy("h")
-        .agg(F.first("letters").alias("letters"), F.first("keys").alias("keys"))
-    )
-    keyed = written(keyed, "line-keys")
-    indexed = keyed.select(
-        F.col("h").alias("a"),
-        F.col("letters").alias("a_letters"),
-        F.explode(F.slice("keys", 1, len(own))).alias("a_key"),
-    )
-    probes = keyed.select(
-        F.col("h").alias("b"), F.col("letters").alias("b_letters"), F.explode("keys").alias("b_key")
-    ).where("b_key is not null")
-    met = indexed.join(
-        probes, F.expr(f"a_key = b_key AND a <> b AND {_alike('a_letters', 'b_letters', distance)}")
-    )
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    keys = F.expr(f"array({', '.join(own + other)})").alias("keys")
+    return lines.select("h", keys).groupBy("h").agg(F.first("keys").alias("keys"))
+
+
+def _meetings(keyed: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``a, a_key`` and ``b, place, b_key``: lines under those keys alone that bring two lines together.
+
+    Nearly all keys belong to one line. A semi-join finds the others without making a pair.
+    """
+    own = F.slice("keys", 1, distance + 1)
+    indexed = keyed.select(F.col("h").alias("a"), F.explode(own).alias("a_key"))
+    probes = keyed.select(F.col("h").alias("b"), F.posexplode("keys").alias("place", "b_key"))
+    probes = probes.where("b_key is not null")
+    met = written(probes.join(indexed, F.expr("a_key = b_key AND a <> b"), "left_semi"), "line-probes")
+    shared = written(met.select(F.col("b_key").alias("key")).distinct(), "line-shared")
+    if shared.count() <= BROADCAST_LINES:
+        shared = F.broadcast(shared)
+    return written(indexed.join(shared, F.col("a_key") == F.col("key"), "left_semi"), "line-indexed"), met
 
 
 def line_links(docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE) -> DataFrame:
     """``a, b``: the two-hash names of distinct lines within ``distance`` edits."""
     lines = _lines(docs, id_col, text_col)
-    pairs = written(_candidates(lines, distance), "line-pairs")
-    wanted = pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct()
-    wanted = written(wanted, "line-wanted")
+    indexed, probes = _meetings(written(_keyed(lines, distance), "line-keys"), distance)
+    wanted = written(
+        indexed.select(F.col("a").alias("want")).union(probes.select("b")).distinct(), "line-wanted"
+    )
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
+    name = F.concat(F.hex("h"), F.lit(":"), F.hex("h2"))
     texts = written(
         lines.join(wanted, F.col("h") == F.col("want"))
         .groupBy("h", "h2")
-        .agg(F.first("line").alias("line")),
+        .agg(F.first("line").alias("line"))
+        .select("h", name.alias("name"), "line", F.expr(_letter_counts("line")).alias("letters")),
         "line-texts",
     )
-    name = F.concat(F.hex("h"), F.lit(":"), F.hex("h2"))
-    left = texts.select(F.col("h").alias("left_h"), name.alias("left_name"), F.col("line").alias("left_line"))
-    right = texts.select(F.col("h").alias("right_h"), name.alias("right_name"), F.col("line").alias("right_line"))
-    both = pairs.join(left, F.col("a") == F.col("left_h")).join(right, F.col("b") == F.col("right_h"))
+    letters = texts.select(F.col("h").alias("of"), "letters").distinct()
+    left = indexed.join(letters, F.col("a") == F.col("of")).select("a", "a_key", F.col("letters").alias("a_letters"))
+    right = probes.join(letters, F.col("b") == F.col("of")).select("b", "place", "b_key", F.col("letters").alias("b_letters"))
+    # under keys that both are indexed by, a pair would meet both ways
+    once = f"(a < b OR place > {distance})"
+    met = left.join(
+        right, F.expr(f"a_key = b_key AND a <> b AND {once} AND {_alike('a_letters', 'b_letters', distance)}")
+    )
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def side(which: str) -> DataFrame:
+        return texts.select(*(F.col(c).alias(f"{which}_{c}") for c in ("h", "name", "line")))
+
+    both = pairs.join(side("left"), F.col("a") == F.col("left_h")).join(side("right"), F.col("b") == F.col("right_h"))
     return both.where(within("left_line", "right_line", distance)).select(
         F.col("left_name").alias("a"), F.col("right_name").alias("b")
     )
@@ -192,7 +201,7 @@ def line_classes(
     Repeated rows are one document. An empty table gives an empty result.
 
     Only distinct lines meet, and only hashes are shuffled: a text is read again for those lines
-    that share a segment with another and have about the same letters.
+    that share a segment with another, and compared if it has about the same letters.
     """
     links = components(line_links(docs, id_col, text_col, distance), "a", "b")
     lines = written(_lines(docs, id_col, text_col).select("id", "line_no", "h", "h2"), "lines")
