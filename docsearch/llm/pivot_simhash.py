@@ -31,17 +31,24 @@ GROUPS = 8
 _REFERENCES = np.array(REFERENCES, dtype=np.uint64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a text's word shingles; 0 for a text without words or null."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash for every run of ``shingle`` words, or for all words if there are fewer; empty without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype="<u8")
     if len(words) < shingle:
         runs = [b" ".join(words)]
     else:
         runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(run, SEED) for run in runs], dtype="<u8")
+    return np.array([digest(run, SEED) for run in runs], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a text's word shingles; 0 for a text without words or null."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
