@@ -1,4 +1,4 @@
-"""Near-duplicate lines within an edit distance, by DataFrame and SQL functions only."""
+"""Near-duplicate lines within an edit distance or alike in their words, by DataFrame and SQL functions only."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsearch.llm.components import components
+from docsearch.llm.near_copies import ALIKE, SHINGLE, alike_pairs, cell_links, small
 from docsearch.llm.tables import free_name, written
 
 #: lines at this edit distance or less are near copies
@@ -15,6 +16,11 @@ MIN_CHARS = 32
 #: so many hashes of candidate lines, or of keys they share, are broadcast; beyond it both sides are shuffled
 BROADCAST_LINES = 1_000_000
 
+#: longs of the bits that tell unlike sets of word runs apart
+SKETCH_LONGS = 4
+#: characters of scripts written without spaces; each is a word
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
 # ASCII letters whose counts tell unlike lines apart; any of them give the same result.
 LETTERS = "etaonishrldugfwb"
 NIBBLE = 4
@@ -153,21 +159,93 @@ def _meetings(keyed: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     return written(indexed.join(shared, F.col("a_key") == F.col("key"), "left_semi"), "line-indexed"), met
 
 
-def line_links(docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE) -> DataFrame:
+def _two_hash_name() -> Column:
+    return F.concat(F.hex("h"), F.lit(":"), F.hex("h2"))
+
+
+def _word_runs(line: str) -> str:
+    """The distinct hashes of a line's runs of SHINGLE words, sorted; empty for fewer words."""
+    spaced = (
+        f"IF(octet_length({line}) > char_length({line}) AND {line} RLIKE r'{UNSPACED}',"
+        f" regexp_replace({line}, r'({UNSPACED})', ' $1 '), {line})"
+    )
+    words = rf"transform(filter(split(lower({spaced}), r'\s+'), w -> w <> ''), w -> xxhash64(w))"
+    run = ", ".join(f"w[i + {k}]" for k in range(SHINGLE))
+    # the words are made once, inside an array of one element
+    runs = f"IF(size(w) < {SHINGLE}, array(), transform(sequence(0, size(w) - {SHINGLE}), i -> xxhash64({run})))"
+    return f"transform(array({words}), w -> sort_array(array_distinct({runs})))[0]"
+
+
+def _parities(runs: str) -> str:
+    """For each of SKETCH_LONGS * 64 classes of hashes, whether a set holds an odd number of them.
+
+    Two sets' parities differ in no more bits than there are hashes in one of the sets alone.
+    """
+    start = ", ".join(f"'s{k}', 0L" for k in range(SKETCH_LONGS))
+    step = ", ".join(
+        f"'s{k}', IF(shiftright(x, 6) & {SKETCH_LONGS - 1} = {k}, s.s{k} ^ shiftleft(1L, CAST(x & 63 AS INT)), s.s{k})"
+        for k in range(SKETCH_LONGS)
+    )
+    return f"aggregate({runs}, named_struct({start}), (s, x) -> named_struct({step}))"
+
+
+def _runs_alike(a: str, b: str) -> str:
+    """What sets as alike as ALIKE fulfil: sizes are near, and few hashes are in one of them alone."""
+    apart = " + ".join(f"bit_count({a}_sketch.s{k} ^ {b}_sketch.s{k})" for k in range(SKETCH_LONGS))
+    return (
+        f"least({a}_n, {b}_n) >= {ALIKE} * greatest({a}_n, {b}_n) - 1e-6"
+        f" AND {apart} <= ({a}_n + {b}_n) * {(1 - ALIKE) / (1 + ALIKE)} + 1e-6"
+    )
+
+
+def word_links(lines: DataFrame) -> DataFrame:
+    """``a, b``: links between two-hash names of distinct lines alike in ALIKE of their word runs.
+
+    Of ``n`` hashes in order, all but ALIKE * n and one more are a line's keys: lines so alike share
+    one of them at least, so none is missed. Components are those of all links.
+    """
+    runs = lines.select("h", F.expr(_word_runs("line")).alias("runs")).where("size(runs) > 0")
+    kept = f"CAST(size(runs) - ceil({ALIKE} * size(runs) - 1e-6) + 1 AS INT)"
+    distinct = runs.select(
+        F.col("h").alias("name"),
+        F.expr("CAST(size(runs) AS LONG)").alias("n"),
+        F.expr(_parities("runs")).alias("sketch"),
+        F.expr(f"slice(runs, 1, {kept})").alias("bands"),
+    )
+    distinct = distinct.groupBy("name").agg(*(F.first(c).alias(c) for c in ("n", "sketch", "bands")))
+
+    def texts(pairs: DataFrame) -> DataFrame:
+        wanted = written(pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct(), "line-wanted")
+        held = lines.join(small(wanted), F.col("h") == F.col("want"))
+        return held.groupBy("h", "h2").agg(F.first("line").alias("line"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sets = texts(pairs).select(F.col("h").alias("name"), F.expr(_word_runs("line")).alias("shingles"))
+        return alike_pairs(pairs, written(sets, "line-sets")).distinct()
+
+    found = written(cell_links(written(distinct, "line-runs"), _runs_alike, verified), "line-links")
+    names = written(texts(found).select("h", _two_hash_name().alias("name")), "line-names")
+
+    def side(which: str) -> DataFrame:
+        return names.select(*(F.col(c).alias(f"{which}_{c}") for c in ("h", "name")))
+
+    both = found.join(side("left"), F.col("a") == F.col("left_h")).join(side("right"), F.col("b") == F.col("right_h"))
+    return both.select(F.col("left_name").alias("a"), F.col("right_name").alias("b"))
+
+
+def edit_links(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``a, b``: the two-hash names of distinct lines within ``distance`` edits."""
-    lines = _lines(docs, id_col, text_col)
     indexed, probes = _meetings(written(_keyed(lines, distance), "line-keys"), distance)
     wanted = written(
         indexed.select(F.col("a").alias("want")).union(probes.select("b")).distinct(), "line-wanted"
     )
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    name = F.concat(F.hex("h"), F.lit(":"), F.hex("h2"))
     texts = written(
         lines.join(wanted, F.col("h") == F.col("want"))
         .groupBy("h", "h2")
         .agg(F.first("line").alias("line"))
-        .select("h", name.alias("name"), "line", F.expr(_letter_counts("line")).alias("letters")),
+        .select("h", _two_hash_name().alias("name"), "line", F.expr(_letter_counts("line")).alias("letters")),
         "line-texts",
     )
     letters = texts.select(F.col("h").alias("of"), "letters").distinct()
@@ -189,13 +267,20 @@ def line_links(docs: DataFrame, id_col: str, text_col: str, distance: int = DIST
     )
 
 
+def line_links(docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: the two-hash names of distinct lines that are near copies by edits or by words."""
+    lines = _lines(docs, id_col, text_col)
+    return edit_links(lines, distance).union(word_links(lines))
+
+
 def line_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE
 ) -> DataFrame:
     """``id_col, line_no, class_id, class_line_no, kept`` of every line that can link.
 
-    Lines end at a line feed. Equal lines, and lines within ``distance`` edits (insert, delete or
-    replace a character), are in a class, and so is what can be reached over such links; a class
+    Lines end at a line feed. Equal lines, lines within ``distance`` edits (insert, delete or replace
+    a character), and lines whose runs of SHINGLE words have a Jaccard similarity of ALIKE or more,
+    are in a class, and so is what can be reached over such links; a class
     is named by its first line, the smallest id and then line number, which alone is ``kept``.
     Lines under MIN_CHARS characters and lines of documents without an id or text are left out.
     Repeated rows are one document. An empty table gives an empty result.
@@ -206,7 +291,7 @@ def line_classes(
     links = components(line_links(docs, id_col, text_col, distance), "a", "b")
     lines = written(_lines(docs, id_col, text_col).select("id", "line_no", "h", "h2"), "lines")
     first = lines.groupBy("h", "h2").agg(F.min(F.struct("id", "line_no")).alias("first"))
-    named = first.withColumn("name", F.concat(F.hex("h"), F.lit(":"), F.hex("h2")))
+    named = first.withColumn("name", _two_hash_name())
     linked = named.join(links, F.col("name") == F.col("node"))
     roots = linked.groupBy(F.col("component").alias("root")).agg(F.min("first").alias("least"))
     moved = linked.join(roots, F.col("component") == F.col("root")).select(

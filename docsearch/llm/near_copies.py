@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,7 +113,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(each, "name binary, shingles array<long>")
 
 
-def _small(frame: DataFrame) -> DataFrame:
+def small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_NAMES else frame
 
 
@@ -124,7 +124,7 @@ def _members(distinct: DataFrame) -> DataFrame:
     counts = written(
         counts.select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "near-cells"
     )
-    found = cells.join(_small(counts), F.col("key") == F.col("cell")).drop("cell")
+    found = cells.join(small(counts), F.col("key") == F.col("cell")).drop("cell")
     return written(found.withColumn("block", F.expr("pmod(xxhash64(name, key), blocks)")), "near-members")
 
 
@@ -141,13 +141,13 @@ def _verified(
     wanted = written(
         pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct(), "near-wanted"
     )
-    few = _small(wanted)
+    few = small(wanted)
     holders = written(
         distinct.join(few, F.col("name") == F.col("want")).select(F.col("first").alias("holder")).distinct(),
         "near-holders",
     )
     texts = _named(docs, id_col, text_col).join(
-        _small(holders), F.col("id").eqNullSafe(F.col("holder")), "left_semi"
+        small(holders), F.col("id").eqNullSafe(F.col("holder")), "left_semi"
     )
     sets = (
         _sets(texts, shingle)
@@ -155,30 +155,19 @@ def _verified(
         .groupBy("name")
         .agg(F.first("shingles").alias("shingles"))
     )
-    sets = written(sets, "near-sets")
-
-    def side(which: str) -> DataFrame:
-        return sets.select(F.col("name").alias(f"{which}_name"), F.col("shingles").alias(f"{which}_set"))
-
-    both = pairs.join(side("a"), F.col("a") == F.col("a_name")).join(side("b"), F.col("b") == F.col("b_name"))
-    shared = "size(array_intersect(a_set, b_set))"
-    return both.where(f"{shared} >= {ALIKE} * (size(a_set) + size(b_set) - {shared}) - 1e-6").select("a", "b")
+    return alike_pairs(pairs, written(sets, "near-sets"))
 
 
-def near_copy_links(
-    distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
-) -> DataFrame:
-    """``a, b``: links between the names of sets whose components are those of all links.
+def cell_links(distinct: DataFrame, like: Callable[[str, str], str], verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``a, b``: verified links between the names of ``distinct`` whose components are those of all links.
 
-    Neighbours in a block of a cell are tried first. Of the other pairs of a cell only those remain
-    that their links have not brought together, so a large group of near copies costs a chain of
-    links in each of its cells and not the square of its size.
+    ``distinct`` has ``name, n, sketch`` and ``bands``, the keys of the cells where a name is; ``like``
+    says in SQL whether two may link, ``verified`` which pairs do. Neighbours in a block of a cell are
+    tried first. Of the other pairs of a cell only those remain that their links have not brought
+    together, so a large group of near copies costs a chain of links in each of its cells and not the
+    square of its size.
     """
     members = _members(distinct)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return written(_verified(pairs, distinct, docs, id_col, text_col, shingle), "near-links")
-
     row = Window.partitionBy("key", "block").orderBy("n", "name")
     chained = members.select(
         F.col("name").alias("x"),
@@ -186,35 +175,44 @@ def near_copy_links(
         F.col("sketch").alias("x_sketch"),
         *(F.lag(c).over(row).alias(f"y_{c}") for c in ("name", "n", "sketch")),
     )
-    tried = chained.where(f"y_name is not null AND {_like('x', 'y')}").select(
+    tried = chained.where(f"y_name is not null AND {like('x', 'y')}").select(
         F.least("x", "y_name").alias("a"), F.greatest("x", "y_name").alias("b")
     )
     tried = written(tried.distinct(), "near-pairs")
-    links = verified(tried)
+    links = written(verified(tried), "near-links")
 
     joined = components(links, "a", "b")
-    placed = members.join(_small(joined), F.col("name") == F.col("node"), "left").withColumn(
+    placed = members.join(small(joined), F.col("name") == F.col("node"), "left").withColumn(
         "group", F.coalesce("component", "name")
     )
     placed = written(placed.drop("node", "component"), "near-placed")
     open_ = placed.groupBy(F.col("key").alias("cell")).agg(F.min("group").alias("low"), F.max("group").alias("high"))
     open_ = written(open_.where("low <> high").select("cell"), "near-open")
-    left_over = placed.join(_small(open_), F.col("key") == F.col("cell"), "left_semi")
+    left_over = placed.join(small(open_), F.col("key") == F.col("cell"), "left_semi")
 
-    def side(which: str, salt) -> DataFrame:
+    def side(which: str, salt: Column) -> DataFrame:
         columns = (F.col(c).alias(f"{which}_{c}") for c in ("key", "name", "n", "sketch", "group"))
         return left_over.select(*columns, salt.alias(f"{which}_salt"))
 
     # a row meets the rows of each block of its cell in another task
     pairs = side("a", F.explode(F.expr("sequence(0L, blocks - 1L)"))).join(
         side("b", F.col("block")),
-        F.expr(
-            "a_key = b_key AND a_salt = b_salt AND a_name < b_name AND a_group <> b_group AND " + _like("a", "b")
-        ),
+        F.expr("a_key = b_key AND a_salt = b_salt AND a_name < b_name AND a_group <> b_group AND " + like("a", "b")),
     )
     pairs = pairs.select(F.col("a_name").alias("a"), F.col("b_name").alias("b")).distinct()
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    return links.union(verified(pairs))
+    return links.union(written(verified(pairs), "near-links"))
+
+
+def alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` of names whose ``shingles`` in ``sets`` are as alike as ALIKE."""
+
+    def side(which: str) -> DataFrame:
+        return sets.select(F.col("name").alias(f"{which}_name"), F.col("shingles").alias(f"{which}_set"))
+
+    both = pairs.join(side("a"), F.col("a") == F.col("a_name")).join(side("b"), F.col("b") == F.col("b_name"))
+    shared = "size(array_intersect(a_set, b_set))"
+    return both.where(f"{shared} >= {ALIKE} * (size(a_set) + size(b_set) - {shared}) - 1e-6").select("a", "b")
 
 
 def near_copies(
@@ -238,7 +236,8 @@ def near_copies(
         ),
         "distinct-sketches",
     )
-    linked = components(near_copy_links(distinct, docs, id_col, text_col, shingle), "a", "b")
+    links = cell_links(distinct, _like, lambda pairs: _verified(pairs, distinct, docs, id_col, text_col, shingle))
+    linked = components(links, "a", "b")
     grouped = distinct.join(linked, F.col("name") == F.col("node"), "left").select(
         "name", "first", F.coalesce("component", "name").alias("root")
     )
