@@ -122,6 +122,12 @@ def _other_keys(line: str, chars: str, distance: int) -> list[str]:
     return found
 
 
+def _long_enough(line: Column, least: int) -> Column:
+    """Whether a line has ``least`` characters and is not blank, or has MIN_CHARS of any kind."""
+    size = F.char_length(line)
+    return (size >= max(least, MIN_CHARS)) | ((size >= least) & line.rlike(r"\S"))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, line_no, line`` of the lines that can link, and two hashes that name the line."""
     text = F.split(F.col(text_col).cast("string"), "\n", -1)
@@ -311,12 +317,16 @@ def line_classes(
 
 
 def without_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    distance: int = DISTANCE,
+    least: int = MIN_CHARS,
 ) -> DataFrame:
     """``docs`` whose texts hold each class of near-duplicate lines once, at its first place.
 
-    A document that loses lines and has none of MIN_CHARS characters left goes, since what remains is
-    no passage; one that loses none, or has no id or text, stays as it is.
+    A document that loses lines and has none of ``least`` characters left, or only blank ones under
+    MIN_CHARS, goes; one that loses none, or has no id or text, stays as it is.
     """
     owner, gone = free_name(docs, "owner"), free_name(docs, "gone")
     repeated = (
@@ -329,7 +339,7 @@ def without_repeated_lines(
     rest = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
     joined = docs.join(repeated, F.col(id_col) == F.col(owner), "left")
     text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
-    passage = F.exists(rest, lambda line: F.char_length(line) >= MIN_CHARS)
+    passage = F.exists(rest, lambda line: _long_enough(line, least))
     return joined.where(F.col(gone).isNull() | passage).select(
         *(text.alias(c) if c == text_col else F.col(c) for c in docs.columns)
     )

@@ -34,3 +34,11 @@ def test_words_of_scripts_without_spaces_are_characters(spark):
     other = line[:40] + "一丁七" + line[43:]
     table = spark.createDataFrame([(1, line), (2, other), (3, line[::-1])], "doc_id long, text string")
     assert {r["doc_id"]: r["class_id"] for r in line_join.line_classes(table).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_short_lines_of_its_own_keep_a_document(spark):
+    line = "this header stands at the top of more than one document"
+    docs = [(0, line), (1, f"{line}\nmilk\neggs\nflour"), (2, f"{line}\n\n  \t")]
+    table = spark.createDataFrame([(*d, len(d[1])) for d in docs], "doc_id long, text string, n_chars long")
+    rest = corpus_pipeline.line_dedup(spark, table, "")
+    assert rows(rest, "doc_id", "text") == [(0, line), (1, "milk\neggs\nflour")]
