@@ -11,8 +11,10 @@ from docsearch.llm.tables import free_name, written
 
 #: lines at this edit distance or less are near copies
 DISTANCE = 2
-#: shorter lines are no passages; they never link and always stay
+#: shorter lines take part only where a caller asks for them
 MIN_CHARS = 32
+#: lines of so many characters up to MIN_CHARS are near copies at this distance, about as strict as DISTANCE in MIN_CHARS
+SHORT_CHARS, SHORT_DISTANCE = 16, 1
 #: so many hashes of candidate lines, or of keys they share, are broadcast; beyond it both sides are shuffled
 BROADCAST_LINES = 1_000_000
 
@@ -128,14 +130,14 @@ def _long_enough(line: Column, least: int) -> Column:
     return (size >= max(least, MIN_CHARS)) | ((size >= least) & line.rlike(r"\S"))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, line_no, line`` of the lines that can link, and two hashes that name the line."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, least: int = MIN_CHARS) -> DataFrame:
+    """``id, line_no, line`` of the lines that take part, and two hashes that name the line."""
     text = F.split(F.col(text_col).cast("string"), "\n", -1)
     return (
         docs.where(F.col(id_col).isNotNull())
         .select(F.col(id_col).alias("id"), F.posexplode(text).alias("line_no", "line"))
         .withColumn("line_chars", F.char_length("line"))
-        .where(F.col("line_chars") >= MIN_CHARS)
+        .where(_long_enough(F.col("line"), least))
         .withColumn("h", F.xxhash64("line"))
         .withColumn("h2", F.xxhash64(F.lit(1), "line"))
     )
@@ -273,29 +275,42 @@ def edit_links(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
-def line_links(docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE) -> DataFrame:
+def line_links(
+    docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE, least: int = MIN_CHARS
+) -> DataFrame:
     """``a, b``: the two-hash names of distinct lines that are near copies by edits or by words."""
-    lines = _lines(docs, id_col, text_col)
-    return edit_links(lines, distance).union(word_links(lines))
+    lines = _lines(docs, id_col, text_col, max(least, MIN_CHARS))
+    links = edit_links(lines, distance).union(word_links(lines))
+    if least >= MIN_CHARS:
+        return links
+    # a short line and one of MIN_CHARS characters may be one edit apart
+    short = _lines(docs, id_col, text_col, max(least, SHORT_CHARS)).where(F.col("line_chars") <= MIN_CHARS)
+    return links.union(edit_links(short, min(distance, SHORT_DISTANCE)))
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    distance: int = DISTANCE,
+    least: int = MIN_CHARS,
 ) -> DataFrame:
-    """``id_col, line_no, class_id, class_line_no, kept`` of every line that can link.
+    """``id_col, line_no, class_id, class_line_no, kept`` of every line that takes part.
 
     Lines end at a line feed. Equal lines, lines within ``distance`` edits (insert, delete or replace
     a character), and lines whose runs of SHINGLE words have a Jaccard similarity of ALIKE or more,
     are in a class, and so is what can be reached over such links; a class
     is named by its first line, the smallest id and then line number, which alone is ``kept``.
-    Lines under MIN_CHARS characters and lines of documents without an id or text are left out.
+    Lines under ``least`` characters, blank ones under MIN_CHARS and lines of documents without an id or
+    text are left out. Lines of SHORT_CHARS to MIN_CHARS characters link at SHORT_DISTANCE edits, shorter
+    ones if they are equal.
     Repeated rows are one document. An empty table gives an empty result.
 
     Only distinct lines meet, and only hashes are shuffled: a text is read again for those lines
     that share a segment with another, and compared if it has about the same letters.
     """
-    links = components(line_links(docs, id_col, text_col, distance), "a", "b")
-    lines = written(_lines(docs, id_col, text_col).select("id", "line_no", "h", "h2"), "lines")
+    links = components(line_links(docs, id_col, text_col, distance, least), "a", "b")
+    lines = written(_lines(docs, id_col, text_col, least).select("id", "line_no", "h", "h2"), "lines")
     first = lines.groupBy("h", "h2").agg(F.min(F.struct("id", "line_no")).alias("first"))
     named = first.withColumn("name", _two_hash_name())
     linked = named.join(links, F.col("name") == F.col("node"))
@@ -330,7 +345,7 @@ def without_repeated_lines(
     """
     owner, gone = free_name(docs, "owner"), free_name(docs, "gone")
     repeated = (
-        line_classes(docs, id_col, text_col, distance)
+        line_classes(docs, id_col, text_col, distance, least)
         .where("not kept")
         .groupBy(F.col(id_col).alias(owner))
         .agg(F.collect_set("line_no").alias(gone))

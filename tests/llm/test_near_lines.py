@@ -6,6 +6,7 @@ import corpus_pipeline
 from odd import no_docs, rows, smallest
 
 from docsearch.llm import line_join
+from docsearch.llm.registry import QUERIES
 
 
 def _runs(line):
@@ -42,3 +43,13 @@ def test_short_lines_of_its_own_keep_a_document(spark):
     table = spark.createDataFrame([(*d, len(d[1])) for d in docs], "doc_id long, text string, n_chars long")
     rest = corpus_pipeline.line_dedup(spark, table, "")
     assert rows(rest, "doc_id", "text") == [(0, line), (1, "milk\neggs\nflour")]
+
+
+def test_short_lines_are_classed(spark, tmp_path):
+    texts = ["Les.\nReleased under the MIT License.\n\nA", "Les.\nReleased under the MIT License\nB", "Les\n \nA"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op4_line_join"](spark, str(tmp_path))
+    want = [(0, 0, 0, 0), (0, 1, 0, 1), (0, 3, 0, 3), (1, 0, 0, 0), (1, 1, 0, 1), (1, 2, 1, 2), (2, 0, 2, 0), (2, 2, 0, 3)]
+    assert rows(found, "doc_id", "line_no", "class_id", "class_line_no") == want
+    assert line_join.line_classes(no_docs(spark), least=1).count() == 0
