@@ -6,9 +6,10 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
+from oracle import FOLDER  # noqa: E402
+
 from docsearch.session import local_session  # noqa: E402
 
-FOLDER = "/root/testdata/sf0.001"
 SESSION = local_session("tests", memory="4g")
 
 

@@ -1,8 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import FOLDER
-from oracle import compare, connect
+from oracle import FOLDER, compare, connect
 
 import __spark_entry__ as registered
 
