@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from docsearch.llm.line_join import line_classes
 from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
 from docsearch.llm.metric_join import near_vectors
 from docsearch.llm.pair_bpe import bpe_round_trip
+from docsearch.llm.periodic_runs import periodic_runs
 from docsearch.llm.pivot_simhash import simhash_components
 from docsearch.llm.rank_profiles import collected, held_out, identify, learn
 from docsearch.llm.registry import query
@@ -213,3 +216,37 @@ def _verdict_sql() -> str:
 @query("op6_link_graph", _verdict_sql())
 def op6_link_graph(spark: SparkSession, folder: str) -> DataFrame:
     return page_verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
+def planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document, of which one in ten repeats a stretch from some word to the end."""
+    if doc_id is None:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+@query("op13_basic_factor_runs")
+def op13_basic_factor_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(table(spark, folder, "documents"), prepare=planted_run)
+    # exact ratios: of two runs the one with the greater length * other period comes first
+    best = F.expr(
+        "aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>),"
+        " (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    )
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
