@@ -65,9 +65,8 @@ def test_long_periods_and_words_that_occur_once():
 
 
 def test_query_equals_brute_force(spark, tmp_path):
-    rng = random.Random(9)
-    docs = [(i, " ".join(rng.choice("ab" if i % 2 else "abcdef") * rng.randrange(1, 3) for _ in range(rng.randrange(0, 60)))) for i in range(300)]
-    docs += [(None, "x " * 9), (300, None), (301, ""), (301, ""), (302, "\t a\x0b\x0c b\r\n a  b é é é é é é")]
+    docs = [(i, " ".join("abcdefghi"[w] for w in words)) for i, words in enumerate(_sequences())]
+    docs += [(None, "x " * 9), (1300, None), (1301, ""), (1301, ""), (1302, "\t a\x0b\x0c b\r\n a  b é é é é é é")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
 
     def sha(x):
