@@ -13,6 +13,7 @@ from docsearch.llm.hilbert import hilbert_shards
 from docsearch.llm.license_scan import license_scan
 from docsearch.llm.line_join import line_classes
 from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
+from docsearch.llm.merkle_manifest import FAN, merkle_manifest
 from docsearch.llm.metric_join import near_vectors
 from docsearch.llm.pair_bpe import bpe_round_trip
 from docsearch.llm.periodic_runs import periodic_runs
@@ -250,3 +251,73 @@ def op13_basic_factor_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+#: levels that the SQL writes out: leaves of a language up to FAN ** 8, and languages up to FAN ** 3
+SQL_LEVELS, SQL_TOP_LEVELS = 8, 3
+
+
+def _manifest_sql() -> str:
+    """The same trees in SQL, level by level; a level of one node hands it on."""
+
+    def leaf(text: str) -> str:
+        values = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "sha256(concat({}))".format(
+            ", ".join(f"coalesce(concat(strlen({v}), ':', {v}), '-')" for v in values)
+        )
+
+    crc = """list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))), lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)),
+      lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))"""
+    beside = "coalesce(string_agg(d, '') OVER (PARTITION BY tree, place // {fan} ORDER BY place ROWS BETWEEN {rows}), '')"
+    before = beside.format(fan=FAN, rows="UNBOUNDED PRECEDING AND 1 PRECEDING")
+    after = beside.format(fan=FAN, rows="1 FOLLOWING AND UNBOUNDED FOLLOWING")
+
+    def levels(name: str, count: int) -> str:
+        steps = ""
+        for i in range(count):
+            steps += f""", {name}s{i} AS (
+      SELECT tree, place, {before} AS l, {after} AS r, count(*) OVER (PARTITION BY tree) > 1 AS more, d FROM {name}{i}
+    ), {name}{i + 1} AS (
+      SELECT tree, place // {FAN} AS place, CASE WHEN bool_or(more) THEN sha256(string_agg(d, '' ORDER BY place)) ELSE min(d) END AS d
+      FROM {name}s{i} GROUP BY ALL)"""
+        return steps
+
+    def fold(name: str, i: int, source: str, tree: str, at: str) -> str:
+        return f"""SELECT f.* REPLACE (
+        CASE WHEN s.more THEN proof || s.l || s.r ELSE proof END AS proof,
+        CASE WHEN s.more THEN sha256(s.l || folded || s.r) ELSE folded END AS folded)
+      FROM {source} f JOIN {name}s{i} s ON s.tree = {tree} AND s.place = {at} // {FAN**i}"""
+
+    folds, last = "", "fold"
+    for name, count, tree, at in (("n", SQL_LEVELS, "f.tree", "f.place"), ("t", SQL_TOP_LEVELS, "''", "f.top")):
+        for i in range(count):
+            folds += f", fold_{name}{i} AS ({fold(name, i, last, tree, at)})"
+            last = f"fold_{name}{i}"
+    return f"""
+    WITH leaves AS (
+      SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS leaf,
+        CASE WHEN {crc} IS NOT NULL AND xor({crc}, 4294967295) % 3 = 0
+          THEN {leaf(f"translate(text, {ASCII})")} ELSE {leaf("text")} END AS presented
+      FROM documents
+    ), numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+    ), n0 AS (SELECT tree, place, leaf AS d FROM numbered){levels("n", SQL_LEVELS)}
+    , tops AS (SELECT tree AS named, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS top FROM n{SQL_LEVELS})
+    , t0 AS (SELECT '' AS tree, top AS place, subroot AS d FROM tops){levels("t", SQL_TOP_LEVELS)}
+    , fold AS (
+      SELECT doc_id, tree, place, leaf, subroot, top, (SELECT min(d) FROM t{SQL_TOP_LEVELS}) AS root,
+        '' AS proof, presented AS folded
+      FROM numbered JOIN tops ON named = tree){folds}
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM {last}
+    """
+
+
+@query("op11_merkle_manifest", _manifest_sql())
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.expr(f"translate(text, {ASCII})")
+    changed = {"text": F.when(F.coalesce(chosen, F.lit(False)), lowered).otherwise(F.col("text"))}
+    return merkle_manifest(table(spark, folder, "documents"), presented=changed)
