@@ -21,6 +21,7 @@ from docsearch.llm.pivot_simhash import simhash_components
 from docsearch.llm.rank_profiles import collected, held_out, identify, learn
 from docsearch.llm.registry import query
 from docsearch.llm.retrieval_packing import pack
+from docsearch.llm.suffix_levels import repeated_bytes
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -321,3 +322,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     lowered = F.expr(f"translate(text, {ASCII})")
     changed = {"text": F.when(F.coalesce(chosen, F.lit(False)), lowered).otherwise(F.col("text"))}
     return merkle_manifest(table(spark, folder, "documents"), presented=changed)
+
+
+@query("op12_suffix_levels")
+def op12_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
