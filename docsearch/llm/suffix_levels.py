@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsearch.llm.tables import written
-from docsearch.operators.sizes import broadcast_if_small
 
 #: a string of so many bytes that starts anywhere else is removed
 LENGTH = 400
@@ -209,9 +208,10 @@ def _filter(longs: DataFrame):
     """A bitmap of the hashes in the one column of ``longs``, sent to all tasks.
 
     It has 2^FILTER_POWER bits whatever the number of rows. It lets through all rows with one of the
-    hashes and few others, so it saves shuffles and decides nothing.
+    hashes and few others, so it saves shuffles and decides nothing. The lowest bits of a hash are its
+    place: anchors are least in the highest.
     """
-    slot = F.shiftrightunsigned(F.col(longs.columns[0]), 64 - FILTER_POWER).alias("slot")
+    slot = F.col(longs.columns[0]).bitwiseAND(F.lit((1 << FILTER_POWER) - 1).cast("long")).alias("slot")
     maps = (
         longs.select(slot)
         .groupBy(F.shiftright("slot", 15).alias("map"))
@@ -224,7 +224,7 @@ def _filter(longs: DataFrame):
 
 
 def _passing(bits: np.ndarray, longs: np.ndarray) -> np.ndarray:
-    slot = (longs.view(np.uint64) >> np.uint64(64 - FILTER_POWER)).astype(np.int64)
+    slot = longs & ((1 << FILTER_POWER) - 1)
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -265,7 +265,7 @@ def _classes(rows: DataFrame, key: list[str], own: list[str], label: str) -> Dat
     ends = [f(c).alias(f"{name}_{c}") for c in own for f, name in ((F.min, "least"), (F.max, "most"))]
     keys = grouped.groupBy(*key).agg(*ends)
     keys = keys.where(" OR ".join(f"least_{c} <> most_{c}" for c in own)).select(*(F.col(c).alias(f"of_{c}") for c in key))
-    keys = broadcast_if_small(written(keys, f"{label}-open"))
+    keys = written(keys, f"{label}-open")
     matches = [F.col(c) == F.col(f"of_{c}") for c in key]
     states = grouped.join(keys, matches, "left").select(
         *key, *own, "first", F.expr("first <> last").alias("same"), F.col(f"of_{key[0]}").isNotNull().alias("open")
@@ -276,7 +276,7 @@ def _classes(rows: DataFrame, key: list[str], own: list[str], label: str) -> Dat
 def _stated(rows: DataFrame, states: DataFrame, key: list[str]) -> DataFrame:
     """``rows`` with the ``same``, ``open`` and ``first`` of their class."""
     states = states.select(*(F.col(c).alias(f"of_{c}") for c in key), "first", "same", "open")
-    return rows.join(broadcast_if_small(states), [F.col(c) == F.col(f"of_{c}") for c in key])
+    return rows.join(states, [F.col(c) == F.col(f"of_{c}") for c in key])
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -436,7 +436,7 @@ def _decided(found: DataFrame, docs: DataFrame, length: int, batches: int) -> Da
             F.expr("IF(open AND (NOT same OR entry = first), struct(step, decide AND NOT same AS decide), NULL)")
         ).alias("steps"),
     )
-    per_suffix = broadcast_if_small(written(per_suffix, "suffix-steps"))
+    per_suffix = written(per_suffix, "suffix-steps")
     stepped = written(
         around.join(per_suffix, (F.col("entry") == F.col("of")) & (F.col("low") == F.col("of_low"))), "suffix-stepped"
     )
@@ -444,7 +444,7 @@ def _decided(found: DataFrame, docs: DataFrame, length: int, batches: int) -> Da
     starts = _starts(stepped.where("size(steps) > 0"), length)
     twice = starts.groupBy("key", "key2").agg(F.min("entry").alias("first"), F.max("entry").alias("last"))
     twice = twice.where("first <> last").select(F.col("key").alias("of"), F.col("key2").alias("of2"))
-    twice = broadcast_if_small(written(twice, "suffix-twice"))
+    twice = written(twice, "suffix-twice")
     single = starts.where("decide").join(twice, (F.col("key") == F.col("of")) & (F.col("key2") == F.col("of2")), "left_semi")
 
     step = stepped.select("text", "low", "high", F.explode("done").alias("step"), "at")
@@ -454,7 +454,7 @@ def _decided(found: DataFrame, docs: DataFrame, length: int, batches: int) -> Da
     )
     ranges = ranges.union(single.select("text", F.expr("struct(start AS low, start AS high)")))
     ranges = ranges.groupBy(F.col("text").alias("of")).agg(F.collect_set("range").alias("more"))
-    both = per_text.join(broadcast_if_small(written(ranges, "suffix-ranges")), F.col("text") == F.col("of"), "left")
+    both = per_text.join(ranges, F.col("text") == F.col("of"), "left")
     both = both.select("text", "n_bytes", F.expr("concat(ranges, coalesce(more, array()))").alias("ranges"))
     return both.where("size(ranges) > 0")
 
@@ -532,7 +532,7 @@ def repeated_bytes(
     copies = rows.groupBy(F.col("text").alias("of")).agg(F.count("*").alias("n"), F.first("n_bytes").alias("size"))
     copies = copies.where(f"n > 1 AND size >= {length}").select("of", "size")
     copies = written(copies, "suffix-copies")
-    single = spans.join(broadcast_if_small(copies.select("of")), F.col("text") == F.col("of"), "left_anti")
+    single = spans.join(copies.select("of"), F.col("text") == F.col("of"), "left_anti")
     partial = written(single.where("n_removed < n_bytes").select("text", "spans"), "suffix-partial")
     kept = _kept_digests(texts, partial).select(F.col("text").alias("cut"), "kept_sha256")
     changed = single.join(kept, F.col("text") == F.col("cut"), "left").select(
@@ -541,7 +541,7 @@ def repeated_bytes(
     whole = copies.select(
         "of", F.expr("array(struct(0L AS start, size AS end))"), "size", F.sha2(F.lit(""), 256).alias("left")
     )
-    changed = broadcast_if_small(written(changed.union(whole), "suffix-changed"))
+    changed = written(changed.union(whole), "suffix-changed")
     return rows.join(changed, F.col("text") == F.col("of"), "left").select(
         F.col("id").alias(id_col),
         "n_bytes",
