@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsearch.llm.line_join import without_repeated_lines
-from docsearch.llm.near_copies import one_of_near_copies
+from docsearch.llm.pivot_simhash import one_of_each
 from docsearch.llm.queries import WORD_BPE, table
 from docsearch.llm.rank_profiles import UNKNOWN, collected, identify, learn
 from docsearch.llm.registry import query
@@ -35,8 +35,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the first by id, of each group of texts alike in 0.8 or more of their five-word shingles."""
-    return one_of_near_copies(docs)
+    """One document, the first by id, of each group of texts whose SimHash fingerprints of three-word
+    shingles link at two differing bits or fewer."""
+    return one_of_each(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
