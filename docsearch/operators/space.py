@@ -169,11 +169,11 @@ class IndexSpace:
 
     def only(self, mapping: DocumentMapping) -> IndexSpace:
         """The same index, narrowed to one entity."""
-        return IndexSpace.over(self.spark, self.path, self.registry, self.registry.index_of(mapping), mapping)
+        return type(self).over(self.spark, self.path, self.registry, self.registry.index_of(mapping), mapping)
 
     def known_fields(self) -> list[tuple[str, SearchField]]:
         """The fields the index was written with: as many rows as the mappings have fields."""
-        rows = read_index_table(self.spark, self.path, "fields").collect()
+        rows = self._fields().collect()
         return [
             (r["type"], SearchField(r["path"], r["analyzer"], r["boost"], r["in_all"], r["kind"]))
             for r in rows
@@ -181,6 +181,12 @@ class IndexSpace:
             and (self.indices is None or r["index"] in self.indices)
         ]
 
+    def _fields(self) -> DataFrame:
+        return read_index_table(self.spark, self.path, "fields")
+
+    def buckets(self) -> int:
+        return bucket_count(self.spark, self.path)
+
     def typed(self, mapping: DocumentMapping) -> DataFrame:
         """Documents of one entity with their fields as columns of ``source``."""
         return self.spark.read.parquet(f"{self.path}/typed/{mapping.type_name}")
@@ -234,7 +240,7 @@ class IndexSpace:
     def vocabulary_rows(self, field: str, vocabulary: DataFrame) -> DataFrame:
         """Postings of one field for the terms of a table. Joined by bucket as well, so that a
         vocabulary small enough to be sent to all tasks also says which buckets are read at all."""
-        buckets = bucket_count(self.spark, self.path)
+        buckets = self.buckets()
         # the comparison lets Spark expect that the vocabulary leaves something out
         wanted = vocabulary.where(F.length("term") > 0).withColumn("bucket", bucket_of(F.col("term"), buckets))
         rows = self._table("postings").where(F.col("field") == field)
@@ -248,7 +254,7 @@ class IndexSpace:
         """Only the partitions that can hold the terms, and within them the row groups."""
         if not exact:
             return table
-        buckets = bucket_count(self.spark, self.path)
+        buckets = self.buckets()
         wanted = [bucket_of(F.lit(term), buckets) for term in exact]
         return table.where(F.col("bucket").isin(wanted) & F.col("term").isin(list(exact)))
 

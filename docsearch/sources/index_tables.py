@@ -10,6 +10,7 @@ table                     columns
 ``index_stats``           num_docs                                               index, type
 ``fields``                how each searchable field became terms                 --
 ``rejects``               documents without an id, and why they are left out     --
+``gone``                  documents of earlier segments that are no longer held  index, type
 ========================  =====================================================  =============
 
 ``bucket`` is a hash of the term, so a question reads only the buckets of its terms; rows are
@@ -36,6 +37,7 @@ SCHEMAS = {
     "term_stats": "field string, term string, df long, index string, type string, bucket int",
     "index_stats": "num_docs long, index string, type string",
     "layout": "buckets int",
+    "gone": "id string, index string, type string",
     "fields": (
         "index string, type string, path string, analyzer string, boost double, in_all boolean, kind string"
     ),
@@ -47,6 +49,7 @@ PARTITIONS = {
     "term_stats": ["index", "type", "bucket"],
     "index_stats": ["index", "type"],
     "layout": [],
+    "gone": ["index", "type"],
     "fields": [],
     "rejects": [],
 }
