@@ -35,6 +35,7 @@ from docsearch import (
     plus_minus,
 )
 from docsearch.operators.batch import batch_search
+from docsearch.operators.bounded import bounded_batch_search
 from docsearch.operators.documents import build_documents
 from docsearch.operators.maintain import bulk_index
 from docsearch.operators.search import count_hits, entity_search, search
@@ -568,6 +569,16 @@ def indexed_batch(spark, folder):
     return batch_columns(batch_search(space, benchmark_queries(spark, folder), "text", 10))
 
 
+@query("batch_search_bounded", BATCH_SQL)
+def batch_search_bounded(spark, folder):
+    """The same hits, without scoring documents that only share common words with a question."""
+    path = fresh_path(spark, "bounded-index")
+    registry = Registry([DOCUMENT])
+    bulk_index(registry, tables(spark, folder, "corpus.Document"), path, [DOCUMENT])
+    space = IndexSpace.over(spark, path, registry)
+    return batch_columns(bounded_batch_search(space, benchmark_queries(spark, folder), "text", 10))
+
+
 # -- score, order, page, count -----------------------------------------------------------
 
 
