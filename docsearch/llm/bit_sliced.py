@@ -15,13 +15,22 @@ K = 20
 BLOCK_ROWS = 65_536
 PART_QUERIES = 128
 MAX_TASKS = 20_000
-#: larger quantised components could overflow a long score
-LARGEST = 1 << 26
+#: quantised components up to here are counted as 64-bit integers, larger ones as Python's
+LARGEST = 1 << 61
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+#: doubles from here on are whole numbers
+WHOLE = float(1 << 53)
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    flat = column.combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, width)
+def _integers(values: np.ndarray, width: int) -> np.ndarray:
+    """Whole doubles as integers, of Python's kind if some are large."""
+    if len(values) and np.abs(values).max() > LARGEST:
+        return np.array([int(x) for x in values.tolist()], dtype=object).reshape(-1, width)
+    return values.astype(np.int64).reshape(-1, width)
+
+
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
 
 
 def sliced(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,9 +112,10 @@ class Block:
     def best(self, own, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         negative = (query < 0).astype(np.int64)
         size = np.abs(query)
-        groups: list[list[np.ndarray]] = [[] for _ in range(self.bits + int(size.max()).bit_length())]
-        for bit in range(int(size.max()).bit_length()):
-            dims = np.flatnonzero((size >> bit) & 1)
+        longest = int(size.max()).bit_length()
+        groups: list[list[np.ndarray]] = [[] for _ in range(self.bits + longest)]
+        for bit in range(longest):
+            dims = np.flatnonzero(((size >> bit) & 1).astype(bool))
             if len(dims):
                 chosen = self.maps[negative[dims], dims]
                 for place in range(self.bits):
@@ -115,13 +125,16 @@ class Block:
         rows[: len(self.ids)][self.ids == own] = 0
         found = top_rows(total, np.packbits(rows, bitorder="little").view(np.uint64), k)
         # a complement counts (2 ** bits - 1 - value) for a negative factor
-        constant = int((query * self.low).sum()) - int(size[query < 0].sum()) * ((1 << self.bits) - 1)
-        scores = np.full(len(found), constant, dtype=np.int64)
+        constant = sum(q * c for q, c in zip(query.tolist(), self.low.tolist(), strict=True))
+        constant -= sum(size[query < 0].tolist()) * ((1 << self.bits) - 1)
+        scores = [constant] * len(found)
         word, shift = found // 64, (found % 64).astype(np.uint64)
         for weight, piece in enumerate(total):
             if piece is not None:
-                scores += ((piece[word] >> shift) & np.uint64(1)).astype(np.int64) << weight
-        return self.ids[found], scores
+                bits = ((piece[word] >> shift) & np.uint64(1)).tolist()
+                scores = [score + (bit << weight) for score, bit in zip(scores, bits, strict=True)]
+        # one that is no long becomes the nearest, which is an error if it is among the best of all
+        return self.ids[found], np.array([min(max(x, LEAST), MOST) for x in scores], dtype=np.int64)
 
 
 def top_k(
@@ -136,9 +149,10 @@ def top_k(
 
     A component x counts as ``floor(64 * x)``; the score is the integer inner product; equal scores
     go to the smaller id. A row is no answer to a query of its own id. Rows with a null id and
-    vectors that are null, empty, or hold a null, non-finite or (beyond 2 ** 20) overflowing
-    component take no part; vectors meet only those of their own length; repeated rows count once;
-    empty tables give an empty result.
+    vectors that are null, empty, or hold a null or non-finite component take no part; vectors
+    meet only those of their own length; repeated rows count once; empty tables give an empty
+    result. Components may be as large as doubles are; a score among the best that is no 64-bit
+    integer is an error.
 
     Rows are dealt into blocks by a hash, each block is indexed once, and every part of the query
     set meets every block in a task of its own, which returns ``k`` rows a query at most. Ids must
@@ -146,11 +160,15 @@ def top_k(
     """
 
     def whole(frame: DataFrame) -> DataFrame:
-        scaled = F.transform(F.col("vector"), lambda x: F.floor(SCALE * x.cast("double")))
+        # whole doubles: exact, however large
+        def scaled_one(x):
+            value = SCALE * x.cast("double")
+            return F.when(F.abs(value) < WHOLE, F.floor(value).cast("double")).otherwise(value)
+
+        scaled = F.transform(F.col("vector"), scaled_one)
         return (
             frame.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
             .where(F.col("id").isNotNull() & finite_vector("vector"))
-            .where(~F.exists("vector", lambda x: F.abs(x.cast("double")) * SCALE > LARGEST))
             .select("id", F.size("vector").alias("width"), scaled.alias("vector"))
             .distinct()
         )
@@ -163,14 +181,14 @@ def top_k(
     def index(table: pa.Table) -> pa.Table:
         width = table.column("width")[0].as_py()
         table = table.sort_by("id")
-        low, maps = sliced(_matrix(table.column("vector"), width))
+        low, maps = sliced(_integers(_flat(table.column("vector")), width))
         ids = table.column("id").to_numpy().astype(np.int64)
         return pa.table(
             {
                 "block": table.column("block")[:1],
                 "width": table.column("width")[:1],
                 "ids": pa.array([ids.tobytes()], pa.binary()),
-                "low": pa.array([low.tobytes()], pa.binary()),
+                "low": pa.array([low.astype(np.float64).tobytes()], pa.binary()),
                 "bits": pa.array([maps.shape[1]], pa.int32()),
                 "maps": pa.array([maps.tobytes()], pa.binary()),
             }
@@ -191,7 +209,7 @@ def top_k(
                 "part": table.column("part")[:1],
                 "asked_width": table.column("width")[:1],
                 "asked_ids": pa.array([ids.tobytes()], pa.binary()),
-                "asked": pa.array([_matrix(table.column("vector"), width).tobytes()], pa.binary()),
+                "asked": pa.array([_flat(table.column("vector")).tobytes()], pa.binary()),
             }
         )
 
@@ -210,14 +228,16 @@ def top_k(
         width, bits = row["width"], row["bits"]
         maps = np.frombuffer(row["maps"], dtype=np.uint64).reshape(width, bits, -1)
         block = Block(
-            np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["low"], dtype=np.int64), maps
+            np.frombuffer(row["ids"], dtype=np.int64),
+            _integers(np.frombuffer(row["low"], dtype=np.float64), width)[0],
+            maps,
         )
         asked_ids = np.frombuffer(row["asked_ids"], dtype=np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = [
             block.best(own, query, k)
             for own, query in zip(
                 asked_ids,
-                np.frombuffer(row["asked"], dtype=np.int64).reshape(-1, width),
+                _integers(np.frombuffer(row["asked"], dtype=np.float64), width),
                 strict=True,
             )
         ]
@@ -235,9 +255,11 @@ def top_k(
     best = dealt.groupBy("block", "part", "width").applyInArrow(
         answer, "query_id long, vec_id long, score long"
     )
+    beyond = F.raise_error(F.lit("a score is no 64-bit integer")).cast("long")
+    checked = F.when(F.col("score").isin(LEAST, MOST), beyond).otherwise(F.col("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", checked.alias("score"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from docsearch.llm.tables import written
 
 DAMPING = 0.85
-#: steps of a round, after which the ranks are written, and rounds at most
-STEPS, ROUNDS = 5, 4
+#: steps of a round, after which the ranks are written
+STEPS = 5
 #: a round that moves less than this in all ends the spreading
 SETTLED = 1e-9
+#: a step moves DAMPING of what the one before moved at most, and the first one no more than 2
+MOST_STEPS = STEPS * math.ceil((1 + math.log(SETTLED / (4 * STEPS), DAMPING)) / STEPS)
 #: a host is blocked if its distrust is over so many times its trust
 RATIO = 1.0
 
@@ -112,6 +115,7 @@ def spread_ranks(seeds: DataFrame, links: DataFrame) -> DataFrame:
     Trust is a personalised PageRank from the trusted weights along links; distrust is one from
     the blocked weights along links reversed, so that who links to blocked hosts is distrusted.
     What reaches a host without links on is not handed back. Hosts that only links name count too.
+    Spreading ends when a round moves less than SETTLED in all, however long the chains of links are.
     """
     totals = seeds.agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked")).first()
     named = seeds.select("host").union(links.select("source")).union(links.select("target")).distinct()
@@ -145,7 +149,7 @@ def spread_ranks(seeds: DataFrame, links: DataFrame) -> DataFrame:
     )
     if edges.isEmpty():
         return ranks.select("host", "trust", "distrust")
-    for _ in range(ROUNDS):
+    for _ in range(MOST_STEPS // STEPS):
         before = ranks
         for _ in range(STEPS):
             ahead = edges.join(ranks, F.col("source") == F.col("host")).select(
@@ -171,6 +175,8 @@ def spread_ranks(seeds: DataFrame, links: DataFrame) -> DataFrame:
         )
         if (moved or 0) < SETTLED:
             break
+    else:
+        raise RuntimeError("the ranks did not settle")
     return ranks.select("host", "trust", "distrust")
 
 

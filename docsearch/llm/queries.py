@@ -12,7 +12,7 @@ from docsearch.llm.bit_sliced import top_k
 from docsearch.llm.hilbert import hilbert_shards
 from docsearch.llm.license_scan import license_scan
 from docsearch.llm.line_join import line_classes
-from docsearch.llm.link_graph import DAMPING, RATIO, ROUNDS, STEPS, Rule, page_verdicts
+from docsearch.llm.link_graph import DAMPING, MOST_STEPS, RATIO, Rule, page_verdicts
 from docsearch.llm.merkle_manifest import FAN, merkle_manifest
 from docsearch.llm.metric_join import near_vectors
 from docsearch.llm.pair_bpe import bpe_round_trip
@@ -172,7 +172,7 @@ def _verdict_sql() -> str:
     steps = "ranks0 AS (SELECT host, t, d, t * (1 - {0}) AS trust, d * (1 - {0}) AS distrust FROM seeds)".format(
         DAMPING
     )
-    for i in range(1, STEPS * ROUNDS + 1):
+    for i in range(1, MOST_STEPS + 1):
         steps += f""", ranks{i} AS (
       SELECT host, t, d,
         t * (1 - {DAMPING}) + {DAMPING} * coalesce((SELECT sum(r.trust * e.ahead) FROM edges e
@@ -211,7 +211,7 @@ def _verdict_sql() -> str:
     ), {steps}
     SELECT r.page_id, r.host, r.path, r.rule,
       coalesce(r.said, CASE WHEN k.distrust > {RATIO} * k.trust THEN 'block' ELSE 'allow' END) AS verdict
-    FROM ruled r LEFT JOIN ranks{STEPS * ROUNDS} k ON k.host = r.host
+    FROM ruled r LEFT JOIN ranks{MOST_STEPS} k ON k.host = r.host
     """
 
 

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from odd import smallest
 
 from docsearch.llm import bit_sliced, metric_join
@@ -122,3 +123,22 @@ def test_metric_join_of_nothing_and_null_ids(spark):
         (None, 0, None, None),
     ]
     assert metric_join.near_vectors(table.where("1 = 0")).count() == 0
+
+
+def test_top_k_keeps_rows_with_large_components(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0**21, 0.0]), (2, [0.5, 0.0]), (3, [-(2.0**80), -3.0]), (4, [2.0**40, -1.0]), (20, [0.0, -2.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = bit_sliced.top_k(table, table.where("vec_id % 20 = 0"), k=3)
+
+    def score(a, b):
+        return sum(math.floor(64 * x) * math.floor(64 * y) for x, y in zip(a, b, strict=True))
+
+    want = []
+    for q, own in rows:
+        if q % 20 == 0:
+            best = sorted(((-score(own, v), i) for i, v in rows if i != q))[:3]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert found.where("vec_id = 1").count() and found.where("vec_id = 3").count()
+    with pytest.raises(Exception, match="no 64-bit integer"):
+        bit_sliced.top_k(table, table.where("vec_id % 20 = 0"), k=5).collect()
