@@ -1,116 +1,22 @@
-"""Near copies by word shingles: MinHash bands bring texts together, exact Jaccard similarity decides."""
+"""Links of sets that share a key and are alike by exact Jaccard similarity."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docsearch.llm.components import components
-from docsearch.llm.pivot_simhash import shingle_hashes
-from docsearch.llm.tables import field_of, free_name, written
+from docsearch.llm.tables import written
 
 SHINGLE = 5
 #: texts link at this Jaccard similarity of their shingles or more
 ALIKE = 0.8
-#: a band is so many minima; two texts as alike as ALIKE share none of the bands once in 38,000 times
-ROWS, BANDS = 4, 20
-#: of 64 bits, one for each of as many minima, texts as alike as ALIKE differ in 6.4; in more than these once in 2 million times
-SKETCH_BITS = 20
 #: rows of a cell that are compared with all others of it in one task
 BLOCK = 1024
 #: so many keys or names are broadcast; beyond it both sides are shuffled
 BROADCAST_NAMES = 1_000_000
-SEED = 20_250_117
-SLICE = 4096
-
-_DRAW = np.random.default_rng(SEED).integers(0, 1 << 63, size=(2, ROWS * BANDS), dtype=np.uint64)
-_FACTORS, _TERMS = _DRAW[0] * np.uint64(2) + np.uint64(1), _DRAW[1]
-
-
-def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The sorted, distinct hashes of a text's shingles; one zero for a text without words or null."""
-    found = np.unique(shingle_hashes(text, shingle))
-    return found if len(found) else np.zeros(1, dtype=np.uint64)
-
-
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each of ROWS * BANDS hash functions over a set."""
-    least = np.full(ROWS * BANDS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in range(0, len(shingles), SLICE):
-        part = shingles[at : at + SLICE, None] * _FACTORS + _TERMS
-        least = np.minimum(least, part.min(axis=0))
-    return least
-
-
-def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-
-
-def _name(shingles: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(shingles.tobytes())
-
-
-def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """``id, name, n, sketch, bands`` of every row: its set's name and size, a bit of each of 64
-    minima, and its band keys."""
-    schema = T.StructType(
-        [
-            field_of(docs, id_col, "id"),
-            T.StructField("name", T.BinaryType()),
-            T.StructField("n", T.LongType()),
-            T.StructField("sketch", T.LongType()),
-            T.StructField("bands", T.ArrayType(T.LongType())),
-        ]
-    )
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        for batch in batches:
-            names, sizes, marks, bands = [], [], [], []
-            for text in batch.column(1):
-                own = shingle_set(text.as_py(), shingle)
-                least = minima(own)
-                names.append(_name(own))
-                sizes.append(len(own))
-                bits = np.bitwise_count(least[:64]) & 1
-                marks.append(np.packbits(bits, bitorder="little").view("<u8")[0])
-                groups = least.reshape(BANDS, ROWS)
-                bands.append([digest(group.tobytes(), number) for number, group in enumerate(groups)])
-            keys = np.array(bands, dtype=np.uint64).reshape(-1).view(np.int64)
-            offsets = pa.array(np.arange(len(names) + 1, dtype=np.int32) * BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(names, pa.binary()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(np.array(marks, dtype=np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(keys)),
-                ],
-                schema.names,
-            )
-
-    return _named(docs, id_col, text_col).mapInArrow(each, schema)
-
-
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``name, shingles`` of every row of ``id, text``."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(1):
-                own = shingle_set(text.as_py(), shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_name(own)], pa.binary()), pa.array([own.view(np.int64)], pa.list_(pa.int64()))],
-                    ["name", "shingles"],
-                )
-
-    return texts.mapInArrow(each, "name binary, shingles array<long>")
 
 
 def small(frame: DataFrame) -> DataFrame:
@@ -128,36 +34,6 @@ def _members(distinct: DataFrame) -> DataFrame:
     return written(found.withColumn("block", F.expr("pmod(xxhash64(name, key), blocks)")), "near-members")
 
 
-def _like(a: str, b: str) -> str:
-    """Whether sets of these sizes and sketches can be as alike as ALIKE."""
-    sizes = f"least({a}_n, {b}_n) >= {ALIKE} * greatest({a}_n, {b}_n) - 1e-6"
-    return f"({sizes}) AND bit_count({a}_sketch ^ {b}_sketch) <= {SKETCH_BITS}"
-
-
-def _verified(
-    pairs: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int
-) -> DataFrame:
-    """The ``pairs`` whose sets are as alike as ALIKE; texts are read again for those in a pair alone."""
-    wanted = written(
-        pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct(), "near-wanted"
-    )
-    few = small(wanted)
-    holders = written(
-        distinct.join(few, F.col("name") == F.col("want")).select(F.col("first").alias("holder")).distinct(),
-        "near-holders",
-    )
-    texts = _named(docs, id_col, text_col).join(
-        small(holders), F.col("id").eqNullSafe(F.col("holder")), "left_semi"
-    )
-    sets = (
-        _sets(texts, shingle)
-        .join(few, F.col("name") == F.col("want"), "left_semi")
-        .groupBy("name")
-        .agg(F.first("shingles").alias("shingles"))
-    )
-    return alike_pairs(pairs, written(sets, "near-sets"))
-
-
 def cell_links(distinct: DataFrame, like: Callable[[str, str], str], verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``a, b``: verified links between the names of ``distinct`` whose components are those of all links.
 
@@ -213,49 +89,3 @@ def alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(side("a"), F.col("a") == F.col("a_name")).join(side("b"), F.col("b") == F.col("b_name"))
     shared = "size(array_intersect(a_set, b_set))"
     return both.where(f"{shared} >= {ALIKE} * (size(a_set) + size(b_set) - {shared}) - 1e-6").select("a", "b")
-
-
-def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
-) -> DataFrame:
-    """``id_col, component_id`` of every row of ``docs``.
-
-    Words are those of ``fingerprint``; texts whose sets of word shingles have a Jaccard similarity
-    of ALIKE or more link; ``component_id`` is the smallest id reachable, the own included. A text
-    of fewer words than ``shingle`` is one shingle; texts without words, or null, are alike. Repeated
-    rows each return a row; a null id never becomes a component's id, unless all ids of it are null.
-    An empty table gives an empty result.
-
-    Equal sets are one. What links is verified on the sets themselves; two sets are compared if
-    they share a band, which the bands make nearly certain.
-    """
-    found = written(sketches(docs, id_col, text_col, shingle), "sketches")
-    distinct = written(
-        found.groupBy("name").agg(
-            F.min("id").alias("first"), *(F.first(c).alias(c) for c in ("n", "sketch", "bands"))
-        ),
-        "distinct-sketches",
-    )
-    links = cell_links(distinct, _like, lambda pairs: _verified(pairs, distinct, docs, id_col, text_col, shingle))
-    linked = components(links, "a", "b")
-    grouped = distinct.join(linked, F.col("name") == F.col("node"), "left").select(
-        "name", "first", F.coalesce("component", "name").alias("root")
-    )
-    smallest = grouped.groupBy(F.col("root").alias("top")).agg(F.min("first").alias("component_id"))
-    named = grouped.join(smallest, F.col("root") == F.col("top")).select(
-        F.col("name").alias("of"), "component_id"
-    )
-    return found.join(named, F.col("name") == F.col("of"), "left").select(
-        F.col("id").alias(id_col), "component_id"
-    )
-
-
-def one_of_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the near copies of a row with a smaller id.
-
-    Of repeated rows with the id that stays, all stay; rows without an id are left as they are.
-    """
-    drop = free_name(docs, "dropped")
-    dropped = near_copies(docs, id_col, text_col).where(F.col(id_col) > F.col("component_id"))
-    dropped = dropped.select(F.col(id_col).alias(drop)).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col(drop), "left_anti")
