@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsearch.llm.components import components
@@ -18,11 +18,16 @@ SHORT_CHARS, SHORT_DISTANCE = 16, 1
 #: so many hashes of candidate lines, or of keys they share, are broadcast; beyond it both sides are shuffled
 BROADCAST_LINES = 1_000_000
 
+#: runs that more lines hold than this are common: lines take rarer ones as keys where they can. Under so
+#: many, comparing a line with a cell costs less than reading it again
+COMMON = 1024
 #: longs of the bits that tell unlike sets of word runs apart
 SKETCH_LONGS = 4
 #: characters of scripts written without spaces; each is a word
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
+# The characters that the pattern \s stands for, as SQL writes them.
+BLANKS = r" \t\n\u000B\u000C\r"
 # ASCII letters whose counts tell unlike lines apart; any of them give the same result.
 LETTERS = "etaonishrldugfwb"
 NIBBLE = 4
@@ -177,7 +182,7 @@ def _word_runs(line: str) -> str:
         f"IF(octet_length({line}) > char_length({line}) AND {line} RLIKE r'{UNSPACED}',"
         f" regexp_replace({line}, r'({UNSPACED})', ' $1 '), {line})"
     )
-    words = rf"transform(filter(split(lower({spaced}), r'\s+'), w -> w <> ''), w -> xxhash64(w))"
+    words = rf"split(trim(BOTH '{BLANKS}' FROM lower({spaced})), r'\s+')"
     run = ", ".join(f"w[i + {k}]" for k in range(SHINGLE))
     # the words are made once, inside an array of one element
     runs = f"IF(size(w) < {SHINGLE}, array(), transform(sequence(0, size(w) - {SHINGLE}), i -> xxhash64({run})))"
@@ -206,33 +211,88 @@ def _runs_alike(a: str, b: str) -> str:
     )
 
 
+def _keys_kept(n: str) -> str:
+    """How many of ``n`` runs are keys: sets as alike as ALIKE share one of so many first ones in any common order."""
+    return f"CAST({n} - ceil({ALIKE} * {n} - 1e-6) + 1 AS INT)"
+
+
+def _run_sets(lines: DataFrame, names: DataFrame) -> DataFrame:
+    """``h, runs`` of the distinct lines whose hash is a ``want`` of ``names``."""
+    held = lines.join(small(names), F.col("h") == F.col("want"))
+    return held.groupBy("h").agg(F.first("line").alias("line")).select("h", F.expr(_word_runs("line")).alias("runs"))
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """``met``: the keys of ``h, key`` that more than one line has."""
+    ends = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    return written(ends.where("low <> high").select(F.col("key").alias("met")), "line-shared")
+
+
+def _run_keys(lines: DataFrame) -> DataFrame:
+    """``h, key``: the rarest runs of every line, as many as it takes, without keys that are one line's alone.
+
+    Runs are in order of their hash, but for those that more than COMMON lines hold which meet under
+    common keys: they come last, by the number of these lines. So lines that share a passage and little
+    else meet under few of its runs, and only they are read again to find the order.
+    """
+    runs = lines.select("h", F.expr(_word_runs("line")).alias("runs"))
+    kept = F.expr(f"slice(runs, 1, {_keys_kept('size(runs)')})")
+    keyed = written(runs.select("h", kept.alias("keys")), "line-keys")
+    keys = keyed.select("h", F.explode("keys").alias("key"))
+    shared = _shared(keys)
+    met = written(keys.join(small(shared), F.col("key") == F.col("met"), "left_semi").distinct(), "line-met")
+
+    common = written(met.groupBy(F.col("key").alias("met")).count().where(F.col("count") > COMMON), "line-common")
+    busy = met.join(small(common), F.col("key") == F.col("met"), "left_semi").select(F.col("h").alias("want"))
+    sets = _run_sets(lines, written(busy.distinct(), "line-wanted"))
+    held = sets.select(F.explode("runs").alias("run")).groupBy("run").agg(F.count("*").alias("held"))
+    ranks = written(held.where(F.col("held") > COMMON), "line-ranks")
+
+    moved = keys.join(small(ranks), F.col("key") == F.col("run"), "left_semi").select(F.col("h").alias("want"))
+    moved = written(moved.distinct(), "line-moved")
+    places = _run_sets(lines, moved).select("h", F.size("runs").alias("n"), F.explode("runs").alias("key"))
+    places = places.join(small(ranks), F.col("key") == F.col("run"), "left")
+    order = Window.partitionBy("h").orderBy(F.coalesce("held", F.lit(0)), "key")
+    places = places.withColumn("place", F.row_number().over(order)).where(f"place <= {_keys_kept('n')}")
+    places = written(places.select("h", "key"), "line-places")
+
+    # lines that have not moved may have a key alone until a moved line takes it
+    new = places.select("key").distinct().join(shared, F.col("key") == F.col("met"), "left_anti")
+    new = written(new.select(F.col("key").alias("met")), "line-new")
+    stay = met.union(keys.join(small(new), F.col("key") == F.col("met"), "left_semi").distinct())
+    stay = stay.join(small(moved), F.col("h") == F.col("want"), "left_anti")
+    return written(stay.union(places), "line-met")
+
+
 def word_links(lines: DataFrame) -> DataFrame:
     """``a, b``: links between two-hash names of distinct lines alike in ALIKE of their word runs.
 
-    Of ``n`` hashes in order, all but ALIKE * n and one more are a line's keys: lines so alike share
-    one of them at least, so none is missed. Components are those of all links.
+    Of ``n`` runs in order, all but ALIKE * n and one more are a line's keys: lines so alike share one
+    of them at least, so none is missed. Sets and sketches are made only for lines that share a key.
+    Components are those of all links.
     """
-    runs = lines.select("h", F.expr(_word_runs("line")).alias("runs")).where("size(runs) > 0")
-    kept = f"CAST(size(runs) - ceil({ALIKE} * size(runs) - 1e-6) + 1 AS INT)"
-    distinct = runs.select(
-        F.col("h").alias("name"),
-        F.expr("CAST(size(runs) AS LONG)").alias("n"),
-        F.expr(_parities("runs")).alias("sketch"),
-        F.expr(f"slice(runs, 1, {kept})").alias("bands"),
+    keys = _run_keys(lines)
+    keys = written(keys.join(small(_shared(keys)), F.col("key") == F.col("met"), "left_semi"), "line-met")
+    wanted = written(keys.select(F.col("h").alias("want")).distinct(), "line-wanted")
+    sets = written(_run_sets(lines, wanted).select(F.col("h").alias("name"), F.col("runs").alias("shingles")), "line-sets")
+    bands = keys.groupBy("h").agg(F.collect_list("key").alias("bands"))
+    distinct = sets.join(bands, F.col("name") == F.col("h")).select(
+        "name",
+        F.expr("CAST(size(shingles) AS LONG) AS n"),
+        F.expr(_parities("shingles")).alias("sketch"),
+        "bands",
     )
-    distinct = distinct.groupBy("name").agg(*(F.first(c).alias(c) for c in ("n", "sketch", "bands")))
 
-    def texts(pairs: DataFrame) -> DataFrame:
-        wanted = written(pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct(), "line-wanted")
-        held = lines.join(small(wanted), F.col("h") == F.col("want"))
-        return held.groupBy("h", "h2").agg(F.first("line").alias("line"))
+    def ends(pairs: DataFrame) -> DataFrame:
+        both = pairs.select(F.col("a").alias("want")).union(pairs.select("b"))
+        return small(written(both.distinct(), "line-wanted"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        sets = texts(pairs).select(F.col("h").alias("name"), F.expr(_word_runs("line")).alias("shingles"))
-        return alike_pairs(pairs, written(sets, "line-sets")).distinct()
+        return alike_pairs(pairs, sets.join(ends(pairs), F.col("name") == F.col("want"), "left_semi")).distinct()
 
     found = written(cell_links(written(distinct, "line-runs"), _runs_alike, verified), "line-links")
-    names = written(texts(found).select("h", _two_hash_name().alias("name")), "line-names")
+    names = lines.join(ends(found), F.col("h") == F.col("want"), "left_semi")
+    names = written(names.select("h", _two_hash_name().alias("name")).distinct(), "line-names")
 
     def side(which: str) -> DataFrame:
         return names.select(*(F.col(c).alias(f"{which}_{c}") for c in ("h", "name")))

@@ -15,6 +15,8 @@ SHINGLE = 5
 ALIKE = 0.8
 #: rows of a cell that are compared with all others of it in one task
 BLOCK = 1024
+#: so many of a set's keys put it beside sets that share them
+LEAD = 3
 #: so many keys or names are broadcast; beyond it both sides are shuffled
 BROADCAST_NAMES = 1_000_000
 
@@ -25,7 +27,8 @@ def small(frame: DataFrame) -> DataFrame:
 
 def _members(distinct: DataFrame) -> DataFrame:
     """``key, blocks, block`` and the set's columns for every place in a cell of two or more sets."""
-    cells = distinct.select("name", "n", "sketch", F.explode("bands").alias("key"))
+    lead = F.slice(F.array_sort("bands"), 1, LEAD).alias("lead")
+    cells = distinct.select("name", "n", "sketch", lead, F.explode("bands").alias("key"))
     counts = cells.groupBy(F.col("key").alias("cell")).count().where("count > 1")
     counts = written(
         counts.select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "near-cells"
@@ -38,30 +41,34 @@ def cell_links(distinct: DataFrame, like: Callable[[str, str], str], verified: C
     """``a, b``: verified links between the names of ``distinct`` whose components are those of all links.
 
     ``distinct`` has ``name, n, sketch`` and ``bands``, the keys of the cells where a name is; ``like``
-    says in SQL whether two may link, ``verified`` which pairs do. Neighbours in a block of a cell are
-    tried first. Of the other pairs of a cell only those remain that their links have not brought
+    says in SQL whether two may link, ``verified`` which pairs do. Neighbours in a block of a cell, by
+    size and by their lowest keys, are tried first. Of the other pairs of a cell only those remain that their links have not brought
     together, so a large group of near copies costs a chain of links in each of its cells and not the
     square of its size.
     """
     members = _members(distinct)
-    row = Window.partitionBy("key", "block").orderBy("n", "name")
-    chained = members.select(
-        F.col("name").alias("x"),
-        F.col("n").alias("x_n"),
-        F.col("sketch").alias("x_sketch"),
-        *(F.lag(c).over(row).alias(f"y_{c}") for c in ("name", "n", "sketch")),
-    )
-    tried = chained.where(f"y_name is not null AND {like('x', 'y')}").select(
-        F.least("x", "y_name").alias("a"), F.greatest("x", "y_name").alias("b")
-    )
-    tried = written(tried.distinct(), "near-pairs")
+    cell = Window.partitionBy("key", "block")
+
+    def chain(*order: str) -> DataFrame:
+        row = cell.orderBy(*order)
+        chained = members.select(
+            F.col("name").alias("x"),
+            F.col("n").alias("x_n"),
+            F.col("sketch").alias("x_sketch"),
+            *(F.lag(c).over(row).alias(f"y_{c}") for c in ("name", "n", "sketch")),
+        )
+        return chained.where(f"y_name is not null AND {like('x', 'y')}").select(
+            F.least("x", "y_name").alias("a"), F.greatest("x", "y_name").alias("b")
+        )
+
+    tried = written(chain("n", "name").union(chain("lead", "n", "name")).distinct(), "near-pairs")
     links = written(verified(tried), "near-links")
 
     joined = components(links, "a", "b")
     placed = members.join(small(joined), F.col("name") == F.col("node"), "left").withColumn(
         "group", F.coalesce("component", "name")
     )
-    placed = written(placed.drop("node", "component"), "near-placed")
+    placed = written(placed.drop("node", "component", "lead"), "near-placed")
     open_ = placed.groupBy(F.col("key").alias("cell")).agg(F.min("group").alias("low"), F.max("group").alias("high"))
     open_ = written(open_.where("low <> high").select("cell"), "near-open")
     left_over = placed.join(small(open_), F.col("key") == F.col("cell"), "left_semi")

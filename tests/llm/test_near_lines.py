@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pytest
 from odd import no_docs, rows, smallest
 
 from docsearch.llm import line_join
@@ -14,7 +15,9 @@ def _runs(line):
     return set(zip(*(words[i:] for i in range(5)), strict=False))
 
 
-def test_long_lines_with_a_word_changed_are_near_copies(spark):
+@pytest.mark.parametrize("common", [line_join.COMMON, 3])
+def test_long_lines_with_a_word_changed_are_near_copies(spark, monkeypatch, common):
+    monkeypatch.setattr(line_join, "COMMON", common)
     rng = random.Random(4)
     lines = []
     for _ in range(120):
@@ -53,3 +56,17 @@ def test_short_lines_are_classed(spark, tmp_path):
     want = [(0, 0, 0, 0), (0, 1, 0, 1), (0, 3, 0, 3), (1, 0, 0, 0), (1, 1, 0, 1), (1, 2, 1, 2), (2, 0, 2, 0), (2, 2, 0, 3)]
     assert rows(found, "doc_id", "line_no", "class_id", "class_line_no") == want
     assert line_join.line_classes(no_docs(spark), least=1).count() == 0
+
+
+def test_lines_meet_under_rare_runs_of_a_common_passage(spark, monkeypatch):
+    """Lines that share a passage of half their words are no near copies and share no key."""
+    monkeypatch.setattr(line_join, "COMMON", 8)
+    passage = [f"passage{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"own{d}x{i}" for i in range(40)]) for d in range(30)]
+    texts.append(texts[7].replace("own7x39", "other"))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_join._lines(table, "doc_id", "text")
+    keys = line_join._run_keys(lines).groupBy("key").count().where("count > 1")
+    assert {r["count"] for r in keys.collect()} == {2}
+    found = {r["doc_id"]: r["class_id"] for r in line_join.line_classes(table).collect()}
+    assert found == {d: d for d in range(30)} | {30: 7}
