@@ -15,6 +15,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,12 +123,17 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     wanted = T.StructType(
         [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
     )
-    return spark.read.schema(wanted).parquet(path)
+    try:
+        return spark.read.schema(wanted).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], wanted)
 
 
 def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
     """Every folded change, with the ``run`` and ``batch`` that brought it. ``schema`` is that of a
-    change; declaring it keeps ids that look like numbers as text."""
+    change; declaring it keeps ids that look like numbers as text. A log that has had no change yet is empty."""
     return _read(spark, log, schema)
 
 

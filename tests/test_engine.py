@@ -325,6 +325,12 @@ def test_mirror_skips_other_types_and_uncommitted_changes(spark):
     assert [r.id for r in fold_batch(changes, REGISTRY, status).collect()] == ["1"]
 
 
+def test_a_log_before_its_first_change_is_empty(spark):
+    log = read_log(spark, fresh_path(spark, "log"), spark.createDataFrame([], SCHEMA).schema)
+    assert {"run", "batch"} < set(log.columns)
+    assert current_documents(log).count() == 0
+
+
 def test_mirror_can_be_switched_off(spark):
     assert mirror(None, "", "", Registry([PRODUCT], Settings(disable_auto_index=True))) is None
 
