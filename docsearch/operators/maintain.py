@@ -193,13 +193,14 @@ def put_documents(
     version: int | Column = 1,
 ) -> str:
     """:func:`update_index` with typed documents of one entity: their JSON form, postings and typed
-    twin go in, what ``removed`` names goes out."""
+    twin go in, what ``removed`` names goes out. Documents without a whole key go to ``rejects``."""
     mapping = registry.require(entity)
     spark = typed.sparkSession
+    typed, bad = split_rejects(typed, {"no id": F.col("id").isNull()})
     number = version if isinstance(version, Column) else F.lit(version)
     fresh = newest(as_json(typed).withColumn("version", number.cast("long")))
     rows = document_postings(registry, tables, mapping, typed)
-    return update_index(spark, path, target, removed, fresh, rows, {mapping.type_name: typed})
+    return update_index(spark, path, target, removed, fresh, rows, {mapping.type_name: typed}, as_json(bad))
 
 
 def reindex_owners_into(
@@ -280,22 +281,26 @@ def update_index(
     fresh_docs: DataFrame | None = None,
     fresh_postings: DataFrame | None = None,
     fresh_typed: Mapping[str, DataFrame] | None = None,
+    rejected: DataFrame | None = None,
 ) -> str:
     """Write to ``target`` the index at ``path`` without the documents ``removed`` names
     ``(index, type, id)``, and with the fresh ones put in; gives the path that holds the result.
 
     Fresh documents come one per key (:func:`newest`), with their postings and, by type, their
-    typed form. Statistics are counted anew. With nothing to remove or add nothing is written,
-    and the result is ``path`` itself.
+    typed form. Statistics are counted anew. ``rejected`` joins the rejects that are there. With
+    nothing to remove, add or reject nothing is written, and the result is ``path`` itself.
     """
     keys = [removed.select(*DOC)] + ([fresh_docs.select(*DOC)] if fresh_docs is not None else [])
     named = reduce(DataFrame.unionByName, keys)
-    if named.isEmpty():
+    if named.isEmpty() and (rejected is None or rejected.isEmpty()):
         return path
     buckets = bucket_count(spark, path)
     gone = broadcast_if_small(named.distinct())
-    for name in ("fields", "rejects"):
-        write_table(read_index_table(spark, path, name), target, name)
+    write_table(read_index_table(spark, path, "fields"), target, "fields")
+    rejects = read_index_table(spark, path, "rejects")
+    if rejected is not None:
+        rejects = rejects.unionByName(rejected.select(*rejects.columns))
+    write_table(rejects, target, "rejects")
     fresh_typed = fresh_typed or {}
     kinds = {r["type"] for r in read_index_table(spark, path, "fields").select("type").distinct().collect()}
     for kind in sorted(kinds):

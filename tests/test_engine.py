@@ -30,6 +30,7 @@ from docsearch.operators.maintain import (
     document_postings,
     fold_delete_wins,
     fold_last,
+    put_documents,
     unindex,
     unindex_types,
     update_index,
@@ -468,6 +469,20 @@ def test_maintenance_of_a_written_index(spark):
     assert [r.price for r in search(after, "green").sorted_page(PRODUCT, "price").collect()] == [5.0]
 
 
+def test_documents_without_a_key_put_into_a_written_index_are_rejects(spark):
+    path, after, only = (fresh_path(spark, "t") for _ in range(3))
+    bulk_index(REGISTRY, {"test.Product": products(spark, (1, "red", 1.0))}, path, [PRODUCT], buckets=2)
+    nothing = spark.createDataFrame([], "index string, type string, id string")
+    changed = {"test.Product": products(spark, (None, "lost", 0.0), (2, "blue", 2.0))}
+    typed = build_documents(REGISTRY, changed, PRODUCT)
+    assert put_documents(REGISTRY, changed, PRODUCT, typed, nothing, path, after) == after
+    index = IndexSpace.over(spark, after, REGISTRY)
+    assert found(search(index, "lost")) == [] and found(search(index, "blue")) == ["2"]
+    assert [r.reason for r in spark.read.parquet(f"{after}/rejects").collect()] == ["no id"]
+    assert put_documents(REGISTRY, changed, PRODUCT, typed.where("id is null"), nothing, after, only) == only
+    assert spark.read.parquet(f"{only}/rejects").count() == 2 and IndexSpace.over(spark, only, REGISTRY).documents().count() == 2
+
+
 def split_world(spark, limit):
     """Talks of which the first has many turns, 30 of them equal, in three levels."""
     words = ["alpha", "beta", "gamma"]
