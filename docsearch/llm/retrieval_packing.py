@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,42 +27,90 @@ END_ID = 1
 #: a shard's index holds so many documents or so many tokens at most, beyond its last document
 SHARD_DOCS = 1024
 SHARD_TOKENS = 4_000_000
-#: a seed asks with so many of its terms, those of the largest weight
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 #: tokens by which documents are brought near each other before they are cut into shards
 ROUTES = 3
-REMEMBERED = 500_000
+#: words and chunks an encoder remembers; half of them, those not met of late, are forgotten at a time
+REMEMBERED = 1_000_000
 SEQUENCE_SHIFT = 40
 
 # What the word scheme takes as one word, after lower-casing.
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+_ASCII_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{SPACE}a-z0-9]+")
 _BREAKS = str.maketrans("\t\n\r", "   ")
 
 
+class _Remembered(dict):
+    """What ``make`` gives for a key, kept. Beyond half of REMEMBERED, what is kept becomes the older
+    half, and of the older half before it only what is met again stays."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def forget(self) -> None:
+        if len(self) > REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of whole texts by a word-level BPE file (NFC, lower case, no token across white space).
 
-    The library encodes each distinct word once; a text's ids are those of its words in order.
+    The library encodes each distinct word once; a text's ids are those of its words in order. Texts
+    with a character that the library and Python's tables class or change differently, as tables of other
+    Unicode versions do, are left to the library.
     """
 
     def __init__(self, path: str):
         tokenizer = Tokenizer.from_file(path)
-        self.model = tokenizer.model
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.size = tokenizer.get_vocab_size(with_added_tokens=True)
         self.names = dict(enumerate(byte_names()))
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {"": b""}
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.known = _Remembered(self._chunk)
+        self.trusted: set[str] = set()
+        self.strange: set[str] = set()
+
+    def _bytes(self, ids: Iterator[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _word(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            raw = word.encode("utf-8").decode("latin-1").translate(self.names)
-            found = np.array([t.id for t in self.model.tokenize(raw)], dtype=self.kind).tobytes()
-            self.known[word] = found
-        return found
+        plain = word.isascii() and word.isalpha()
+        raw = word if plain else word.encode("utf-8").decode("latin-1").translate(self.names)
+        return self._bytes([t.id for t in self.model.tokenize(raw)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._word(chunk)
+        words = (_ASCII_WORDS if chunk.isascii() else _WORDS).findall(chunk)
+        # a chunk that is one word, as a number's digit or a mark, is not looked up again as that word
+        return self._word(words[0]) if len(words) == 1 else b"".join([self.known[w] for w in words])
+
+    def _is_strange(self, text: str) -> bool:
+        """Whether a text holds a character that the library treats in another way than this class."""
+        for met in set(text).difference(self.trusted, self.strange):
+            # between letters, alone, and after white space, a class of characters shows in the cuts
+            probe = f"a{met}a {met} 1{met}1 !{met}!"
+            ours = [w for c in self._chunks(probe) for w in _WORDS.findall(c)]
+            theirs = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(probe))
+            same = [w.encode("utf-8").decode("latin-1").translate(self.names) for w in ours] == [w for w, _ in theirs]
+            (self.trusted if same else self.strange).add(met)
+        return bool(self.strange) and not self.strange.isdisjoint(text)
 
     def _chunks(self, text: str) -> list[str]:
         if not text.isascii():
@@ -70,38 +120,24 @@ class WordEncoder:
         )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = []
+        pieces: list[list | None] = []
         for text in texts:
-            if self.split is not None and any(s in text for s in self.special):
+            if not text.isascii() and self._is_strange(text):
+                pieces.append(None)
+            elif self.split is not None and any(s in text for s in self.special):
                 parts = self.split.split(text)
                 pieces.append([self.special[p] if i % 2 else self._chunks(p) for i, p in enumerate(parts)])
             else:
                 pieces.append([self._chunks(text)])
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known, met = self.known, set()
-        for text in pieces:
-            for piece in text:
-                if not isinstance(piece, int):
-                    met.update(piece)
-        for chunk in met.difference(known):
-            if chunk.isalpha():
-                self._word(chunk)
-            else:
-                known[chunk] = b"".join([self._word(w) for w in _WORDS.findall(chunk)])
-        look = known.__getitem__
-        return [
-            np.frombuffer(
-                b"".join(
-                    [
-                        np.array([p], dtype=self.kind).tobytes() if isinstance(p, int) else b"".join(map(look, p))
-                        for p in text
-                    ]
-                ),
-                dtype=self.kind,
-            )
-            for text in pieces
-        ]
+        self.known.forget()
+        look = self.known.__getitem__
+
+        def whole(text: str, made: list | None) -> bytes:
+            if made is None:
+                return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            return b"".join([self._bytes([p]) if isinstance(p, int) else b"".join(map(look, p)) for p in made])
+
+        return [np.frombuffer(whole(t, p), dtype=self.kind) for t, p in zip(texts, pieces, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -185,9 +221,7 @@ class ShardIndex:
         self.size = len(docs)
         self.queries = []
         for a, b in zip(bounds, bounds[1:], strict=False):
-            own = asked[a:b]
-            best = np.argpartition(own, -QUERY_TERMS)[-QUERY_TERMS:] if b - a > QUERY_TERMS else np.arange(b - a)
-            self.queries.append(place[a + best[own[best] > 0]])
+            self.queries.append(place[a:b][asked[a:b] > 0])
 
     def scores(self, seed: int) -> np.ndarray:
         query = self.queries[seed]

@@ -17,6 +17,7 @@ from docsearch.llm import line_join, pivot_simhash
 from docsearch.llm.pair_bpe import bpe_decode, bpe_encode
 from docsearch.llm.queries import BYTE_BPE, WORD_BPE
 from docsearch.llm.rank_profiles import Profiles, collected, held_out, identify, learn
+from docsearch.llm import retrieval_packing as packing
 from docsearch.llm.retrieval_packing import pack
 
 WORDS = "the of and cat dog river stone house green blue walk run talk tree sky".split()
@@ -293,6 +294,76 @@ def test_packing_of_odd_rows(spark):
     assert pack(no_docs(spark), WORD_BPE).count() == 0
 
 
+def test_word_encoder_equals_the_library_on_every_character():
+    """Also on those that tables of other Unicode versions class differently."""
+    library = Tokenizer.from_file(WORD_BPE)
+    library.no_truncation()
+    library.no_padding()
+    points = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    texts = [f"Word{c}x {c}{c} A1{c}b" for c in points]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice([rng.choice(points), *"aA 1\n\t'sé."]) for _ in range(60)) for _ in range(500)]
+    encoder = packing.WordEncoder(WORD_BPE)
+    found = [ids.tolist() for ids in encoder.encode(texts)]
+    assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_word_encoder_that_forgets(monkeypatch):
+    texts = [" ".join(f"w{i * j % 97},x{j}" for j in range(40)) for i in range(60)]
+    whole = packing.WordEncoder(WORD_BPE).encode(texts)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    encoder = packing.WordEncoder(WORD_BPE)
+    for text, want in zip(texts, whole, strict=True):
+        assert encoder.encode([text])[0].tolist() == want.tolist()
+    assert len(encoder.known) < 200
+
+
+def _bm25(docs, idf, mean_length, seed):
+    """The score of every document for all of a seed's terms, term by term."""
+    scores = []
+    for doc in docs:
+        total = 0.0
+        for term in sorted(set(docs[seed].tolist())):
+            often = doc.tolist().count(term)
+            saturation = often + packing.K1 * (1 - packing.B + packing.B * len(doc) / mean_length)
+            total += idf[term] * often * (packing.K1 + 1) / saturation
+        scores.append(total)
+    return scores
+
+
+def test_windows_are_filled_with_the_best_unused_neighbours():
+    """Documents of 60 to 120 distinct terms each, so that a seed asks with all of them."""
+    rng = np.random.default_rng(12)
+    odds = 1 / np.arange(1, 401)
+    docs = [rng.choice(400, rng.integers(60, 200), p=odds / odds.sum()).astype("<u2") for _ in range(80)]
+    held = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=400)
+    idf = np.maximum(0.0, np.log((len(docs) - held + 0.5) / (held + 0.5)))
+    mean = float(np.mean([len(d) for d in docs]))
+    index = packing.ShardIndex(docs, idf, mean)
+    for seed in range(len(docs)):
+        others = np.arange(len(docs)) != seed
+        assert np.allclose(index.scores(seed)[others], np.array(_bm25(docs, idf, mean, seed))[others])
+
+    window = 700
+    packer = packing.Packer(window)
+    windows = [*packing.pack_shard(packer, docs, 0, idf, mean), *packer.rest()]
+    pieces = [piece for sequence in windows for piece in sequence]
+    order = [doc for doc, start, _ in pieces if start == 0]
+    assert sorted(order) == list(range(len(docs)))
+    unused, fill, scores = set(order), 0, None
+    for seed in order:
+        if scores is not None:
+            best = max(scores[d] for d in unused)
+            assert seed == min(unused) if best <= 0 else np.isclose(scores[seed], best)
+        unused.remove(seed)
+        opens = fill == 0 or fill + len(docs[seed]) > window
+        fill = (fill + len(docs[seed])) % window
+        if fill == 0:
+            scores = None
+        elif opens:
+            scores = _bm25(docs, idf, mean, seed)
+
+
 def test_packing_brings_neighbours_together(spark):
     rng = random.Random(12)
     topics = [[f"{a}{b}" for b in "bcdfghjklm"] for a in ("qua", "zor", "vix", "wuj")]
