@@ -25,6 +25,11 @@ w AS (SELECT DISTINCT word FROM (SELECT unnest({tok("text")}) AS word FROM bench
       WHERE regexp_full_match(word, '[a-z]+'))"""
 
 
+def within(edits: int) -> str:
+    """Words of very different length need not be compared."""
+    return f"CASE WHEN abs(strlen(word) - strlen(plain)) <= {edits} THEN levenshtein(word, plain) <= {edits} ELSE false END"
+
+
 def text_dictionary(spark, folder) -> tuple[IndexSpace, TermDictionary]:
     registry = Registry([TEXTS])
     path = fresh_path(spark, "dictionary-index")
@@ -42,7 +47,7 @@ def asked_words(spark, folder):
     "fuzzy_batch",
     f"""WITH {ASKED}
        SELECT word, term, CAST(levenshtein(word, plain) AS INTEGER) AS edits, df FROM w, v
-       WHERE levenshtein(word, plain) <= 2""",
+       WHERE {within(2)}""",
 )
 def fuzzy_batch(spark, folder):
     """The terms within two edits of each word, and how many documents hold them."""
@@ -54,7 +59,7 @@ def fuzzy_batch(spark, folder):
 
 @query(
     "fuzzy_documents",
-    f"""WITH {ASKED}, n AS (SELECT word, term FROM w, v WHERE levenshtein(word, plain) <= 1),
+    f"""WITH {ASKED}, n AS (SELECT word, term FROM w, v WHERE {within(1)}),
        h AS (SELECT word, doc_id, count(*) AS n_terms FROM n JOIN d USING (term) GROUP BY word, doc_id)
        SELECT word, count(*) AS n_docs, CAST(sum(n_terms) AS BIGINT) AS n_terms FROM h GROUP BY word""",
 )
