@@ -5,14 +5,13 @@ dictionary a question. A ``TermDictionary`` holds, beside an index, each term un
 can look up:
 
 ===============  =========================================================================
-``deletions``    what is left of a term's first characters when some of them are deleted
-``grams``        its runs of one to three characters, with a mark before and after the term
+``pieces``       a term cut into ``distance`` + 1 pieces, each with its number and the term's length
+``grams``        its runs of three characters, with a mark before and marks after the term
 ``gram_counts``  how many terms hold a run
 ===============  =========================================================================
 
-Two words within ``distance`` edits have in common what is left of their first PREFIX characters after
-``distance`` deletions each, so no near term is missed, and a term has a bounded number of keys however
-long it is. All tables are partitioned by a hash of the key and sorted by it, so that a set of questions
+At most ``distance`` edits leave one of the pieces as it is, at most so many characters from its place, so
+no near term is missed, and a term has ``distance`` + 1 keys however long it is. All tables are partitioned by a hash of the key and sorted by it, so that a set of questions
 small enough to be sent to all tasks also says which files are read. What the keys bring together is
 then verified.
 """
@@ -28,26 +27,49 @@ from docsearch.operators.postings import DOC
 from docsearch.operators.sizes import broadcast_if_small
 from docsearch.operators.space import IndexSpace
 from docsearch.sources.index_tables import BUCKETS, bucket_of
+from docsearch.sources.shared import fresh_path
 
-#: deletions are made in so many first characters; more make fewer chance meetings and more keys
-PREFIX = 8
-#: characters of the longest runs
+#: characters of the runs
 GRAM = 3
 #: stand before and after a term, so that runs say where it begins and ends; no term holds them
 START, END = "\u0002", "\u0003"
 NO_TEXTS = "CAST(array() AS ARRAY<STRING>)"
 
 
-def _with_deletions(words: DataFrame, word: str, distance: int) -> DataFrame:
-    """``words`` once for each ``key``: the first PREFIX characters with up to ``distance`` of them deleted."""
-    made = words.withColumn("keys", F.array(F.substring(word, 1, PREFIX)))
-    shorter = (
-        f"transform(keys, k -> IF(k = '', {NO_TEXTS}, transform(sequence(1, char_length(k)),"
-        " i -> concat(substring(k, 1, i - 1), substring(k, i + 1)))))"
-    )
-    for _ in range(distance):
-        made = made.withColumn("keys", F.expr(f"array_distinct(concat(keys, flatten({shorter})))"))
-    return made.withColumn("key", F.explode("keys")).drop("keys")
+def _piece(text: str, start: str, size: str) -> str:
+    return f"substring({text}, {start} + 1, {size})"
+
+
+def _piece_bounds(length: str, number: str, pieces: int) -> tuple[str, str]:
+    """Where piece ``number`` of a term of ``length`` characters begins, and how long it is."""
+    start, end = (f"int(({number}) * {length} div {pieces})" for number in (number, f"{number} + 1"))
+    return start, f"{end} - {start}"
+
+
+def _term_pieces(distance: int) -> Column:
+    """A term in ``distance`` + 1 pieces, each with the length of the term and its number."""
+    keys = []
+    for i in range(distance + 1):
+        start, size = _piece_bounds("char_length(term)", str(i), distance + 1)
+        keys.append(f"concat_ws(':', char_length(term), {i}, {_piece('term', start, size)})")
+    return F.expr(f"array({', '.join(keys)})")
+
+
+def _with_pieces(words: DataFrame, distance: int, most: int) -> DataFrame:
+    """``words`` once for each ``key`` under which a term within ``most`` edits may stand. Before a piece
+    without edits there are as many edits as it is shifted by, at least, and after it as many as then are
+    left of the difference in length."""
+    shifts = [(more, by) for more in range(-most, most + 1) for by in range(-most, most + 1) if abs(by) + abs(by + more) <= most]
+    shifted = words.withColumn("size", F.char_length("word"))
+    # the term has ``more`` characters more, and its piece stands in the word ``by`` characters later
+    tried = F.array(*(F.struct(F.lit(more).alias("more"), F.lit(by).alias("by")) for more, by in shifts))
+    shifted = shifted.withColumn("tried", F.explode(tried)).withColumn("number", F.explode(F.array(*map(F.lit, range(distance + 1)))))
+    shifted = shifted.withColumn("of", F.expr("size + tried.more")).where("of > 0")
+    start, size = _piece_bounds("of", "number", distance + 1)
+    shifted = shifted.withColumn("start", F.expr(f"{start} + tried.by")).withColumn("long", F.expr(size))
+    shifted = shifted.where("start >= 0 and start + long <= size")
+    key = F.expr(f"concat_ws(':', of, number, {_piece('word', 'start', 'long')})")
+    return shifted.select(*words.columns, key.alias("key")).distinct()
 
 
 def _runs(text: str, size: int) -> str:
@@ -57,19 +79,11 @@ def _runs(text: str, size: int) -> str:
     )
 
 
-def _term_grams(term: Column) -> Column:
-    """All runs of 1 to GRAM characters of a marked term."""
-    marked = F.array(F.concat(F.lit(START), term, F.lit(END)))
-    return F.array_distinct(F.flatten(F.concat(*(F.transform(marked, _run_of(k)) for k in range(1, GRAM + 1)))))
-
-
-def _run_of(size: int):
-    def runs(text: Column) -> Column:
-        places = F.sequence(F.lit(1), F.char_length(text) - (size - 1))
-        found = F.transform(places, lambda i: F.substring(text, i, size))
-        return F.when(F.char_length(text) >= size, found).otherwise(F.expr(NO_TEXTS))
-
-    return runs
+def _term_grams(term: str) -> Column:
+    """All runs of GRAM characters of a marked term. After the term there are as many marks as let a run
+    begin at each of its characters and at the first mark, so that shorter runs are beginnings of these."""
+    marked = f"concat('{START}', {term}, '{END * GRAM}')"
+    return F.expr(f"array_distinct({_runs(marked, GRAM)})")
 
 
 def _pattern_grams() -> Column:
@@ -102,8 +116,8 @@ class TermDictionary:
         terms = space.term_stats(F.lit(True), ()).groupBy("field", "term").agg(F.sum("df").alias("df"))
         terms.where("df > 0").write.parquet(f"{path}/terms")
         held = space.spark.read.parquet(f"{path}/terms").select("field", "term")
-        found._write("deletions", _with_deletions(held, "term", distance))
-        found._write("grams", held.withColumn("key", F.explode(_term_grams(F.col("term")))))
+        found._write("pieces", held.withColumn("key", F.explode(_term_pieces(distance))))
+        found._write("grams", held.withColumn("key", F.explode(_term_grams("term"))))
         counts = found._read("grams").groupBy("field", "key").agg(F.count(F.lit(1)).alias("terms"))
         found._write("gram_counts", counts)
         return found
@@ -134,34 +148,47 @@ class TermDictionary:
         if not 0 <= most <= self.distance:
             raise ValueError(f"the dictionary holds keys for up to {self.distance} edits, not {most}")
         asked = words.select("word").where("word is not null").distinct()
-        met = self._look_up("deletions", field, _with_deletions(asked, "word", most)).select("word", "term")
+        met = self._look_up("pieces", field, _with_pieces(asked, self.distance, most)).select("word", "term")
+        near = met.withColumn("edits", F.levenshtein("word", "term", most)).where(F.col("edits").between(0, most))
         # a pair meets under several keys
-        edits = F.levenshtein("word", "term", most)
-        return met.distinct().withColumn("edits", edits).where(F.col("edits").between(0, most))
+        return near.distinct()
 
     def fitting(self, patterns: DataFrame, field: str) -> DataFrame:
         """``(pattern, term)``: the terms of ``field`` that each ``pattern`` fits, with ``*`` for any run of
         characters and ``?`` for one.
 
-        A pattern looks up the one of its runs that the fewest terms hold. One without characters of its
-        own looks up the mark that all terms hold. A null pattern fits nothing; repeated ones are one.
+        A pattern looks up the one of its runs that the fewest terms hold; a run shorter than those of the
+        terms stands for all that begin with it. One without characters of its own looks up the mark that
+        all terms hold. A null pattern fits nothing; repeated ones are one.
         """
         asked = patterns.select("pattern").where("pattern is not null").distinct()
-        keyed = asked.withColumn("key", F.explode(_pattern_grams()))
-        counts = self._look_up("gram_counts", field, keyed.select("key").distinct()).select("key", "terms")
+        wanted = asked.withColumn("run", F.explode(_pattern_grams()))
+        runs = broadcast_if_small(wanted.select("run").distinct())
+        held = self._read("gram_counts").where(F.col("field") == field).select("key", "terms")
+        counts = held.withColumn("run", F.explode(F.array(*(F.substring("key", 1, k) for k in range(1, GRAM + 1)))))
+        counts = counts.distinct().join(runs, "run", "left_semi")
         # a run that no term holds stands first, and brings nothing
-        counted = keyed.join(broadcast_if_small(counts), "key", "left")
-        rarest = F.min(F.struct(F.coalesce("terms", F.lit(0)).alias("terms"), "key"))
+        of_runs = counts.groupBy("run").agg(F.sum("terms").alias("terms"))
+        counted = wanted.join(broadcast_if_small(of_runs), "run", "left")
+        rarest = F.min(F.struct(F.coalesce("terms", F.lit(0)).alias("terms"), "run"))
         chosen = counted.groupBy("pattern").agg(rarest.alias("rarest"))
-        chosen = chosen.where("rarest.terms > 0").select("pattern", F.col("rarest.key").alias("key"), _like().alias("like"))
-        return self._look_up("grams", field, chosen).where("term like like").select("pattern", "term")
+        chosen = chosen.where("rarest.terms > 0").select("pattern", F.col("rarest.run").alias("run"), _like().alias("like"))
+        keyed = chosen.join(broadcast_if_small(counts.select("run", "key")), "run").drop("run")
+        found = self._look_up("grams", field, keyed).where("term like like").select("pattern", "term")
+        # a term may hold several runs that begin alike
+        return found.distinct()
 
 
 def holding(space: IndexSpace, field: str, found: DataFrame, by: str) -> DataFrame:
     """``(by, index, type, id, n_terms)``: the documents that hold in ``field`` a ``term`` found for a word
     or pattern, and how many such terms they hold. Only the buckets of these terms are read."""
-    pairs = found.select(by, "term").distinct()
+    # kept, as looking them up again for each use would cost more than to read them
+    path = fresh_path(space.spark, "found-terms")
+    found.select(by, "term").distinct().write.parquet(path)
+    pairs = space.spark.read.schema(f"{by} string, term string").parquet(path)
     rows = space.vocabulary_rows(field, broadcast_if_small(pairs.select("term").distinct()))
-    # a document kept in several rows holds a term once
-    held = rows.select(*DOC, "term").distinct().join(broadcast_if_small(pairs), "term")
+    # a document kept in several rows holds a term once; all others have one posting for it
+    whole = rows.where("part = 0").select(*DOC, "term")
+    split = rows.where("part <> 0").select(*DOC, "term").distinct()
+    held = whole.unionByName(split).join(broadcast_if_small(pairs), "term")
     return held.groupBy(by, *DOC).agg(F.count(F.lit(1)).alias("n_terms"))

@@ -124,3 +124,18 @@ def test_an_empty_index_and_no_questions(spark, built):
     assert dictionary.similar(column(spark, "word", ["a"]), "text").count() == 0
     assert dictionary.fitting(column(spark, "pattern", ["*"]), "text").count() == 0
     assert built[1].fitting(column(spark, "pattern", []), "text").count() == 0
+
+
+def test_a_term_has_few_keys(spark, built):
+    """A key for each piece, and one for each character and two."""
+    terms = {r.term for r in spark.read.parquet(f"{built[1].path}/terms").where("field = 'text'").collect()}
+    held = {name: built[1]._read(name).where("field = 'text'").groupBy("term").count().collect() for name in ("pieces", "grams")}
+    assert {r.term for r in held["pieces"]} == {r.term for r in held["grams"]} == terms
+    assert all(r["count"] == 3 for r in held["pieces"])
+    assert all(r["count"] <= len(r.term) + 2 for r in held["grams"])
+
+
+def test_found_terms_are_not_looked_up_again_for_their_documents(spark, built):
+    space, dictionary = built
+    found = holding(space, "text", dictionary.similar(column(spark, "word", ["abé"]), "text"), "word")
+    assert "levenshtein" not in found._jdf.queryExecution().toString().lower()
