@@ -187,8 +187,6 @@ def holding(space: IndexSpace, field: str, found: DataFrame, by: str) -> DataFra
     found.select(by, "term").distinct().write.parquet(path)
     pairs = space.spark.read.schema(f"{by} string, term string").parquet(path)
     rows = space.vocabulary_rows(field, broadcast_if_small(pairs.select("term").distinct()))
-    # a document kept in several rows holds a term once; all others have one posting for it
-    whole = rows.where("part = 0").select(*DOC, "term")
-    split = rows.where("part <> 0").select(*DOC, "term").distinct()
-    held = whole.unionByName(split).join(broadcast_if_small(pairs), "term")
+    # a document kept in several rows holds a term once; dealt out by document, rows are shuffled only here
+    held = rows.select(*DOC, "term").repartition(*DOC).distinct().join(broadcast_if_small(pairs), "term")
     return held.groupBy(by, *DOC).agg(F.count(F.lit(1)).alias("n_terms"))

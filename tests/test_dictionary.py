@@ -139,3 +139,16 @@ def test_found_terms_are_not_looked_up_again_for_their_documents(spark, built):
     space, dictionary = built
     found = holding(space, "text", dictionary.similar(column(spark, "word", ["abé"]), "text"), "word")
     assert "levenshtein" not in found._jdf.queryExecution().toString().lower()
+
+
+def test_a_document_given_twice_holds_a_term_once_and_is_shuffled_once(spark):
+    table = spark.createDataFrame([(1, "word ward"), (1, "word ward"), (2, "word")], "id long, text string")
+    path = fresh_path(spark, "t")
+    bulk_index(REGISTRY, {"test.Item": table}, path, buckets=2)
+    space = IndexSpace.over(spark, path, REGISTRY)
+    near = spark.createDataFrame([("word", "word"), ("word", "ward")], "word string, term string")
+    found = holding(space, "text", near, "word")
+    # before the plan has run it is printed once
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert len([line for line in plan if "Exchange hashpartitioning" in line and "id#" in line]) == 1
+    assert sorted((r.id, r.n_terms) for r in found.collect()) == [("1", 2), ("2", 1)]
