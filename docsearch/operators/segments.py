@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from docsearch.operators.documents import Tables, as_json, build_documents, is_first
-from docsearch.operators.maintain import bulk_index, document_postings, newest, reindex_owners, split_rejects
-from docsearch.operators.postings import DOC, SearchField, index_stats, postings, stored_term_stats
+from docsearch.operators.maintain import bulk_index, document_blocks, newest, reindex_owners, split_rejects
+from docsearch.operators.postings import DOC, SearchField, block_term_stats, index_stats, postings, stored_term_stats
 from docsearch.operators.sizes import BROADCAST_ROWS
 from docsearch.operators.space import IndexSpace, union
 from docsearch.plans.mapping import DocumentMapping, Registry
@@ -35,6 +35,9 @@ from docsearch.sources.index_tables import (
     BUCKETS,
     SCHEMAS,
     bucket_of,
+    gathered_rows,
+    opened,
+    read_blocks,
     read_index_table,
     write_table,
 )
@@ -103,7 +106,8 @@ class SegmentSpace(IndexSpace):
         return union(parts).distinct() if parts else self._nothing("fields")
 
     def _nothing(self, name: str) -> DataFrame:
-        return self.spark.createDataFrame([], SCHEMAS[name])
+        nothing = self.spark.createDataFrame([], SCHEMAS[name])
+        return opened(nothing) if name == "postings" else nothing
 
     def _part(self, rows: list[Row], name: str) -> DataFrame:
         """One table of one segment, with its live partitions only."""
@@ -224,10 +228,10 @@ class SegmentedIndex:
         write_table(as_json(bad), at, "rejects")
         fresh = self.spark.read.parquet(f"{at}/typed/{mapping.type_name}")
         write_table(as_json(fresh).withColumn("version", F.lit(version).cast("long")), at, "docs")
-        rows = document_postings(self.registry, tables, mapping, fresh)
+        blocks = document_blocks(self.registry, tables, mapping, fresh, self.space().buckets())
         keys = fresh.select(*DOC)
         named = keys if removed is None else keys.union(removed.select(*DOC))
-        self._write_change(at, rows, named)
+        self._write_change(at, blocks, named)
 
     def put_owners(
         self, tables: Tables, entity: str | DocumentMapping, owners: DataFrame, children: dict[str, str]
@@ -249,7 +253,7 @@ class SegmentedIndex:
     def _fresh(self) -> str:
         return f"{self.path}/segments/{uuid.uuid4().hex}"
 
-    def _write_change(self, at: str, rows: DataFrame | None, named: DataFrame) -> None:
+    def _write_change(self, at: str, blocks: DataFrame | None, named: DataFrame) -> None:
         """The tables of a segment whose documents, if it has any, are written already."""
         version, live = live_partitions(self.spark, self.path)
         spark = self.spark
@@ -259,11 +263,11 @@ class SegmentedIndex:
         gone = read_index_table(spark, at, "gone")
         out = {(r["index"], r["type"]): r["n"] for r in gone.groupBy("index", "type").agg(F.count("*").alias("n")).collect()}
         more, terms, counts = {}, [], []
-        if rows is not None:
+        if blocks is not None:
             write_table(space._fields().coalesce(1), at, "fields")
-            bucket = bucket_of(F.col("term"), buckets)
-            write_table(rows.withColumn("len", F.col("len").cast("int")).withColumn("bucket", bucket), at, "postings")
-            terms.append(stored_term_stats(read_index_table(spark, at, "postings")))
+            write_table(blocks, at, "postings", gathered=False)
+            split = not read_index_table(spark, at, "docs").where(F.col("part") != 0).isEmpty()
+            terms.append(block_term_stats(read_blocks(spark, at), split))
             counts.append(index_stats(read_index_table(spark, at, "docs")))
             more = {(r["index"], r["type"]): r["num_docs"] for r in counts[0].collect()}
         held = {r["type"] for r in live if r["docs"]}
@@ -333,8 +337,8 @@ class SegmentedIndex:
         rest = [r for r in live if r["number"] not in numbers]
         own = SegmentSpace(spark, self.path, self.registry, live=chosen)
         buckets = own.buckets()
-        for name in ("docs", "postings"):
-            write_table(own._table(name), at, name)
+        write_table(own._table("docs"), at, "docs")
+        write_table(gathered_rows(own._table("postings")), at, "postings", gathered=False)
         # what lies before the merged segments may still hold documents they take out
         before = any(r["number"] < min(numbers) for r in rest)
         gone = own._table("gone").distinct()
