@@ -15,6 +15,7 @@ from docsearch.llm.hilbert import curve_index, hilbert_shards, write_shards
 from docsearch.llm.link_graph import DAMPING, Rule, host_links, page_verdicts, spread_ranks
 from docsearch.llm.queries import URL_RULES
 from docsearch.llm.registry import QUERIES, SQL
+from docsearch.llm.tables import SHUFFLE_CLEANUP, written
 from docsearch.sources.shared import fresh_path
 
 
@@ -209,3 +210,15 @@ def test_pipeline_drops_what_its_stages_reject(spark, folder):
     assert all(r["n_chars"] == len(r["text"]) for r in rest)
     pieces = corpus_pipeline.run(spark, folder).collect()
     assert {r["doc_id"] for r in pieces} <= {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {f for f in files.split(",") if f.endswith(".data")}
+
+    before, setting = shuffles(), spark.conf.get(SHUFFLE_CLEANUP)
+    found = written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "shuffled")
+    assert not shuffles() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert rows(found, "*") == [(k, 100) for k in range(10)]
