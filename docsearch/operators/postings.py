@@ -33,7 +33,7 @@ DOC = ("index", "type", "id")
 ROW = (*DOC, "part")
 ALL_ANALYZER = "standard"
 #: tokens whose terms are counted together, and rows of one batch of postings
-TOKENS_AT_ONCE, POSTINGS_AT_ONCE = 1_000_000, 50_000
+TOKENS_AT_ONCE, POSTINGS_AT_ONCE = 4_000_000, 50_000
 POSTING = (
     "index string, type string, id string, part long, field string, term string, tf double, len int,"
     " boost double, positions array<int>"
@@ -244,7 +244,7 @@ def _made(documents: DataFrame, fields: Sequence[SearchField], with_all: bool, m
         runs.append((ALL, [(names.index(name), f.boost) for name, f in included], 1.0))
 
     def each(batches):
-        for batch in batches:
+        for batch in _gathered(batches):
             for piece in _slices(batch):
                 for path, columns, boost in runs:
                     yield from make(piece, path, columns, boost)
@@ -252,11 +252,33 @@ def _made(documents: DataFrame, fields: Sequence[SearchField], with_all: bool, m
     return analysed.mapInArrow(each, schema)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows with about TOKENS_AT_ONCE tokens; a row is never cut."""
+def _token_ends(batch: pa.RecordBatch) -> np.ndarray:
+    """How many tokens the rows of ``batch`` up to each one hold."""
     ends = np.zeros(batch.num_rows, np.int64)
     for column in batch.columns[len(ROW) :]:
         ends += np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    return ends
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``, those that follow each other put together up to about TOKENS_AT_ONCE tokens: rows
+    of short texts come in batches of few tokens, and the fewer are counted together, the fewer
+    postings of a term meet."""
+    held, tokens = [], 0
+    for batch in batches:
+        more = int(_token_ends(batch)[-1]) if batch.num_rows else 0
+        if held and tokens + more > TOKENS_AT_ONCE:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, tokens = [], 0
+        held.append(batch)
+        tokens += more
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with about TOKENS_AT_ONCE tokens; a row is never cut."""
+    ends = _token_ends(batch)
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0

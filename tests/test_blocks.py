@@ -80,3 +80,17 @@ def test_documents_in_several_rows_keep_their_whole_lengths(spark):
     want = collected(whole_lengths(postings(documents, fields, True)))
     assert collected(document_postings(registry, loaded, owner, documents)) == want
     assert collected(opened(document_blocks(registry, loaded, owner, documents, 4))) == want
+
+
+def test_rows_of_small_batches_are_counted_together(spark):
+    registry, loaded = Registry([ITEM]), {"test.Item": items(spark)}
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "5")
+    try:
+        blocks = document_blocks(registry, loaded, ITEM, build_documents(registry, loaded, ITEM), 4)
+        held = {(r.field, r.term): len(r.ids) for r in blocks.collect()}
+        assert blocks.count() == len(held)
+    finally:
+        spark.conf.set(name, before)
+    assert held["title", "one"] == 40 and held["title", "w3"] == 8
