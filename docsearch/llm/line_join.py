@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docsearch.llm.components import components
 from docsearch.llm.near_copies import ALIKE, SHINGLE, alike_pairs, cell_links, small
-from docsearch.llm.tables import free_name, written
+from docsearch.llm.tables import free_name, step, written
 
 #: lines at this edit distance or less are near copies
 DISTANCE = 2
@@ -28,6 +28,7 @@ UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer
 
 # The characters that the pattern \s stands for, as SQL writes them.
 BLANKS = r" \t\n\u000B\u000C\r"
+ODD_BLANKS = (r"\t", r"\n", r"\u000B", r"\u000C", r"\r")
 # ASCII letters whose counts tell unlike lines apart; any of them give the same result.
 LETTERS = "etaonishrldugfwb"
 NIBBLE = 4
@@ -150,10 +151,10 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, least: int = MIN_CHARS)
 
 def _keyed(lines: DataFrame, distance: int) -> DataFrame:
     """``h, keys``: distinct lines with their own keys first and then the others."""
-    own = _own_keys("line", "line_chars", distance)
-    other = _other_keys("line", "line_chars", distance)
-    keys = F.expr(f"array({', '.join(own + other)})").alias("keys")
-    return lines.select("h", keys).groupBy("h").agg(F.first("keys").alias("keys"))
+    keys = _own_keys("line", "line_chars", distance) + _other_keys("line", "line_chars", distance)
+    # columns of their own, not an array, let the aggregate hash and not sort
+    distinct = lines.select("h", *(F.expr(key).alias(f"k{i}") for i, key in enumerate(keys))).distinct()
+    return distinct.select("h", F.array(*(f"k{i}" for i in range(len(keys)))).alias("keys"))
 
 
 def _meetings(keyed: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
@@ -182,11 +183,15 @@ def _word_runs(line: str) -> str:
         f"IF(octet_length({line}) > char_length({line}) AND {line} RLIKE r'{UNSPACED}',"
         f" regexp_replace({line}, r'({UNSPACED})', ' $1 '), {line})"
     )
-    words = rf"split(trim(BOTH '{BLANKS}' FROM lower({spaced})), r'\s+')"
+    text = f"trim(BOTH '{BLANKS}' FROM lower({spaced}))"
+    # one blank between words, as nearly everywhere, needs no pattern
+    odd = " OR ".join(f"contains(t, '{blank}')" for blank in ("  ", *ODD_BLANKS))
+    words = rf"IF({odd}, split(t, r'\s+'), split(t, ' '))"
     run = ", ".join(f"w[i + {k}]" for k in range(SHINGLE))
-    # the words are made once, inside an array of one element
+    # text and words are made once, inside an array of one element; words are hashed once
+    hashed = f"transform(array({text}), t -> transform({words}, word -> xxhash64(word)))[0]"
     runs = f"IF(size(w) < {SHINGLE}, array(), transform(sequence(0, size(w) - {SHINGLE}), i -> xxhash64({run})))"
-    return f"transform(array({words}), w -> sort_array(array_distinct({runs})))[0]"
+    return f"transform(array({hashed}), w -> sort_array(array_distinct({runs})))[0]"
 
 
 def _parities(runs: str) -> str:
@@ -264,14 +269,14 @@ def _run_keys(lines: DataFrame) -> DataFrame:
     return written(stay.union(places), "line-met")
 
 
-def word_links(lines: DataFrame) -> DataFrame:
+def word_links(lines: DataFrame, hashes: DataFrame) -> DataFrame:
     """``a, b``: links between two-hash names of distinct lines alike in ALIKE of their word runs.
 
     Of ``n`` runs in order, all but ALIKE * n and one more are a line's keys: lines so alike share one
     of them at least, so none is missed. Sets and sketches are made only for lines that share a key.
-    Components are those of all links.
+    Components are those of all links. ``hashes`` has both hashes, ``h`` and ``h2``, of the lines.
     """
-    keys = _run_keys(lines)
+    keys = step(lambda: _run_keys(lines), "line-met")
     keys = written(keys.join(small(_shared(keys)), F.col("key") == F.col("met"), "left_semi"), "line-met")
     wanted = written(keys.select(F.col("h").alias("want")).distinct(), "line-wanted")
     sets = written(_run_sets(lines, wanted).select(F.col("h").alias("name"), F.col("runs").alias("shingles")), "line-sets")
@@ -291,7 +296,7 @@ def word_links(lines: DataFrame) -> DataFrame:
         return alike_pairs(pairs, sets.join(ends(pairs), F.col("name") == F.col("want"), "left_semi")).distinct()
 
     found = written(cell_links(written(distinct, "line-runs"), _runs_alike, verified), "line-links")
-    names = lines.join(ends(found), F.col("h") == F.col("want"), "left_semi")
+    names = hashes.join(ends(found), F.col("h") == F.col("want"), "left_semi")
     names = written(names.select("h", _two_hash_name().alias("name")).distinct(), "line-names")
 
     def side(which: str) -> DataFrame:
@@ -336,16 +341,30 @@ def edit_links(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def line_links(
-    docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE, least: int = MIN_CHARS
+    docs: DataFrame,
+    hashes: DataFrame,
+    id_col: str,
+    text_col: str,
+    distance: int = DISTANCE,
+    least: int = MIN_CHARS,
 ) -> DataFrame:
-    """``a, b``: the two-hash names of distinct lines that are near copies by edits or by words."""
+    """``a, b``: the two-hash names of distinct lines that are near copies by edits or by words.
+
+    ``hashes`` has the hashes ``h`` and ``h2`` of all lines.
+    """
     lines = _lines(docs, id_col, text_col, max(least, MIN_CHARS))
-    links = edit_links(lines, distance).union(word_links(lines))
+    links = step(lambda: edit_links(lines, distance), "line-links")
+    links = links.union(step(lambda: word_links(lines, hashes), "line-links"))
     if least >= MIN_CHARS:
         return links
     # a short line and one of MIN_CHARS characters may be one edit apart
     short = _lines(docs, id_col, text_col, max(least, SHORT_CHARS)).where(F.col("line_chars") <= MIN_CHARS)
-    return links.union(edit_links(short, min(distance, SHORT_DISTANCE)))
+
+    def short_links() -> DataFrame:
+        distinct = written(short.select("h", "h2", "line", "line_chars").distinct(), "line-short")
+        return edit_links(distinct, min(distance, SHORT_DISTANCE))
+
+    return links.union(step(short_links, "line-links"))
 
 
 def line_classes(
@@ -369,8 +388,12 @@ def line_classes(
     Only distinct lines meet, and only hashes are shuffled: a text is read again for those lines
     that share a segment with another, and compared if it has about the same letters.
     """
-    links = components(line_links(docs, id_col, text_col, distance, least), "a", "b")
     lines = written(_lines(docs, id_col, text_col, least).select("id", "line_no", "h", "h2"), "lines")
+
+    def joined() -> DataFrame:
+        return components(line_links(docs, lines, id_col, text_col, distance, least), "a", "b")
+
+    links = step(joined, "line-components")
     first = lines.groupBy("h", "h2").agg(F.min(F.struct("id", "line_no")).alias("first"))
     named = first.withColumn("name", _two_hash_name())
     linked = named.join(links, F.col("name") == F.col("node"))

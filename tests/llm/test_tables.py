@@ -1,6 +1,7 @@
 """Hilbert shards, link graph, the registered queries and the pipeline."""
 
 import itertools
+import os
 import random
 
 import duckdb
@@ -15,8 +16,9 @@ from docsearch.llm.hilbert import curve_index, hilbert_shards, write_shards
 from docsearch.llm.link_graph import DAMPING, Rule, host_links, page_verdicts, spread_ranks
 from docsearch.llm.queries import URL_RULES
 from docsearch.llm.registry import QUERIES, SQL
-from docsearch.llm.tables import SHUFFLE_CLEANUP, written
-from docsearch.sources.shared import fresh_path
+from docsearch.llm.line_join import line_classes
+from docsearch.llm.tables import SHUFFLE_CLEANUP, step, written
+from docsearch.sources.shared import fresh_path, shared_folder
 
 
 @pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2), (1, 5)])
@@ -222,3 +224,29 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
     assert not shuffles() - before
     assert spark.conf.get(SHUFFLE_CLEANUP) == setting
     assert rows(found, "*") == [(k, 100) for k in range(10)]
+
+
+def _left(spark, before=()):
+    return sorted(name.rpartition("-")[0] for name in set(os.listdir(shared_folder(spark))).difference(before))
+
+
+def test_a_step_leaves_only_its_result(spark):
+    def inner():
+        return written(spark.range(9), "passing").where("id > 4")
+
+    def outer():
+        return step(inner, "within").where("id > 6")
+
+    before = os.listdir(shared_folder(spark))
+    found = step(outer, "found")
+    assert _left(spark, before) == ["found"]
+    assert rows(found, "id") == [(7,), (8,)]
+
+
+def test_line_classes_leave_no_tables_of_their_steps(spark):
+    line = "one line of so many words that it takes part in all of the joins"
+    docs = spark.createDataFrame([(1, line), (2, line + "s"), (3, "short one of all")], "doc_id long, text string")
+    before = os.listdir(shared_folder(spark))
+    found = line_classes(docs, least=1)
+    assert _left(spark, before) == ["line-components", "lines"]
+    assert rows(found, "doc_id", "class_id") == [(1, 1), (2, 1), (3, 3)]
