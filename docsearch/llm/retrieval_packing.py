@@ -37,6 +37,7 @@ SEQUENCE_SHIFT = 40
 # What the word scheme takes as one word, after lower-casing.
 _WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 _ASCII_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{SPACE}a-z0-9]+")
+_MARKS = re.compile(r"(?:[^\w ]|_)[.,] ")
 _BREAKS = str.maketrans("\t\n\r", "   ")
 
 
@@ -115,9 +116,11 @@ class WordEncoder:
     def _chunks(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.translate(_BREAKS).lower().split(" ") if "\t" in text or "\r" in text else (
-            text.replace("\n", " ").lower().split(" ")
-        )
+        text = (text.translate(_BREAKS) if "\t" in text or "\r" in text else text.replace("\n", " ")).lower()
+        # a mark between a letter or digit and a blank is a word of its own; without it, words are met again more often
+        if not _MARKS.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces: list[list | None] = []

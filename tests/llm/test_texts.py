@@ -308,6 +308,17 @@ def test_word_encoder_equals_the_library_on_every_character():
     assert found == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_word_encoder_remembers_words_without_their_marks():
+    texts = ["stone, river. café. tree_, b", "a.. b., c ,. d", ". , x", "end.", "Σ. Σ, a\t, b.\nc", "1, 2. ½, 三. z"]
+    encoder = packing.WordEncoder(WORD_BPE)
+    for text in texts:
+        found = encoder.encode([text])[0].tolist()
+        assert found == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.encode(["stone, café. stone."])
+    assert {"stone", "café", ",", "."} <= set(encoder.known)
+    assert "café." not in encoder.known
+
+
 def test_word_encoder_that_forgets(monkeypatch):
     texts = [" ".join(f"w{i * j % 97},x{j}" for j in range(40)) for i in range(60)]
     whole = packing.WordEncoder(WORD_BPE).encode(texts)
