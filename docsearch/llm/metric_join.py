@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from docsearch.llm.components import components
-from docsearch.llm.tables import finite_vector, written
+from docsearch.llm.tables import finite_vector, step, written
+from docsearch.operators.sizes import broadcast_if_small
 
 MIN_COSINE = 0.93
 #: a label gets a pivot for so many vectors, and no more than MAX_PIVOTS
@@ -18,13 +24,16 @@ MAX_PIVOTS = 64
 #: rows of either side in one task's block of a cell
 BLOCK_ROWS = 4096
 CHUNK = 256
+#: rows that are brought together at once, unless there are more vectors than that
+ROUND_ROWS = 1_000_000
 #: what rounding may add to a distance
 SLACK = 1e-6
+CLASS = ["space", "id", "copies", "vector"]
 
 
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
+    return whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(whole), -1)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -33,43 +42,38 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _cells(radius: float):
-    """Home cell of each vector, and a copy for every other cell whose border is near enough.
+def _cells(radius: float, pivots: dict[str, np.ndarray]):
+    """Home cell of each vector, and all cells it belongs to: its own and those whose border is near enough.
 
     x lies in the cell of its nearest pivot p. If y of the cell of q is within ``radius`` of x,
     d(x, q) <= d(y, q) + radius <= d(y, p) + radius <= d(x, p) + 2 radius, so x goes to all
-    cells for which that holds.
+    cells for which that holds. A space without ``pivots`` is one cell.
     """
 
     def assign(batches):
         for batch in batches:
-            out = {name: [] for name in ("row", "cell", "home", "away")}
-            spaces = batch.column("space").dictionary_encode().indices.to_numpy()
-            for space in np.unique(spaces):
-                rows = np.flatnonzero(spaces == space)
-                part = batch.take(pa.array(rows))
-                vectors = _unit(_vectors(part.column("vector")))
-                pivots = _unit(_vectors(part.column("pivots")[0].values))
-                away = np.sqrt(np.maximum(2 - 2 * (vectors @ pivots.T), 0))
-                nearest = away.argmin(axis=1)
-                least = away[np.arange(len(rows)), nearest]
-                i, cell = np.nonzero(away <= least[:, None] + 2 * radius + SLACK)
-                out["row"].append(rows[i])
-                out["cell"].append(cell)
-                out["home"].append(nearest[i] == cell)
-                out["away"].append(away[i, cell])
-            if not out["row"]:
-                continue
-            joined = {name: np.concatenate(parts) for name, parts in out.items()}
-            taken = batch.take(pa.array(joined.pop("row")))
+            home = np.zeros(batch.num_rows, np.int32)
+            sizes, cells = np.ones(batch.num_rows, np.int64), {}
+            spaces = batch.column("space").dictionary_encode()
+            codes = spaces.indices.to_numpy()
+            for code, space in enumerate(spaces.dictionary.to_pylist()):
+                if space not in pivots:
+                    continue
+                rows = np.flatnonzero(codes == code)
+                vectors = _unit(_vectors(batch.column("vector").take(pa.array(rows))))
+                away = np.sqrt(np.maximum(2 - 2 * (vectors @ pivots[space].T), 0))
+                home[rows] = away.argmin(axis=1)
+                near = away <= away.min(axis=1)[:, None] + 2 * radius + SLACK
+                sizes[rows] = near.sum(axis=1)
+                cells[code] = rows, np.nonzero(near)[1]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            of = np.zeros(ends[-1], np.int32)
+            for rows, found in cells.values():
+                own = np.cumsum(sizes[rows]) - sizes[rows]
+                of[np.arange(len(found)) + np.repeat(ends[rows] - own, sizes[rows])] = found
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(of))
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(taken.column(c) for c in ("space", "id", "copies", "vector")),
-                    pa.array(joined["cell"].astype(np.int32)),
-                    pa.array(joined["home"]),
-                    pa.array(joined["away"]),
-                ],
-                ["space", "id", "copies", "vector", "cell", "home", "away"],
+                [*(batch.column(c) for c in CLASS), pa.array(home), lists], [*CLASS, "home", "cells"]
             )
 
     return assign
@@ -95,9 +99,17 @@ def _forest(labels: np.ndarray, left: np.ndarray, right: np.ndarray):
     return lefts, rights, labels
 
 
+def _by_distance(table: pa.Table) -> pa.Table:
+    """The rows in the order of their distance ``away`` from one of them."""
+    vectors = _unit(_vectors(table.column("vector")))
+    first = pc.index(table.column("id"), pc.min(table.column("id"))).as_py()
+    away = np.sqrt(np.maximum(2 - 2 * (vectors @ vectors[first]), 0))
+    return table.append_column("away", pa.array(away)).sort_by("away")
+
+
 def _meet(radius: float, min_cosine: float):
     def meet(table: pa.Table) -> pa.Table:
-        table = table.sort_by("away")
+        table = _by_distance(table)
         side = table.column("side").to_numpy(zero_copy_only=False).astype(bool)
         ids = table.column("id").to_numpy().astype(np.int64)
         copies = table.column("copies").to_numpy().astype(np.int64)
@@ -111,7 +123,7 @@ def _meet(radius: float, min_cosine: float):
         a, b = [], []
         for at in range(0, len(homes), CHUNK):
             rows = homes[at : at + CHUNK]
-            # distances to the pivot differ by no more than the distance of two vectors
+            # distances to a third vector differ by no more than the distance of two vectors
             first = np.searchsorted(away[others], away[rows[0]] - radius - SLACK, "left")
             last = np.searchsorted(away[others], away[rows[-1]] + radius + SLACK, "right")
             cols = others[first:last]
@@ -132,6 +144,70 @@ def _meet(radius: float, min_cosine: float):
     return meet
 
 
+def _pivots(packed: DataFrame) -> dict[str, np.ndarray]:
+    """The pivots of each space that has several: at most one for half of PIVOT_ROWS vectors, so few
+    that every task can hold them. A copy in each row would weigh more than the vectors."""
+    sizes = packed.groupBy("space").agg(F.count("*").alias("rows"))
+    wanted = F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("rows") / PIVOT_ROWS))
+    large = sizes.select("space", wanted.alias("wanted")).where("wanted > 1")
+    by_hash = Window.partitionBy("space").orderBy(F.xxhash64("vector"), "id")
+    ranked = packed.join(large, "space").select("space", "wanted", "id", F.row_number().over(by_hash).alias("place"), "vector")
+    chosen = ranked.where((F.col("place") <= MAX_PIVOTS) & (F.col("place") <= F.col("wanted")))
+    found: dict[str, list] = {}
+    for row in sorted(chosen.select("space", "place", "vector").collect()):
+        found.setdefault(row["space"], []).append(row["vector"])
+    return {space: _unit(np.array(vectors, np.float64)) for space, vectors in found.items()}
+
+
+def _placed(rows: DataFrame, radius: float, kind: str) -> DataFrame:
+    """``space, id, copies, vector, home, cells``: a row for each class of equal vectors of a space."""
+    packed = written(
+        rows.distinct().groupBy("space", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")),
+        "vector-classes",
+    )
+    return packed.select(*CLASS).mapInArrow(
+        _cells(radius, _pivots(packed)),
+        f"space string, id long, copies long, vector {kind}, home int, cells array<int>",
+    )
+
+
+def _met(placed: DataFrame, radius: float, min_cosine: float) -> DataFrame:
+    """``a, b, links`` of all blocks. A vector is copied for each block it meets; the blocks are joined in
+    as many rounds as keep the copies of one to about as many as there are vectors."""
+    each = placed.select("space", F.explode("cells").alias("cell"), "home")
+    counts = each.groupBy("space", "cell").agg(
+        F.expr(f"greatest(1, ceil(count_if(home = cell) / {BLOCK_ROWS}))").alias("home_blocks"),
+        F.expr(f"ceil(count(*) / {BLOCK_ROWS})").alias("blocks"),
+        F.count_if(F.col("home") == F.col("cell")).alias("homes"),
+        F.count(F.lit(1)).alias("members"),
+    )
+    counts = written(counts, "cell-counts")
+    copies = counts.agg(F.sum(F.expr("homes * blocks + members * home_blocks"))).first()[0] or 0
+    rounds = max(1, math.ceil(copies / max(ROUND_ROWS, placed.count()))) if copies else 1
+    counts = broadcast_if_small(counts.select("space", "cell", "home_blocks", "blocks"))
+    spread = F.xxhash64("id")
+
+    def now(cell: str, block: str, number: int) -> Column:
+        return F.expr(f"pmod(xxhash64(space, {cell}, {block}), {rounds}) = {number}") if rounds > 1 else F.lit(True)
+
+    found = []
+    for number in range(rounds):
+        at_home = placed.select(*CLASS, F.col("home").alias("cell")).join(counts, ["space", "cell"])
+        home = at_home.withColumn("home_block", F.pmod(spread, F.col("home_blocks"))).where(now("cell", "home_block", number))
+        home = home.select(
+            *CLASS, "cell", F.lit(True).alias("side"), "home_block", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block")
+        )
+        member = placed.select(*CLASS, F.explode("cells").alias("cell")).join(counts, ["space", "cell"])
+        member = member.select(
+            *CLASS, "cell", F.lit(False).alias("side"),
+            F.explode(F.expr("sequence(0L, home_blocks - 1)")).alias("home_block"),
+            F.pmod(spread, F.col("blocks")).alias("block"),
+        ).where(now("cell", "home_block", number))
+        blocks = home.union(member).groupBy("space", "cell", "home_block", "block")
+        found.append(written(blocks.applyInArrow(_meet(radius, min_cosine), "a long, b long, links long"), "vector-links"))
+    return reduce(DataFrame.union, found)
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -152,7 +228,8 @@ def near_vectors(
 
     Equal vectors are one class with a count. Within a label, pivots cut the classes into cells by
     Euclidean distance of unit vectors, the triangle inequality says which border vectors a cell
-    needs besides its own, and each block of a cell is joined in a task of its own. A block returns
+    needs besides its own, and each block of a cell is joined in a task of its own, so many blocks at a
+    time that the copies of vectors on disk stay about as many as the vectors. A block returns
     counts and at most a spanning forest of its links, never all pairs. Pivots are the vectors of
     least hash, at most MAX_PIVOTS a label: they only set the layout, never the result.
     """
@@ -168,62 +245,19 @@ def near_vectors(
         & finite_vector("raw")
         & F.exists("raw", lambda x: x != 0)
     )
-    doubles = F.when(usable, F.transform(F.col("raw"), lambda x: x.cast("double")))
+    # single floats stay as they are, at half the size, until they are multiplied
+    item = base.schema["raw"].dataType.elementType
+    exact = F.col("raw") if isinstance(item, T.FloatType) else F.transform("raw", lambda x: x.cast("double"))
+    kind = f"array<{'float' if isinstance(item, T.FloatType) else 'double'}>"
     # a label and a length make a space of their own
     space = F.concat_ws(":", F.size("raw").cast("string"), "label")
-    rows = base.select("id", space.alias("space"), doubles.alias("vector"))
-    packed = written(
-        rows.where("vector is not null")
-        .distinct()
-        .groupBy("space", "vector")
-        .agg(F.min("id").alias("id"), F.count("*").alias("copies")),
-        "vector-classes",
-    )
-    sizes = packed.groupBy("space").agg(F.count("*").alias("rows"))
-    wanted = F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("rows") / PIVOT_ROWS))
-    by_hash = Window.partitionBy("space").orderBy(F.xxhash64("vector"), "id")
-    pivots = (
-        packed.select("space", "id", "vector", F.row_number().over(by_hash).alias("place"))
-        .where(F.col("place") <= MAX_PIVOTS)
-        .join(sizes, "space")
-        .where(F.col("place") <= wanted)
-        .groupBy(F.col("space").alias("pivots_of"))
-        .agg(F.expr("transform(sort_array(collect_list(struct(place, vector))), x -> x.vector)").alias("pivots"))
-    )
-    located = packed.join(pivots, F.col("space") == F.col("pivots_of"))
-    placed = written(
-        located.mapInArrow(
-            _cells(radius),
-            "space string, id long, copies long, vector array<double>, cell int, home boolean, away double",
-        ),
-        "cells",
-    )
-    counts = placed.groupBy("space", "cell").agg(
-        F.expr(f"greatest(1, ceil(count_if(home) / {BLOCK_ROWS}))").alias("home_blocks"),
-        F.expr(f"ceil(count(*) / {BLOCK_ROWS})").alias("blocks"),
-    )
-    dealt = placed.join(counts, ["space", "cell"])
-    spread = F.xxhash64("id")
-    home = dealt.where("home").select(
-        "space", "cell", "id", "copies", "vector", "away", F.lit(True).alias("side"),
-        F.pmod(spread, F.col("home_blocks")).alias("home_block"),
-        F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"),
-    )
-    member = dealt.select(
-        "space", "cell", "id", "copies", "vector", "away", F.lit(False).alias("side"),
-        F.explode(F.expr("sequence(0L, home_blocks - 1)")).alias("home_block"),
-        F.pmod(spread, F.col("blocks")).alias("block"),
-    )
-    met = written(
-        home.union(member)
-        .groupBy("space", "cell", "home_block", "block")
-        .applyInArrow(_meet(radius, min_cosine), "a long, b long, links long"),
-        "vector-links",
-    )
+    rows = base.select("id", space.alias("space"), F.when(usable, exact).alias("vector"))
+    placed = step(lambda: _placed(rows.where("vector is not null"), radius, kind), "cells")
+    met = _met(placed, radius, min_cosine)
     linked = components(met.where("a <> b").select("a", "b"), "a", "b")
     degree = met.where("links > 0").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     classes = (
-        packed.join(degree, F.col("id") == F.col("class"), "left")
+        placed.join(degree, F.col("id") == F.col("class"), "left")
         .join(linked, F.col("id") == F.col("node"), "left")
         .select(
             F.col("space").alias("class_space"),

@@ -4,10 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import smallest
 
-from docsearch.llm import bit_sliced, metric_join
+from docsearch.llm import bit_sliced, metric_join, tables
 from docsearch.llm.components import components
 
 VECTOR = "vec_id long, embedding array<double>, label string"
@@ -116,6 +117,30 @@ def test_metric_join_equals_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in metric_join.near_vectors(table).collect()) == want
 
 
+def test_metric_join_in_rounds_equals_brute_force(spark, monkeypatch):
+    vectors = _vector_table()[::4]
+    for name, value in {"PIVOT_ROWS": 10, "BLOCK_ROWS": 7, "ROUND_ROWS": 1}.items():
+        monkeypatch.setattr(metric_join, name, value)
+    made = []
+    monkeypatch.setattr(metric_join, "written", lambda rows, label: made.append(label) or tables.written(rows, label))
+    found = metric_join.near_vectors(spark.createDataFrame(vectors, VECTOR))
+    assert sorted(map(tuple, found.collect())) == sorted(_near(vectors))
+    assert made.count("vector-links") > 1
+
+
+def test_a_row_holds_its_vector_and_no_pivots():
+    pivots = {"2:a": np.eye(2)}
+    batch = pa.RecordBatch.from_pylist(
+        [
+            {"space": s, "id": i, "copies": 1, "vector": v}
+            for i, (s, v) in enumerate([("2:a", [3.0, 0.1]), ("2:b", [1.0, 0.0]), ("2:a", [1.0, 1.0]), ("2:a", [0.0, 2.0])])
+        ]
+    )
+    (found,) = metric_join._cells(0.3, pivots)([batch])
+    assert found.drop_columns(["home", "cells"]).equals(batch)
+    assert [(r["home"], r["cells"]) for r in found.to_pylist()] == [(0, [0]), (0, [0]), (0, [0, 1]), (1, [1])]
+
+
 def test_metric_join_of_nothing_and_null_ids(spark):
     table = spark.createDataFrame([(None, [1.0], "a"), (4, [1.0], "a")], VECTOR)
     assert sorted(map(tuple, metric_join.near_vectors(table).collect()), key=repr) == [
