@@ -14,13 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsearch.functions.analyzers import analyzer, exploding
-from docsearch.operators.postings import DOC, postings, search_fields, whole_lengths
+from docsearch.operators.postings import DOC, packed, postings, search_fields, unpacked, whole_lengths
 from docsearch.operators.search import SCORE_DIGITS, idf
 from docsearch.operators.sizes import is_small
 from docsearch.operators.space import IndexSpace, Space, spans, union
 from docsearch.plans.clauses import ALL
+from docsearch.sources.shared import kept
 
 KEPT = [*DOC, "term", "tf", "norm"]
+#: pairs of questions and postings that a task sums up
+PAIRS_A_TASK = 1_000_000
 
 
 def query_vocabulary(queries: DataFrame, how: str = "standard") -> DataFrame:
@@ -31,6 +34,32 @@ def query_vocabulary(queries: DataFrame, how: str = "standard") -> DataFrame:
     return asked.select("query_id", F.size("terms").alias("k"), each)
 
 
+def coded(terms: DataFrame) -> DataFrame:
+    """``(term, code)``: each of a small number of terms, and a number for it."""
+    few = terms.select("term").distinct().coalesce(1)
+    return kept(few.withColumn("code", F.monotonically_increasing_id().cast("int")), "coded-terms")
+
+
+def tasks_for(pairs: DataFrame) -> int:
+    """In how many tasks the ``df`` pairs of each row are summed up. Spark would count the bytes that are
+    shuffled, and these are few against what becomes of them."""
+    total = pairs.agg(F.sum("df")).first()[0] or 0
+    usual = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, -(-total // PAIRS_A_TASK))
+
+
+def packed_rows(space: IndexSpace, field: str, codes: DataFrame) -> DataFrame:
+    """Packed postings of one field for the terms of ``codes``."""
+    return packed(space.vocabulary_rows(field, F.broadcast(codes)))
+
+
+def unpacked_rows(rows: DataFrame, tasks: int, codes: DataFrame) -> DataFrame:
+    """The postings of :func:`packed_rows`, dealt out by document, one per document and term."""
+    norm = F.col("boost") / F.sqrt(F.col("len"))
+    each = unpacked(rows.repartition(tasks, *DOC)).groupBy(*DOC, "code").agg(F.sum("tf").alias("tf"), F.max(norm).alias("norm"))
+    return each.join(F.broadcast(codes), "code").select(*KEPT)
+
+
 def _rows(space: Space, field: str, vocabulary: DataFrame) -> DataFrame:
     """Postings of one field for the terms of ``vocabulary``, one per document and term."""
     norm = (F.col("boost") / F.sqrt(F.col("len"))).alias("norm")
@@ -70,13 +99,18 @@ def batch_search(
     """``(query_id, rank, index, type, id, score)``: the best ``top`` hits of each question."""
     asked = query_vocabulary(queries, analyzer_name)
     # everything sent to all tasks below has at most one row per row of ``asked``
-    send = F.broadcast if is_small(asked) else (lambda side: side)
+    small = is_small(asked)
+    send = F.broadcast if small else (lambda side: side)
     vocabulary = send(asked.select("term").distinct())
-    rows = _rows(space, field, vocabulary)
     if isinstance(space, IndexSpace):
         counts = space.term_stats(F.col("field") == field, ()).join(vocabulary, "term", "left_semi")
         counts = counts.groupBy("term").agg(F.sum("df").alias("df"))
+    if isinstance(space, IndexSpace) and small:
+        codes = coded(asked)
+        rows = unpacked_rows(packed_rows(space, field, codes), tasks_for(asked.join(counts, "term")), codes)
     else:
+        rows = _rows(space, field, vocabulary)
+    if not isinstance(space, IndexSpace):
         counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = counts.select("term", idf(space.count().scalar(), F.col("df")).alias("idf"))
     pairs = rows.join(send(asked.join(weights, "term")), "term")

@@ -41,6 +41,7 @@ from docsearch.sources.index_tables import (
     read_index_table,
     write_table,
 )
+from docsearch.sources.shared import put
 
 MANIFEST = "number int, path string, index string, type string, docs long, gone long, buckets int, version long"
 #: segments of about one size that are merged into one
@@ -144,6 +145,9 @@ class SegmentSpace(IndexSpace):
                 parts.append(self._left(part, number) if held == "docs" else part)
         return union(parts) if parts else self._nothing(name)
 
+    def _asked(self, field: str, wanted: DataFrame) -> DataFrame:
+        return self._table("postings").where(F.col("field") == field).join(wanted, ["bucket", "term"])
+
     def count(self) -> DataFrame:
         total = F.coalesce(F.sum("num_docs"), F.lit(0)).alias("num_docs")
         return self._table("index_stats").agg(total)
@@ -224,7 +228,7 @@ class SegmentedIndex:
         at = self._fresh()
         good, bad = split_rejects(typed, {"no id": F.col("id").isNull()})
         # in the order of their ids, so that a few can be looked up without reading the others
-        newest(good).repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{at}/typed/{mapping.type_name}")
+        put(newest(good).repartitionByRange("id").sortWithinPartitions("id"), f"{at}/typed/{mapping.type_name}")
         write_table(as_json(bad), at, "rejects")
         fresh = self.spark.read.parquet(f"{at}/typed/{mapping.type_name}")
         write_table(as_json(fresh).withColumn("version", F.lit(version).cast("long")), at, "docs")
@@ -350,7 +354,7 @@ class SegmentedIndex:
         for kind in sorted({r["type"] for r in chosen if r["docs"]}):
             mapping = next(m for m in self.registry.roots() if m.type_name == kind)
             typed = own.typed(mapping).repartitionByRange("id").sortWithinPartitions("id")
-            typed.write.parquet(f"{at}/typed/{kind}")
+            put(typed, f"{at}/typed/{kind}")
         _write_statistics([own._table("term_stats").drop("bucket")], [own._table("index_stats")], at, buckets)
         docs = index_stats(read_index_table(spark, at, "docs"))
         held = docs.select("index", "type", F.col("num_docs").alias("docs"), F.lit(0).cast("long").alias("gone"))
