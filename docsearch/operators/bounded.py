@@ -17,24 +17,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from docsearch.operators.batch import _rows, best, query_vocabulary
+from docsearch.operators.batch import _rows, best, coded, packed_rows, query_vocabulary, tasks_for, unpacked_rows
 from docsearch.operators.postings import DOC
 from docsearch.operators.search import SCORE_DIGITS, idf
-from docsearch.operators.sizes import is_small
+from docsearch.operators.sizes import broadcast_if_small, is_small
 from docsearch.operators.space import IndexSpace, Space
 from docsearch.plans.clauses import ALL
-from docsearch.sources.shared import fresh_path
+from docsearch.sources.shared import kept
 
 #: the words that set the threshold have postings for so many times the hits wanted
 LEAD = 4
 #: scores are rounded; what is nearer to the threshold than this is not left out
 NEAR = 2 * 10.0**-SCORE_DIGITS
-
-
-def _kept(frame: DataFrame, label: str) -> DataFrame:
-    path = fresh_path(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+#: up to so many questions come as one row to the postings of a document that is their candidate
+QUESTIONS_A_ROW = 1000
 
 
 def _weighed(space: Space, asked: DataFrame, rows: DataFrame) -> DataFrame:
@@ -43,7 +39,7 @@ def _weighed(space: Space, asked: DataFrame, rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("weight").alias("top"))
     part = F.pow(idf(space.count().scalar(), F.col("df")), F.lit(2))
     weights = counts.select("term", "df", part.alias("part"), (part * F.col("top")).alias("most"))
-    return _kept(asked.join(weights, "term"), "bounded-words")
+    return kept(asked.join(weights, "term"), "bounded-words")
 
 
 def _thresholds(words: DataFrame, rows: DataFrame, top: int, send) -> DataFrame:
@@ -56,8 +52,9 @@ def _thresholds(words: DataFrame, rows: DataFrame, top: int, send) -> DataFrame:
     scored = pairs.groupBy("query_id", *DOC).agg(
         (F.sum(F.col("weight") * F.col("part")) * F.count(F.lit(1)) / F.max("k")).alias("score")
     )
-    first = _kept(best(scored, top).select("query_id", *DOC), "bounded-first")
-    whole = first.join(send(words.select("query_id", "k", "term", "part")), "query_id").join(rows, [*DOC, "term"])
+    first = kept(best(scored, top).select("query_id", *DOC), "bounded-first")
+    hits = first.join(send(words.select("query_id", "k", "term", "part")), "query_id")
+    whole = rows.join(broadcast_if_small(hits), [*DOC, "term"])
     exact = whole.groupBy("query_id", *DOC).agg(
         (F.sum(F.col("weight") * F.col("part")) * F.count(F.lit(1)) / F.max("k")).alias("score")
     )
@@ -98,13 +95,20 @@ def bounded_batch_search(
     """
     asked = query_vocabulary(queries, analyzer_name)
     # what is sent to all tasks has at most one row per row of ``asked``
-    send = F.broadcast if is_small(asked) else (lambda side: side)
-    rows = _rows(space, field, send(asked.select("term").distinct()))
-    rows = rows.select(*DOC, "term", (F.sqrt("tf") * F.col("norm")).alias("weight"))
+    small = is_small(asked)
+    send = F.broadcast if small else (lambda side: side)
+    weight = (F.sqrt("tf") * F.col("norm")).alias("weight")
+    if isinstance(space, IndexSpace) and small:
+        codes = coded(asked)
+        of_documents = kept(packed_rows(space, field, codes), "bounded-postings")
+        counts = space.term_stats(F.col("field") == field, ()).groupBy("term").agg(F.sum("df").alias("df"))
+        rows = unpacked_rows(of_documents, tasks_for(asked.join(counts, "term")), codes).select(*DOC, "term", weight)
+    else:
+        rows = _rows(space, field, send(asked.select("term").distinct())).select(*DOC, "term", weight)
     if not isinstance(space, IndexSpace):
-        rows = _kept(rows, "bounded-postings")
+        rows = kept(rows, "bounded-postings")
     words = _weighed(space, asked, rows)
-    divided = _kept(_divided(words, _thresholds(words, rows, top, send)), "bounded-divided")
+    divided = kept(_divided(words, _thresholds(words, rows, top, send)), "bounded-divided")
 
     needed = divided.where("needed").select("query_id", "k", "term", "part", "threshold", "rest", "n_rest")
     pairs = rows.join(send(needed), "term").withColumn("adds", F.col("weight") * F.col("part"))
@@ -117,13 +121,17 @@ def bounded_batch_search(
     )
     most = (F.col("sum") + F.col("rest")) * (F.col("matched") + F.col("n_rest")) / F.col("k")
     candidates = found.where(F.coalesce(most >= F.col("threshold") - NEAR, F.lit(True)))
-    candidates = _kept(candidates.select("query_id", *DOC, "sum", "matched", "k"), "bounded-candidates")
+    candidates = kept(candidates.select("query_id", *DOC, "sum", "matched", "k"), "bounded-candidates")
 
     common = divided.where("not needed").select("query_id", "term", "part")
-    wanted = candidates.select("query_id", *DOC).join(send(common), "query_id")
-    more = wanted.join(rows, [*DOC, "term"]).select(
-        "query_id", *DOC, (F.col("weight") * F.col("part")).alias("sum"), F.lit(1).cast("long").alias("matched")
-    )
+    found_for = (F.col("weight") * F.col("part")).alias("sum"), F.lit(1).cast("long").alias("matched")
+    if small and common.select("query_id").distinct().count() <= QUESTIONS_A_ROW:
+        of_document = candidates.groupBy(*DOC).agg(F.collect_set("query_id").alias("of"))
+        looked = rows.join(send(common.select("term").distinct()), "term", "left_semi").join(of_document, list(DOC))
+        looked = looked.join(send(common), "term").where(F.array_contains("of", F.col("query_id")))
+    else:
+        looked = candidates.select("query_id", *DOC).join(send(common), "query_id").join(rows, [*DOC, "term"])
+    more = looked.select("query_id", *DOC, *found_for)
     if looked_up is not None:
         more = more.observe(looked_up, F.count(F.lit(1)).alias("found"))
     both = candidates.select("query_id", *DOC, "sum", "matched", "k").unionByName(
