@@ -23,11 +23,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsearch.operators.postings import DOC
+from docsearch.operators.batch import tasks_for
+from docsearch.operators.postings import DOC, packed, unpacked
 from docsearch.operators.sizes import broadcast_if_small
 from docsearch.operators.space import IndexSpace
 from docsearch.sources.index_tables import BUCKETS, bucket_of
-from docsearch.sources.shared import fresh_path
+from docsearch.sources.shared import kept, put
 
 #: characters of the runs
 GRAM = 3
@@ -114,7 +115,7 @@ class TermDictionary:
         """Keys of all terms that a document of ``space`` holds, for questions of up to ``distance`` edits."""
         found = cls(space.spark, path, distance, buckets)
         terms = space.term_stats(F.lit(True), ()).groupBy("field", "term").agg(F.sum("df").alias("df"))
-        terms.where("df > 0").write.parquet(f"{path}/terms")
+        put(terms.where("df > 0"), f"{path}/terms")
         held = space.spark.read.parquet(f"{path}/terms").select("field", "term")
         found._write("pieces", held.withColumn("key", F.explode(_term_pieces(distance))))
         found._write("grams", held.withColumn("key", F.explode(_term_grams("term"))))
@@ -125,7 +126,7 @@ class TermDictionary:
     def _write(self, name: str, rows: DataFrame) -> None:
         rows = rows.withColumn("bucket", bucket_of(F.col("key"), self.buckets)).hint("rebalance", "bucket")
         rows = rows.sortWithinPartitions("bucket", "field", "key")
-        rows.write.partitionBy("bucket").parquet(f"{self.path}/{name}")
+        put(rows, f"{self.path}/{name}", ["bucket"])
 
     def _read(self, name: str) -> DataFrame:
         kept = "terms long" if name == "gram_counts" else "term string"
@@ -183,10 +184,17 @@ def holding(space: IndexSpace, field: str, found: DataFrame, by: str) -> DataFra
     """``(by, index, type, id, n_terms)``: the documents that hold in ``field`` a ``term`` found for a word
     or pattern, and how many such terms they hold. Only the buckets of these terms are read."""
     # kept, as looking them up again for each use would cost more than to read them
-    path = fresh_path(space.spark, "found-terms")
-    found.select(by, "term").distinct().write.parquet(path)
-    pairs = space.spark.read.schema(f"{by} string, term string").parquet(path)
-    rows = space.vocabulary_rows(field, broadcast_if_small(pairs.select("term").distinct()))
+    pairs = kept(found.select(by, "term").distinct(), "found-terms")
+    numbers = pairs.select(by).distinct().withColumn("number", F.monotonically_increasing_id())
+    numbers = broadcast_if_small(kept(numbers, "found-numbers"))
+    # a term goes with what it was found for, so that postings, once made, are joined with nothing
+    of_terms = pairs.join(numbers, by).groupBy("term").agg(F.collect_list("number").alias("of"))
+    code = F.struct(F.monotonically_increasing_id().alias("no"), "of").alias("code")
+    codes = broadcast_if_small(kept(of_terms.select("term", code), "found-codes"))
+    counts = space.term_stats(F.col("field") == field, ()).join(pairs, "term")
+    rows = space.vocabulary_rows(field, codes).withColumns({"tf": F.lit(None).cast("double"), "len": F.lit(None).cast("int")})
     # a document kept in several rows holds a term once; dealt out by document, rows are shuffled only here
-    held = rows.select(*DOC, "term").repartition(*DOC).distinct().join(broadcast_if_small(pairs), "term")
-    return held.groupBy(by, *DOC).agg(F.count(F.lit(1)).alias("n_terms"))
+    held = unpacked(packed(rows).repartition(tasks_for(counts), *DOC)).select(*DOC, "code").distinct()
+    each = held.select(*DOC, F.explode("code.of").alias("number"))
+    counted = each.groupBy("number", *DOC).agg(F.count(F.lit(1)).alias("n_terms"))
+    return counted.join(numbers, "number").select(by, *DOC, "n_terms")
